@@ -71,7 +71,7 @@ def summary(moved: DataFrame, at_most: int | None = None, limit: int = GROUP_LIM
 
 
 def summary_text(summarised: DataFrame, rising: bool = True) -> DataFrame:
-    sign, verb = ("+", "increased") if rising else ("-", "decreased")
+    sign, verb = ("+", "increased") if rising else ("−", "decreased")
     def amount(c):
         return F.concat(F.lit(sign), numbers.money_text(F.col(c)))
     return summarised.select(
