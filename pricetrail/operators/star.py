@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricetrail.functions import text
+from pricetrail.functions.numbers import PRICE
 from pricetrail.operators.ordering import GROUP_LIMIT, in_order
 from pricetrail.sources.layouts import Layout
 
@@ -158,7 +159,9 @@ def fact_conflicts(rows: DataFrame, layout: Layout) -> DataFrame:
 def _keyed(rows: DataFrame, layout: Layout) -> DataFrame:
     rows = signed(rows, layout)
     wanted = [*layout.metrics, *_ATTRIBUTES]
-    absent = {c: F.lit(None).cast("string") for c in wanted if c not in rows.columns}
+    absent = {
+        c: F.lit(None).cast(PRICE if c in layout.metrics else "string") for c in wanted if c not in rows.columns
+    }
     return rows.withColumns({"product_line_id": line_id(layout), **absent})
 
 

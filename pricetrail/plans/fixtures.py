@@ -171,13 +171,16 @@ item_events AS (
   FROM events
 )"""
 
-LABEL_CASE = """CASE WHEN c LIKE '%PD\\_FLOWON%' ESCAPE '\\' THEN c WHEN c LIKE '%APA%' THEN c
-  WHEN c LIKE '%15\\_YR\\_F1%' ESCAPE '\\' THEN '15-year anniversary'
-  WHEN c LIKE '%10\\_YR\\_F1%' ESCAPE '\\' THEN '10-year anniversary'
-  WHEN c LIKE '%5\\_YR\\_F1%' ESCAPE '\\' THEN '5-year anniversary'
-  WHEN c LIKE '%LEGIS%' THEN '15-year anniversary (1.48%)'
-  WHEN c LIKE '%\\_NB' ESCAPE '\\' THEN 'First new brand'
-  WHEN c LIKE '%\\_PD' ESCAPE '\\' THEN 'Price disclosure' ELSE c END"""
+def label_case(c: str) -> str:
+    """SQL of the event label rules on one column."""
+    return f"""CASE WHEN contains({c}, 'PD_FLOWON') THEN {c} WHEN contains({c}, 'APA') THEN {c}
+  WHEN contains({c}, '15_YR_F1') THEN '15-year anniversary'
+  WHEN contains({c}, '10_YR_F1') THEN '10-year anniversary'
+  WHEN contains({c}, '5_YR_F1') THEN '5-year anniversary'
+  WHEN contains({c}, 'LEGIS') THEN '15-year anniversary (1.48%)'
+  WHEN ends_with({c}, '_NB') THEN 'First new brand'
+  WHEN ends_with({c}, '_PD') THEN 'Price disclosure' ELSE {c} END"""
+
 
 PRICE_EVENTS = f"""{ITEMS},{ITEM_EVENTS},
 dates AS (SELECT effective_date, lag(effective_date) OVER (ORDER BY effective_date) AS prev_date
@@ -185,7 +188,7 @@ dates AS (SELECT effective_date, lag(effective_date) OVER (ORDER BY effective_da
 price_events AS (
   SELECT e.li_item_id, cur.pbs_code, cur.li_drug_name, cur.brand_name, cur.formulary,
          e.effective_date AS event_date, e.event_type_code,
-         {LABEL_CASE.replace(' c ', ' e.event_type_code ').replace('THEN c', 'THEN e.event_type_code')} AS event_label,
+         {label_case('e.event_type_code')} AS event_label,
          e.event_type_code LIKE '%COMBO%' AS is_combination,
          CAST(e.percentage_applied AS DOUBLE) AS percentage_applied,
          prv.determined_price AS price_before, cur.determined_price AS price_after
@@ -193,3 +196,54 @@ price_events AS (
   LEFT JOIN items cur ON cur.li_item_id = e.li_item_id AND cur.effective_date = e.effective_date
   LEFT JOIN items prv ON prv.li_item_id = e.li_item_id AND prv.effective_date = d.prev_date
 )"""
+
+
+def dated_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Pricing events moved onto the months of ``snap``: day n of the events is its month n."""
+    from pricetrail.operators.events import price_events
+
+    found = price_events(item_events(spark, folder), items(spark, folder))
+    return found.withColumn("event_date", F.add_months(F.lit(date(1995, 1, 1)), F.day("event_date") - 1))
+
+
+DATED_EVENTS = f"""{PRICE_EVENTS},
+dated_events AS (
+  SELECT * REPLACE (CAST(DATE '1995-01-01' + to_months(CAST(day(event_date) - 1 AS INTEGER)) AS DATE) AS event_date)
+  FROM price_events
+)"""
+
+
+def listed_items(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Yearly item lists of ``snap`` and their medicine table with exemption flags."""
+    found = snap(spark, folder).select(
+        F.col("item_code").alias("li_item_id"),
+        F.trunc("snapshot_date", "YEAR").alias("effective_date"),
+        F.concat(F.lit(" "), F.col("item_code")).alias("pbs_code"),
+        "pack_qty", "brand", "form",
+    ).distinct()
+    size = F.col("pack_qty").cast("int")
+    medicines = found.select(
+        "li_item_id", "effective_date",
+        F.when(size % 5 == 0, "TPUU").otherwise("MPUU").alias("concept_type_code"),
+        F.when((F.col("form") == "ECONOMY") | (size % 2 == 0), "Y").otherwise("N").alias("exempt_ind"),
+    )
+    return found.select("li_item_id", "effective_date", "pbs_code"), medicines
+
+
+LISTED = """
+listed AS (
+  SELECT DISTINCT item_code AS li_item_id, CAST(date_trunc('year', snapshot_date) AS DATE) AS effective_date,
+         ' ' || item_code AS pbs_code, CAST(pack_qty AS INTEGER) AS size, form
+  FROM snap
+),
+medicines AS (
+  SELECT li_item_id, effective_date, CASE WHEN size % 5 = 0 THEN 'TPUU' ELSE 'MPUU' END AS concept_type_code,
+         CASE WHEN form = 'ECONOMY' OR size % 2 = 0 THEN 'Y' ELSE 'N' END AS exempt_ind
+  FROM listed
+),
+exempt AS (
+  SELECT DISTINCT trim(i.pbs_code) AS code
+  FROM medicines a JOIN listed i ON i.li_item_id = a.li_item_id AND i.effective_date = a.effective_date
+  WHERE a.concept_type_code = 'MPUU' AND a.exempt_ind = 'Y'
+    AND a.effective_date = (SELECT max(effective_date) FROM medicines)
+)"""

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,7 +88,7 @@ def read_snapshots(
 
     Files without a required header are left out and named in the problems.
     """
-    files = spark.read.format("binaryFile").load(glob).inputFiles()
+    files = [unquote(f) for f in spark.read.format("binaryFile").load(glob).inputFiles()]
     samples: dict[str, str] = {}
     for path in sorted(files):
         samples.setdefault(_snapshot_of(path), path)
@@ -138,7 +139,7 @@ def file_date(path: Column, layout: Layout) -> Column:
 
 def file_name(path: Column) -> Column:
     """Last dated path segment: the file, or the folder holding its parts."""
-    return F.regexp_extract(path, r"([^/]+\.(?i:csv|parquet))(?:/[^/]*)?$", 1)
+    return F.regexp_extract(path, r"/(?:[A-Za-z_]+=)?([^/]+\.(?i:csv|parquet))(?:/[^/]*)?$", 1)
 
 
 def clean_snapshots(rows: DataFrame, layout: Layout) -> DataFrame:
