@@ -1,6 +1,6 @@
 """Importing this module registers every query."""
 
-from pricetrail.plans import movers, texts  # noqa: F401
+from pricetrail.plans import archive, ingest, movers, texts  # noqa: F401
 from pricetrail.plans.registry import QUERIES
 
 __all__ = ["QUERIES"]
