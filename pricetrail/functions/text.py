@@ -11,9 +11,16 @@ from pyspark.sql import functions as F
 # among them) and the four ASCII separators, which Java leaves out of \s.
 _SPACE = r"[\s\x1c-\x1f]"
 _U = "(?U)"
+_SPACE_CHARS = "".join(
+    chr(i)
+    for i in (
+        *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+        0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+    )
+)
 
 # Text that means "no value" in a series key.
-NULL_LIKE = ("", "none", "nan", "<na>")
+NULL_LIKE = ("none", "nan", "<na>")
 
 
 def collapse(c: Column) -> Column:
@@ -48,15 +55,33 @@ def amt_pack(c: Column) -> Column:
     return collapse(F.regexp_replace(c, rf"{_U}(?<!\d),(?!\d)", " "))
 
 
+def _squeezed(x: Column) -> Column:
+    return F.when(x.contains("  "), F.regexp_replace(x, " {2,}", " ")).otherwise(x)
+
+
+def _same_words(x: Column) -> Column:
+    unified = F.regexp_replace(x, rf"{_U}\bfilm coated\b", "film-coated")
+    unified = F.regexp_replace(unified, rf"{_U}\b(tablet|capsule)s\b", "$1")
+    noted = x.contains("film coated") | x.contains("tablets") | x.contains("capsules")
+    return F.when(noted, unified).otherwise(x)
+
+
+def canon_values(parts: Column) -> Column:
+    """Parts of a series key: cosmetic differences removed, quantities kept.
+
+    Works on an array, one step per ``transform``. Written out per part, the
+    generated code of a five-part key grows past what the JVM compiles.
+    """
+    clean = F.transform(parts, lambda x: F.lower(collapse(F.coalesce(x, F.lit("")))))
+    bare = F.transform(
+        clean, lambda x: F.when(x.isin(*NULL_LIKE), F.lit("")).otherwise(F.translate(x, ",.;:", ""))
+    )
+    return F.transform(F.transform(bare, _same_words), lambda x: F.trim(_squeezed(x)))
+
+
 def canon_value(c: Column) -> Column:
-    """One part of a series key: cosmetic differences removed, quantities kept."""
-    s = F.lower(collapse(F.coalesce(c, F.lit(""))))
-    s = F.when(s.isin(*NULL_LIKE), F.lit("")).otherwise(s)
-    s = F.regexp_replace(s, "[,.;:]", "")
-    s = F.regexp_replace(s, rf"{_U}\bfilm coated\b", "film-coated")
-    s = F.regexp_replace(s, rf"{_U}\btablets\b", "tablet")
-    s = F.regexp_replace(s, rf"{_U}\bcapsules\b", "capsule")
-    return collapse(s)
+    """One part of a series key."""
+    return canon_values(F.array(c))[0]
 
 
 def joined_label(first: Column, second: Column) -> Column:
@@ -66,7 +91,7 @@ def joined_label(first: Column, second: Column) -> Column:
 
 def collapse_ends(c: Column) -> Column:
     """Whitespace removed at both ends only."""
-    return F.regexp_replace(c, f"{_U}^{_SPACE}+|{_SPACE}+$", "")
+    return F.trim(c, F.lit(_SPACE_CHARS))
 
 
 def piped(parts: Sequence[Column]) -> Column:
@@ -124,16 +149,15 @@ def event_label(code: Column) -> Column:
 
 def display_name(parts: Sequence[Column]) -> Column:
     """Non-empty parts joined by a middle dot, in the order given."""
-    shown = []
-    for p in parts:
-        s = collapse_ends(p)
-        shown.append(F.when(~s.isin("", "None", "nan", "<NA>"), s))
-    return F.concat_ws(" · ", *shown)
+    shown = F.filter(
+        F.transform(F.array(*parts), collapse_ends), lambda x: ~x.isin("", "None", "nan", "<NA>")
+    )
+    return F.array_join(shown, " · ")
 
 
 def series_key(drug: Column, form: Column, brand: Column, responsible: Column, pack: Column) -> Column:
     """Key of one price series. The item code is deliberately not part of it."""
-    return F.concat_ws("|", *[canon_value(c) for c in (drug, form, brand, responsible, pack)])
+    return F.array_join(canon_values(F.array(drug, form, brand, responsible, pack)), "|")
 
 
 def search_tokens(text: Column) -> Column:

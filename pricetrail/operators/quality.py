@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,43 +12,34 @@ from pyspark.sql import functions as F
 def column_profile(df: DataFrame) -> DataFrame:
     """Per column: fill percentage and its three smallest distinct values as text.
 
-    Each pass keeps one minimum per column and task. Looking for the next
-    smallest value in a further pass costs a scan but no shuffle of values; a
-    sorted set of all values would have to fit one task.
+    Three passes, each keeping one minimum per column and task: the next
+    smallest value costs a scan but no shuffle of values, where a sorted set of
+    all values would have to fit one task. The driver sees three values per
+    column, which is the report itself.
     """
-    text = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
     names = df.columns
-    # Positional names keep column names out of the struct fields.
-    slots = {c: f"c{i}" for i, c in enumerate(names)}
-
-    def smallest(above) -> DataFrame:
-        mins = []
-        for c in names:
-            value = F.col(f"`{c}`")
-            if above is not None:
-                value = F.when(value > above.getField(slots[c]), value)
-            mins.append(F.min(value).alias(slots[c]))
-        return text.agg(*mins).select(F.struct(*slots.values()).alias("v"))
-
-    first = smallest(None).scalar()
-    second = smallest(first).scalar()
-    third = smallest(second).scalar()
-    filled = text.agg(
-        F.count(F.lit(1)).alias("n_rows"), *[F.count(f"`{c}`").alias(slots[c]) for c in names]
-    ).withColumns({"first": first, "second": second, "third": third})
-    lines = []
-    for c in names:
-        samples = F.concat_ws(" | ", *[F.col(p).getField(slots[c]) for p in ("first", "second", "third")])
-        share = F.col(slots[c]) * 100 / F.col("n_rows")
-        lines.append(
-            F.struct(
-                F.lit(c).alias("column_name"),
-                "n_rows",
-                F.round(share.cast("decimal(18,6)"), 1).cast("decimal(5,1)").alias("fill_pct"),
-                F.when(F.col(slots[c]) == 0, "EMPTY").otherwise(samples).alias("samples"),
-            )
+    values = [F.col(f"`{c}`").cast("string") for c in names]
+    tally = df.agg(
+        F.count(F.lit(1)), *[F.count(v) for v in values], *[F.min(v) for v in values]
+    ).first()
+    n_rows, filled = tally[0], tally[1 : len(names) + 1]
+    samples = [list(tally[len(names) + 1 :])]
+    for _ in range(2):
+        above = [F.when(v > F.lit(m), v) for v, m in zip(values, samples[-1])]
+        samples.append(list(df.agg(*[F.min(v) for v in above]).first()))
+    lines = [
+        (
+            c,
+            n_rows,
+            Decimal(100 * n) / n_rows if n_rows else None,
+            " | ".join(s[i] for s in samples if s[i] is not None) or "EMPTY",
         )
-    return filled.select(F.inline(F.array(*lines)))
+        for i, (c, n) in enumerate(zip(names, filled))
+    ]
+    report = df.sparkSession.createDataFrame(
+        lines, "column_name string, n_rows bigint, fill_pct decimal(38,18), samples string"
+    )
+    return report.withColumn("fill_pct", F.round("fill_pct", 1).cast("decimal(5,1)"))
 
 
 def null_diagnostics(df: DataFrame, drug: str, columns: Sequence[str]) -> DataFrame:

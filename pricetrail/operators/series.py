@@ -20,31 +20,45 @@ def price_series(prices: DataFrame, drugs: Sequence[str] | None = None) -> DataF
     """Long series over the selected drugs, or all: mean price per identity and month.
 
     Names and keys start with the drug, so series of different drugs stay
-    apart. The drug filter sits below the aggregation.
+    apart. The drug filter sits below the aggregation. Names are made once per
+    identity and joined to its months: normalising text costs far more than
+    the join, and an identity has no more rows there than there are months.
     """
     ids = [c for c in _IDS if c in prices.columns]
     if drugs is not None:
         prices = prices.where(F.lower("drug").isin([d.lower() for d in drugs]))
     usable = prices.where(F.col("aemp").isNotNull() & F.col("snapshot_date").isNotNull())
-    means = usable.groupBy(
-        *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ids],
-        month_start(F.col("snapshot_date")).alias("month"),
-    ).agg((F.sum("aemp").cast("double") / F.count("aemp")).alias("aemp"))
+    usable = usable.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in ids})
+    means = usable.groupBy(*ids, month_start(F.col("snapshot_date")).alias("month")).agg(
+        (F.sum("aemp").cast("double") / F.count("aemp")).alias("aemp")
+    )
+    named = _named(usable.select(*ids).distinct(), drugs)
+    if "first_listed_date" not in ids:
+        named = named.withColumn("first_listed_date", F.lit(None).cast("string"))
+    return means.join(named, ids).select(
+        "month", "display_name", "aemp", "item_code", "form", "responsible", "amt_pack",
+        "series_id", "first_listed_date", F.col("selected").alias("drug"),
+    )
+
+
+def _named(identities: DataFrame, drugs: Sequence[str] | None) -> DataFrame:
     if drugs is None:
-        named = means.withColumn("selected", F.col("drug"))
+        tagged = identities.withColumn("selected", F.col("drug"))
     else:
         # The user's own list of picks: one short row each.
-        picks = means.sparkSession.createDataFrame([(d,) for d in dict.fromkeys(drugs)], "selected string")
-        named = means.join(picks, F.lower("drug") == F.lower("selected"))
-    if "first_listed_date" not in ids:
-        named = named.withColumn("first_listed_date", F.lit(None).cast("string"))
-    return named.select(
-        "month",
-        F.concat(F.col("selected"), F.lit(" · "), text.display_name([F.col(c) for c in _SHOWN])).alias("display_name"),
-        "aemp", "item_code", "form", "responsible", "amt_pack",
-        F.concat(F.col("selected"), F.lit("|"), text.series_key(*[F.col(c) for c in _KEYED])).alias("series_id"),
-        "first_listed_date",
-        F.col("selected").alias("drug"),
+        picks = identities.sparkSession.createDataFrame(
+            [(d,) for d in dict.fromkeys(drugs)], "selected string"
+        )
+        tagged = identities.join(picks, F.lower("drug") == F.lower("selected"))
+    return tagged.withColumns(
+        {
+            "display_name": F.concat(
+                F.col("selected"), F.lit(" · "), text.display_name([F.col(c) for c in _SHOWN])
+            ),
+            "series_id": F.concat(
+                F.col("selected"), F.lit("|"), text.series_key(*[F.col(c) for c in _KEYED])
+            ),
+        }
     )
 
 

@@ -63,8 +63,10 @@ def snap_rows(spark: SparkSession, folder: str) -> int:
 
 
 def coarse_snap(spark: SparkSession, folder: str, nulls: bool = False) -> DataFrame:
-    """``snap`` priced by quantity: few price points, so variants repeat. NULLs on request."""
-    rows = snap(spark, folder).withColumn("aemp", F.col("coarse"))
+    """``snap`` priced by quantity and without suppliers: prices and variants repeat. NULLs on request."""
+    rows = snap(spark, folder).withColumns(
+        {"aemp": F.col("coarse"), "responsible": F.lit(None).cast("string")}
+    )
     rows = rows.withColumns({"source_file": _source_file(), "amt_pack_program": F.concat_ws("_", "amt_pack", "program")})
     if nulls:
         rows = rows.withColumns(
@@ -85,8 +87,8 @@ def coarse_sql(nulls: bool = False) -> str:
     brand = "CASE WHEN pack_qty NOT IN ('7', '11') THEN brand END" if nulls else "brand"
     return f"""{SNAP},
 rws AS (
-  SELECT item_code, drug, {form} AS form, {brand} AS brand, formulary, program, pack_qty, responsible, amt_pack,
-         snapshot_date, coarse AS aemp, tax, discount,
+  SELECT item_code, drug, {form} AS form, {brand} AS brand, formulary, program, pack_qty,
+         CAST(NULL AS VARCHAR) AS responsible, amt_pack, snapshot_date, coarse AS aemp, tax, discount,
          'ex-manufacturer-prices-non-efc-' || strftime(snapshot_date, '%Y-%m-%d') || '.csv' AS source_file,
          amt_pack || '_' || program AS amt_pack_program
   FROM snap

@@ -37,14 +37,15 @@ _LOUD = "form || ' Tablets;  FILM COATED ' || pack_qty || '.5 mL, Capsules'"
 
 
 @query(
-    f"""WITH {SNAP}, named AS (SELECT DISTINCT item_code, drug, {_LOUD} AS form, brand, formulary, responsible, amt_pack FROM snap)
+    f"""WITH {SNAP}, named AS (SELECT DISTINCT item_code, drug, {_LOUD} AS form, brand, formulary, CAST(NULL AS VARCHAR) AS responsible, amt_pack FROM snap)
 SELECT item_code, formulary, {q.shown('item_code', 'brand', 'form', 'formulary', 'amt_pack', 'responsible')} AS display_name,
        concat_ws('|', {q.canon('drug')}, {q.canon('form')}, {q.canon('brand')}, {q.canon('responsible')}, {q.canon('amt_pack')}) AS series_id
 FROM named"""
 )
 def canon_series_key(spark, folder):
     loud = F.concat(F.col("form"), F.lit(" Tablets;  FILM COATED "), F.col("pack_qty"), F.lit(".5 mL, Capsules"))
-    named = snap(spark, folder).withColumn("form", loud).select(
+    unknown = F.lit(None).cast("string")
+    named = snap(spark, folder).withColumns({"form": loud, "responsible": unknown}).select(
         "item_code", "drug", "form", "brand", "formulary", "responsible", "amt_pack"
     ).distinct()
     shown = [F.col(c) for c in ("item_code", "brand", "form", "formulary", "amt_pack", "responsible")]
