@@ -39,12 +39,28 @@ def normalize_text(c: Column) -> Column:
 
 def normalize_punct(c: Column) -> Column:
     """Unify separators to single ``, `` and collapse whitespace; blank becomes NULL."""
-    commas = F.regexp_replace(c, "[:;|/]", ",")
+    commas = F.translate(c, ":;|/", ",,,,")
     single = F.regexp_replace(commas, f"{_U},{_SPACE}*,+", ",")
     spaced = F.regexp_replace(single, f"{_U}{_SPACE}*,{_SPACE}*", ", ")
     return blank_to_null(collapse(spaced))
 
 
+def identifier_texts(parts: Column) -> Column:
+    """An array of cells normalised as text and as identifiers.
+
+    Cells without any separator, the usual case, skip the separator steps.
+    """
+    plain = F.transform(parts, collapse)
+    return F.transform(
+        plain, lambda x: F.when(x.rlike("[,:;|/]"), normalize_punct(x)).otherwise(blank_to_null(x))
+    )
+
+
+def is_blank(c: Column) -> Column:
+    """NULL or nothing but whitespace."""
+    return F.coalesce(collapse_ends(c), F.lit("")) == ""
+
+
 def wide_identifier(c: Column) -> Column:
     """Identifier of the wide matrix: NULL becomes '', whitespace collapsed."""
     return F.coalesce(collapse(c), F.lit(""))

@@ -153,13 +153,14 @@ def price_crowding(points: DataFrame, at_most: int | None = None, limit: int = G
 
 
 def first_last_prices(series: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """First and last price per group, by month, name and price; kept per task before the shuffle."""
+    """First and last price, month span and earliest listing per group, combined before the shuffle."""
     order = F.struct("month", "display_name", "aemp")
     return series.groupBy(*keys).agg(
         F.min(order).getField("aemp").alias("first_aemp"),
         F.max(order).getField("aemp").alias("last_aemp"),
         F.min("month").alias("first_month"),
         F.max("month").alias("last_month"),
+        F.min(F.col("first_listed_date").try_cast("date")).alias("listed"),
     )
 
 

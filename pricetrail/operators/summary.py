@@ -110,14 +110,12 @@ def summary_cards(series: DataFrame, in_view: DataFrame, exempt: DataFrame) -> D
     of their first and last prices, so no list of prices is ever built.
     """
     per_series = first_last_prices(series, [*GROUP, "series_id"])
-    listed = series.groupBy(*GROUP).agg(
-        F.min(F.col("first_listed_date").try_cast("date")).alias("listed")
-    )
     first, last = F.col("first_aemp").cast("decimal(18,6)"), F.col("last_aemp").cast("decimal(18,6)")
     groups = per_series.groupBy(*GROUP).agg(
         F.count(F.lit(1)).alias("n_series"),
         F.min("first_month").alias("first_month"),
         F.max("last_month").alias("last_month"),
+        F.min("listed").alias("listed"),
         F.min(F.round(first, 2).cast(_CENTS)).alias("first_low"),
         F.max(F.round(first, 2).cast(_CENTS)).alias("first_high"),
         F.min(F.round(last, 2).cast(_CENTS)).alias("last_low"),
@@ -132,8 +130,7 @@ def summary_cards(series: DataFrame, in_view: DataFrame, exempt: DataFrame) -> D
     change = numbers.two_places(numbers.percent_change(F.col("first_low"), F.col("last_low")))
     dash = F.lit(" – ")
     return (
-        groups.join(listed, GROUP)
-        .join(last_events(series, in_view), GROUP, "left")
+        groups.join(last_events(series, in_view), GROUP, "left")
         .join(exemption_class(series, exempt), GROUP)
         .select(
             *GROUP,

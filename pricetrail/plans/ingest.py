@@ -11,6 +11,7 @@ from pricetrail.plans.fixtures import SNAP, coarse_snap, coarse_sql, snap, snap_
 from pricetrail.plans.registry import query
 from pricetrail.session import new_path
 from pricetrail.sources.layouts import MULTI_PRICE, SINGLE_PRICE
+from pricetrail.sources.tables import load
 from pricetrail.sources.snapshots import clean_snapshots, read_snapshots
 
 _SIG = q.piped("NULL", "brand", "NULL", "responsible", "NULL", "NULL", "NULL", "amt_pack")
@@ -42,19 +43,21 @@ def _written_snapshots(spark, folder):
     ).alias("snapshot")
 
     def write(part, columns, extra=""):
-        part.select(*columns, name).write.option("header", True).option("escape", '"').partitionBy(
+        part.select(*columns, name).hint("rebalance", "snapshot").write.option("header", True).option("escape", '"').partitionBy(
             "snapshot"
         ).csv(f"{path}/{extra}")
 
     write(rows.where(~later), [*body, F.col("brand").alias("Brand Name")], "early")
     renamed = [c.alias(" Pack Qty ") if i == 5 else c for i, c in enumerate(body)]
     write(rows.where(later), [*renamed, F.col("brand").alias("Brand"), F.lit("null").alias("MoA")], "later")
-    tail = rows.groupBy(*[c for c in rows.columns if c != "snapshot_date"]).agg(F.max("snapshot_date").alias("d"))
-    undated = tail.withColumn("snapshot_date", F.add_months("d", 1200))
-    undated.select(*[c for i, c in enumerate(body) if i != 6]).write.option("header", True).csv(
-        f"{path}/bad/ex-manufacturer-prices-non-efc-2099-01-01.csv"
+    parts = load(spark, folder, "part").select(
+        F.col("p_partkey").alias("Item Code"), F.col("p_name").alias("Legal Instrument Drug"),
+        F.col("p_type").alias("Legal Instrument Form"), F.lit("A").alias("Formulary"), F.lit("O").alias("Program"),
+        F.col("p_size").alias("Pack Quantity"), F.col("p_retailprice").alias("AEMP"),
     )
-    undated.select(*body).write.option("header", True).csv(f"{path}/bad/ex-manufacturer-prices-non-efc-undated.csv")
+    bad = f"{path}/bad/ex-manufacturer-prices-non-efc"
+    parts.drop("AEMP").write.option("header", True).csv(f"{bad}-2099-01-01.csv")
+    parts.write.option("header", True).csv(f"{bad}-undated.csv")
     return f"{path}/*/*ex-manufacturer-prices-non-efc-*.csv"
 
 

@@ -130,7 +130,8 @@ def price_crowding(spark, folder):
 _FIRST_LAST = f"""{SERIES},
 ends AS (
   SELECT drug, form, series_id, first(aemp ORDER BY month, display_name, aemp) AS first_aemp,
-         last(aemp ORDER BY month, display_name, aemp) AS last_aemp, min(month) AS first_month, max(month) AS last_month
+         last(aemp ORDER BY month, display_name, aemp) AS last_aemp, min(month) AS first_month, max(month) AS last_month,
+         CAST(NULL AS DATE) AS listed
   FROM series GROUP BY drug, form, series_id
 )"""
 

@@ -28,6 +28,9 @@ EMPTY_CELLS = [
 
 PROBLEMS = "source_file string, problem string"
 
+# A listing of this many files is some tens of megabytes.
+BROADCAST_FILES = 100_000
+
 
 def find_column(headers: Sequence[str], aliases: Sequence[str]) -> str | None:
     """First alias equal to a header, else the first header containing any alias."""
@@ -53,10 +56,16 @@ def map_headers(headers: Sequence[str], layout: Layout) -> tuple[dict[str, str],
     return mapped, [r for r in layout.required if r not in mapped]
 
 
-def _snapshot_of(path: str) -> str:
-    """The snapshot a part file belongs to: its folder if that carries the name."""
-    folder, _, leaf = path.rpartition("/")
-    return folder if leaf.startswith("part-") else path
+def _files(spark: SparkSession, glob: str) -> DataFrame:
+    """Every file under ``glob`` with the snapshot it belongs to.
+
+    A part file belongs to its folder, any other file to itself. Only names are
+    read, not contents.
+    """
+    found = spark.read.format("binaryFile").load(glob).select(F.col("_metadata.file_path").alias("__path"))
+    is_part = F.col("__path").rlike("/part-[^/]*$")
+    folder = F.regexp_replace("__path", "/[^/]*$", "")
+    return found.withColumn("snapshot", F.when(is_part, folder).otherwise(F.col("__path")))
 
 
 def _reader(spark: SparkSession, fmt: str):
@@ -88,11 +97,10 @@ def read_snapshots(
 
     Files without a required header are left out and named in the problems.
     """
-    files = [unquote(f) for f in spark.read.format("binaryFile").load(glob).inputFiles()]
-    samples: dict[str, str] = {}
-    for path in sorted(files):
-        samples.setdefault(_snapshot_of(path), path)
-    headers = _headers(spark, fmt, samples)
+    files = _files(spark, glob)
+    # One row per snapshot, that is per month.
+    found = files.groupBy("snapshot").agg(F.min("__path").alias("sample"), F.count(F.lit(1)).alias("n")).collect()
+    headers = _headers(spark, fmt, {unquote(r.snapshot): unquote(r.sample) for r in found})
 
     by_header: dict[tuple[str, ...], list[str]] = {}
     problems = []
@@ -118,11 +126,15 @@ def read_snapshots(
         rows = reduce(DataFrame.unionByName, frames)
     else:
         rows = spark.createDataFrame([], ", ".join(f"{f} string" for f in [*layout.fields, "__path"]))
-    path = F.url_decode(F.col("__path"))
-    stamped = rows.withColumns(
-        {"snapshot_date": file_date(path, layout), "source_file": file_name(path)}
-    ).drop("__path")
-    return stamped, spark.createDataFrame(problems, PROBLEMS)
+    # Date and name are worked out once per file, not once per row.
+    path = F.url_decode("__path")
+    listing = files.select(
+        "__path", file_date(path, layout).alias("snapshot_date"), file_name(path).alias("source_file")
+    )
+    if sum(r.n for r in found) <= BROADCAST_FILES:
+        listing = F.broadcast(listing)
+    dated = rows.join(listing, "__path").drop("__path")
+    return dated, spark.createDataFrame(problems, PROBLEMS)
 
 
 def _cell(c: Column | None) -> Column:
@@ -149,13 +161,26 @@ def clean_snapshots(rows: DataFrame, layout: Layout) -> DataFrame:
     Rows without drug, item code or date go; rows without a price go too,
     unless the layout keeps them.
     """
-    out = {}
-    for name in layout.texts:
-        c = text.normalize_text(F.col(name))
-        out[name] = text.normalize_punct(c) if name in layout.punctuated else c
-    for name in layout.metrics:
-        out[name] = numbers.to_price(numbers.price_number(F.col(name), layout.currency_sign))
-    cleaned = rows.withColumns(out).dropna(subset=["drug", "item_code", "snapshot_date"])
+    present = rows.where(
+        ~text.is_blank(F.col("drug")) & ~text.is_blank(F.col("item_code")) & F.col("snapshot_date").isNotNull()
+    )
+    plain = [c for c in layout.texts if c not in layout.punctuated]
+    prices = {
+        c: numbers.to_price(numbers.price_number(F.col(c), layout.currency_sign)) for c in layout.metrics
+    }
+    typed = present.withColumns(
+        {
+            **prices,
+            "__tidy": text.identifier_texts(F.array(*layout.punctuated)),
+            "__plain": F.transform(F.array(*plain).cast("array<string>"), text.normalize_text),
+        }
+    )
+    cleaned = typed.withColumns(
+        {
+            **{c: F.col("__tidy")[i] for i, c in enumerate(layout.punctuated)},
+            **{c: F.col("__plain")[i] for i, c in enumerate(plain)},
+        }
+    ).drop("__tidy", "__plain")
     cleaned = cleaned.withColumn(
         "amt_pack_program",
         text.joined_label(F.coalesce("amt_pack", F.lit("")), F.coalesce("program", F.lit(""))),
