@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pricetrail.session import store
 
 # Rows of one group that a single task may sort.
-GROUP_LIMIT = 5_000_000
+GROUP_LIMIT = 10_000_000
 
 _SLICE = "__slice"
 
@@ -66,7 +66,7 @@ def in_order(
 
 def _across_slices(df, keys, order, row_number, group_size, previous, following, limit):
     total = df.count()
-    slices = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * total // limit + 1)
+    slices = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // limit + 1)
     # Stored, so that the slice of a row cannot change if a task is run again.
     sliced = store(
         df.repartitionByRange(slices, *[F.col(k) for k in keys], *order).withColumn(

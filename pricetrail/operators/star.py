@@ -171,7 +171,10 @@ def new_facts(rows: DataFrame, facts: DataFrame, layout: Layout, dates: Sequence
     ``dates`` are the snapshot dates of the batch; they prune the stored facts
     to the same months.
     """
-    stored = facts.where(F.col("snapshot_date").isin(list(dates))).select("product_line_id", "snapshot_date")
+    stored = facts.where(F.col("snapshot_date").isin(list(dates)))
+    if "snapshot_month" in facts.columns:
+        stored = stored.where(F.col("snapshot_month").isin(sorted({f"{d:%Y-%m}" for d in dates})))
+    stored = stored.select("product_line_id", "snapshot_date")
     return monthly_facts(rows, layout).join(stored, ["product_line_id", "snapshot_date"], "left_anti")
 
 
