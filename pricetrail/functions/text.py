@@ -66,6 +66,10 @@ def wide_identifier(c: Column) -> Column:
     return F.coalesce(collapse(c), F.lit(""))
 
 
+def wide_identifiers(parts: Column) -> Column:
+    return F.transform(parts, wide_identifier)
+
+
 def amt_pack(c: Column) -> Column:
     """Commas to spaces unless a digit is directly on either side; collapse."""
     return collapse(F.regexp_replace(c, rf"{_U}(?<!\d),(?!\d)", " "))

@@ -12,7 +12,7 @@ from pricetrail.plans.fixtures import (
 )
 from pricetrail.plans.registry import query
 from pricetrail.plans.series import _FIRST_LAST, SERIES, coarse_series
-from pricetrail.session import new_path
+from pricetrail.session import new_path, store
 from pricetrail.operators.sinks import replace_table
 
 _VIEW = (date(1995, 2, 1), date(1997, 6, 1))
@@ -107,7 +107,7 @@ latest_event AS (
     f"WITH {_VIEWED},codes AS (SELECT DISTINCT drug, form, item_code AS code FROM series),{_LAST_EVENT} SELECT * FROM latest_event"
 )
 def last_events(spark, folder):
-    points = coarse_series(spark, folder)
+    points = store(coarse_series(spark, folder), "series")
     return summary.last_events(points, _in_view(spark, folder, points))
 
 
@@ -136,6 +136,6 @@ FROM pct g JOIN class c ON c.drug = g.drug AND c.form = g.form
 LEFT JOIN latest_event e ON e.drug = g.drug AND e.form = g.form"""
 )
 def summary_cards(spark, folder):
-    points = coarse_series(spark, folder)
+    points = store(coarse_series(spark, folder), "series")
     listed, medicines = listed_items(spark, folder)
     return summary.summary_cards(points, _in_view(spark, folder, points), summary.exempt_codes(medicines, listed))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pricetrail.functions.months import months_between
 from pricetrail.functions.numbers import PRICE
-from pricetrail.sources.tables import load
+from pricetrail.sources.tables import load, load_spread
 
 START, END = date(1998, 5, 1), date(1998, 6, 1)
 SIX_MONTHS = months_between(date(1998, 1, 1), END)
@@ -22,7 +22,8 @@ ALL_MONTHS = months_between(date(1995, 1, 1), date(2001, 12, 1))
 
 def snap(spark: SparkSession, folder: str) -> DataFrame:
     """One row per line item: a price list entry of its ship month."""
-    line, part, supplier = (load(spark, folder, t) for t in ("lineitem", "part", "supplier"))
+    line = load_spread(spark, folder, "lineitem")
+    part, supplier = load(spark, folder, "part"), load(spark, folder, "supplier")
     return (
         line.join(part, line.l_partkey == part.p_partkey)
         .join(supplier, line.l_suppkey == supplier.s_suppkey)

@@ -13,6 +13,17 @@ def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def load_spread(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """A table whose rows are spread over all cores even if it is a single small file.
+
+    A scan cannot split a file of one row group. Tables of many files, as on a
+    cluster, are read as they lie, without a shuffle.
+    """
+    df = load(spark, folder, table)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) == 1 and cores > 1 else df
+
+
 def pick(df: DataFrame, candidates: Sequence[str]) -> str | None:
     """The frame's own spelling of the first candidate it has, in any case."""
     have = {c.strip().lower(): c for c in df.columns}
