@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from pricetrail.functions import numbers, text
 from pricetrail.functions.months import month_name, month_start
-from pricetrail.operators.series import first_last_prices
 
 GROUP = ["drug", "form"]
 _CENTS = "decimal(18,2)"
@@ -24,6 +23,20 @@ def _code(c: str) -> Column:
     return text.collapse_ends(F.col(c))
 
 
+def code_ends(series: DataFrame) -> DataFrame:
+    """One row per drug, form, series and item code with its first and last point.
+
+    All parts of a summary card are read off these rows, so the series itself
+    is gone over once. Worth storing where several parts are wanted.
+    """
+    order = F.struct("month", "display_name", "aemp")
+    return series.groupBy(*GROUP, "series_id", "item_code").agg(
+        F.min(order).alias("first"),
+        F.max(order).alias("last"),
+        F.min(F.col("first_listed_date").try_cast("date")).alias("listed"),
+    )
+
+
 def visible_codes(series: DataFrame) -> DataFrame:
     return series.select(_code("item_code").alias("code")).distinct()
 
@@ -103,13 +116,19 @@ def last_events(series: DataFrame, in_view: DataFrame) -> DataFrame:
     )
 
 
-def summary_cards(series: DataFrame, in_view: DataFrame, exempt: DataFrame) -> DataFrame:
-    """One card per drug and form.
+def summary_cards(ends: DataFrame, in_view: DataFrame, exempt: DataFrame) -> DataFrame:
+    """One card per drug and form, from the ``code_ends`` of the series in view.
 
     Agreement of all series on a price is read from the smallest and largest
     of their first and last prices, so no list of prices is ever built.
     """
-    per_series = first_last_prices(series, [*GROUP, "series_id"])
+    per_series = ends.groupBy(*GROUP, "series_id").agg(
+        F.min("first").getField("aemp").alias("first_aemp"),
+        F.max("last").getField("aemp").alias("last_aemp"),
+        F.min("first.month").alias("first_month"),
+        F.max("last.month").alias("last_month"),
+        F.min("listed").alias("listed"),
+    )
     first, last = F.col("first_aemp").cast("decimal(18,6)"), F.col("last_aemp").cast("decimal(18,6)")
     groups = per_series.groupBy(*GROUP).agg(
         F.count(F.lit(1)).alias("n_series"),
@@ -130,8 +149,8 @@ def summary_cards(series: DataFrame, in_view: DataFrame, exempt: DataFrame) -> D
     change = numbers.two_places(numbers.percent_change(F.col("first_low"), F.col("last_low")))
     dash = F.lit(" – ")
     return (
-        groups.join(last_events(series, in_view), GROUP, "left")
-        .join(exemption_class(series, exempt), GROUP)
+        groups.join(last_events(ends, in_view), GROUP, "left")
+        .join(exemption_class(ends, exempt), GROUP)
         .select(
             *GROUP,
             F.concat(month_name(F.col("first_month")), dash, month_name(F.col("last_month"))).alias("range"),

@@ -66,6 +66,10 @@ def _in_view(spark, folder, points):
     return summary.events_in_view(dated_events(spark, folder), points, *_VIEW)
 
 
+def _ends(spark, folder):
+    return store(summary.code_ends(coarse_series(spark, folder)), "ends")
+
+
 @query(
     f"""WITH {_VIEWED}
 SELECT month, CAST(count(*) AS BIGINT) AS event_count,
@@ -107,8 +111,8 @@ latest_event AS (
     f"WITH {_VIEWED},codes AS (SELECT DISTINCT drug, form, item_code AS code FROM series),{_LAST_EVENT} SELECT * FROM latest_event"
 )
 def last_events(spark, folder):
-    points = store(coarse_series(spark, folder), "series")
-    return summary.last_events(points, _in_view(spark, folder, points))
+    ends = _ends(spark, folder)
+    return summary.last_events(ends, _in_view(spark, folder, ends))
 
 
 _ENDS = _FIRST_LAST[len(SERIES):]
@@ -136,6 +140,6 @@ FROM pct g JOIN class c ON c.drug = g.drug AND c.form = g.form
 LEFT JOIN latest_event e ON e.drug = g.drug AND e.form = g.form"""
 )
 def summary_cards(spark, folder):
-    points = store(coarse_series(spark, folder), "series")
+    ends = _ends(spark, folder)
     listed, medicines = listed_items(spark, folder)
-    return summary.summary_cards(points, _in_view(spark, folder, points), summary.exempt_codes(medicines, listed))
+    return summary.summary_cards(ends, _in_view(spark, folder, ends), summary.exempt_codes(medicines, listed))

@@ -122,7 +122,7 @@ def test_summary_cards(spark):
     marks = {r.month.month: (r.event_count, r.event_labels) for r in summary.event_markers(view).collect()}
     assert marks == {1: (1, "Z"), 2: (2, "A, B")}
     exempt = spark.createDataFrame([("1",), ("3",)], "code string")
-    cards = {r.form: r for r in summary.summary_cards(points, view, exempt).collect()}
+    cards = {r.form: r for r in summary.summary_cards(summary.code_ends(points), view, exempt).collect()}
     f, g = cards["f"], cards["g"]
     assert (f["range"], f.first_listed, f.latest, f.change, f.last_event, f.exempt) == (
         "Jan 2025 – Mar 2025", "May 2020", "$11.00", "+10.00% from $10.00", "Feb 2025 · A, B", "Exempt (s84AH)",
