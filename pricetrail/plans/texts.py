@@ -9,7 +9,7 @@ from pricetrail.operators import series
 from pricetrail.plans import sqltext as q
 from pricetrail.plans.fixtures import ITEM_EVENTS, SNAP, item_events, label_case, snap
 from pricetrail.plans.registry import query
-from pricetrail.sources.tables import load
+from pricetrail.sources.tables import load, load_spread
 
 
 @query(
@@ -19,7 +19,7 @@ FROM documents"""
 )
 def normalize_identifiers(spark, folder):
     body = F.col("text")
-    return load(spark, folder, "documents").select(
+    return load_spread(spark, folder, "documents").select(
         "doc_id",
         text.normalize_text(body).alias("plain"),
         text.normalize_punct(body).alias("punctuated"),
@@ -30,7 +30,7 @@ def normalize_identifiers(spark, folder):
 
 @query(f"SELECT doc_id, {q.amt('text')} AS pack FROM documents")
 def amt_normalize(spark, folder):
-    return load(spark, folder, "documents").select("doc_id", text.amt_pack(F.col("text")).alias("pack"))
+    return load_spread(spark, folder, "documents").select("doc_id", text.amt_pack(F.col("text")).alias("pack"))
 
 
 _LOUD = "form || ' Tablets;  FILM COATED ' || pack_qty || '.5 mL, Capsules'"
@@ -78,7 +78,7 @@ SELECT l_orderkey, l_linenumber, price_text, {_number_sql('price_text', ',')} AS
 def price_parse(spark, folder):
     n, price, qty = F.col("l_linenumber"), F.col("l_extendedprice"), F.col("l_quantity").cast("int").cast("string")
     grouped = F.format_number(price, 2)
-    raw = load(spark, folder, "lineitem").select(
+    raw = load_spread(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", F.col("l_discount").cast("string").alias("pct"),
         F.when(n == 1, price.cast("decimal(18,2)").cast("string"))
         .when(n == 2, grouped)
