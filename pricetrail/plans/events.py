@@ -2,10 +2,8 @@
 
 from datetime import date
 
-from pyspark.sql import functions as F
-
-from pricetrail.functions.months import months_between
 from pricetrail.operators import events, summary
+from pricetrail.operators.sinks import replace_table
 from pricetrail.plans import sqltext as q
 from pricetrail.plans.fixtures import (
     DATED_EVENTS, LISTED, PRICE_EVENTS, SNAP, dated_events, item_events, items, listed_items,
@@ -13,7 +11,6 @@ from pricetrail.plans.fixtures import (
 from pricetrail.plans.registry import query
 from pricetrail.plans.series import _FIRST_LAST, SERIES, coarse_series
 from pricetrail.session import new_path, store
-from pricetrail.operators.sinks import replace_table
 
 _VIEW = (date(1995, 2, 1), date(1997, 6, 1))
 
@@ -53,7 +50,7 @@ def event_reconcile(spark, folder):
     return events.reconcile(item_events(spark, folder), _price_events(spark, folder))
 
 
-_VIEWED = f"""{DATED_EVENTS},{SERIES.replace('snap AS', 'snap AS', 1)},
+_VIEWED = f"""{DATED_EVENTS},{SERIES},
 in_view AS (
   SELECT trim(pbs_code) AS code, CAST(date_trunc('month', event_date) AS DATE) AS month, coalesce(event_label, 'None') AS event_label
   FROM dated_events

@@ -4,7 +4,6 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from pricetrail.functions.numbers import PRICE
 from pricetrail.operators import sinks, star
 from pricetrail.plans import sqltext as q
 from pricetrail.plans.fixtures import SNAP, coarse_snap, coarse_sql, snap, snap_rows

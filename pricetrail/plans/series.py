@@ -1,11 +1,9 @@
 """Price series, their change points and their coverage."""
 
-from pyspark.sql import functions as F
-
 from pricetrail.operators import series, star
 from pricetrail.plans import sqltext as q
 from pricetrail.plans.fixtures import SIX_MONTHS, SNAP, coarse_snap, coarse_sql, snap, snap_rows
-from pricetrail.plans.ingest import _LINE, _SIG, _BASE
+from pricetrail.plans.ingest import _LINE, _SIG
 from pricetrail.plans.registry import query
 from pricetrail.sources.layouts import SINGLE_PRICE
 

@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from pricetrail.functions import months, numbers, text
-from pricetrail.functions.numbers import PRICE
 from pricetrail.operators import events as ev
 from pricetrail.operators import series
 from pricetrail.plans import sqltext as q
