@@ -104,7 +104,7 @@ def _cuts(rows: DataFrame, nodes: DataFrame, dims: list[str]) -> DataFrame:
         sums = (
             rows.join(spans, F.col("node") == F.col("at"))
             .where((_key(dims) >= F.col("low")) & (_key(dims) < F.col("high")))
-            .groupBy("at", interval.alias("interval")).agg(F.sum("size").alias("part"), F.count(F.lit(1)).alias("rows"))
+            .groupBy("at", interval.alias("interval")).agg(F.sum("size").alias("part"), F.count(F.lit(1)).alias("n"))
         )
         upto = Window.partitionBy("at").orderBy("interval")
         run = sums.withColumn("run", F.sum("part").over(upto))
@@ -112,7 +112,7 @@ def _cuts(rows: DataFrame, nodes: DataFrame, dims: list[str]) -> DataFrame:
         hit = (
             run.join(state, F.col("at") == F.col("of"))
             .where(F.col("below") + F.col("run") >= F.col("want"))
-            .groupBy("at").agg(F.min_by(F.struct("interval", "part", "run", "rows"), "interval").alias("hit"))
+            .groupBy("at").agg(F.min_by(F.struct("interval", "part", "run", "n"), "interval").alias("hit"))
         )
         spans = state.join(hit, F.col("of") == F.col("at")).select(
             "at", "dim", "leaves",
@@ -120,7 +120,7 @@ def _cuts(rows: DataFrame, nodes: DataFrame, dims: list[str]) -> DataFrame:
             F.least(F.col("low") + (F.col("hit.interval") + 1) * step, F.col("high")).alias("high"),
             "weight", "want",
             (F.col("below") + F.col("hit.run") - F.col("hit.part")).alias("below"),
-            F.col("hit.part").alias("inside"), F.col("hit.rows").alias("rows"),
+            F.col("hit.part").alias("inside"), F.col("hit.n").alias("rows"),
         )
         spans = store(spans, "kd-spans")
         unfinished = (F.col("high") - F.col("low") > 1) & (F.col("rows") > 1) & (F.col("inside") > F.col("weight") * NEAR)
