@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pricetrail.llm import mixing, sharding
+from pricetrail.llm import mixing, quality, secret_scan, sharding, url_filter
 from pricetrail.llm.common import load
 from pricetrail.plans.registry import Query
 
@@ -21,6 +21,12 @@ def query(sql: str | None = None):
     return add
 
 
+@query()
+def op2_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """A quality score for every document, learnt outside the held-out fold."""
+    return quality.scored(load(spark, folder, "documents"), load(spark, folder, "labels"))
+
+
 @query()
 def op4_kd_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 16 shards of near equal bytes."""
@@ -28,6 +34,12 @@ def op4_kd_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+@query()
+def op6_url_trust(spark: SparkSession, folder: str) -> DataFrame:
+    """A verdict on every page by rule or by its host's place in the link graph."""
+    return url_filter.judge(load(spark, folder, "pages"))
+
+
 @query()
 def op7_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """The words each document gives to the mix."""
@@ -35,4 +47,10 @@ def op7_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
 
 
+@query()
+def op8_secret_ownership(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in every document, live ones told from examples by ownership counts."""
+    return secret_scan.scan(load(spark, folder, "documents"))
+
+
 CORPUS_QUERIES["pipeline"] = Query(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)
