@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pricetrail.llm import mixing, quality, secret_scan, sharding, url_filter
+from pricetrail.llm import fingerprints, mixing, quality, secret_scan, sharding, url_filter
 from pricetrail.llm.common import load
 from pricetrail.plans.registry import Query
 
@@ -27,6 +27,12 @@ def op2_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.scored(load(spark, folder, "documents"), load(spark, folder, "labels"))
 
 
+@query()
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, and how many others are near."""
+    return fingerprints.fingerprints(load(spark, folder, "documents"))
+
+
 @query()
 def op4_kd_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 16 shards of near equal bytes."""
