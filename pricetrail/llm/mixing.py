@@ -30,7 +30,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: An upper bound on the copies of a document: its source's target over its source's size.
 MOST_EPOCHS = 3.0
 #: Keys of one source sorted together, about.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 
 
 def word_count(text: Column) -> Column:
