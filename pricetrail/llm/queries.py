@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pricetrail.llm import fingerprints, mixing, quality, secret_scan, sharding, url_filter
+import public_tokenizers
+from pricetrail.llm import fingerprints, mixing, quality, secret_scan, sharding, token_files, url_filter
 from pricetrail.llm.common import load
 from pricetrail.plans.registry import Query
 
@@ -40,6 +41,12 @@ def op4_kd_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+@query()
+def op5_wavelet_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of all documents, written to and read back from wavelet matrix files."""
+    return token_files.token_digests(load(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query()
 def op6_url_trust(spark: SparkSession, folder: str) -> DataFrame:
     """A verdict on every page by rule or by its host's place in the link graph."""
