@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 import public_tokenizers
-from pricetrail.llm import fingerprints, mixing, quality, secret_scan, sharding, token_files, url_filter
+from pricetrail.llm import decontaminate, fingerprints, mixing, quality, secret_scan, sharding, token_files, url_filter
 from pricetrail.llm.common import load
 from pricetrail.plans.registry import Query
 
@@ -66,4 +66,10 @@ def op8_secret_ownership(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.scan(load(spark, folder, "documents"))
 
 
+@query()
+def op10_positional_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    return decontaminate.report(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
+
+
 CORPUS_QUERIES["pipeline"] = Query(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)
