@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 import public_tokenizers
-from pricetrail.llm import decontaminate, fingerprints, mixing, quality, secret_scan, sharding, token_files, url_filter
+from pricetrail.llm import decontaminate, fingerprints, jaccard_join, mixing, quality, secret_scan, sharding, token_files, url_filter
 from pricetrail.llm.common import load
 from pricetrail.plans.registry import Query
 
@@ -66,6 +66,12 @@ def op8_secret_ownership(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.scan(load(spark, folder, "documents"))
 
 
+@query()
+def op9_grouped_prefix_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the class that links of 0.9 over three-word shingles put it into."""
+    return jaccard_join.classes(load(spark, folder, "documents"), size=3, percent=90)
+
+
 @query()
 def op10_positional_index(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark windows in every document."""
