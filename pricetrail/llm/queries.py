@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 import public_tokenizers
-from pricetrail.llm import decontaminate, fingerprints, jaccard_join, mixing, quality, secret_scan, sharding, token_files, url_filter
+from pricetrail.llm import (
+    decontaminate, fingerprints, jaccard_join, license_scan, mixing, quality, secret_scan, sharding, token_files,
+    url_filter,
+)
 from pricetrail.llm.common import load
 from pricetrail.plans.registry import Query
 
@@ -22,6 +25,12 @@ def query(sql: str | None = None):
     return add
 
 
+@query()
+def op1_license_patience(spark: SparkSession, folder: str) -> DataFrame:
+    """License notices in every document."""
+    return license_scan.scan(load(spark, folder, "documents"))
+
+
 @query()
 def op2_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
     """A quality score for every document, learnt outside the held-out fold."""
