@@ -57,7 +57,7 @@ def edited(text: str, following: str) -> str:
 
 
 FIELDS = (
-    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+    "place long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
     "near_edited double, near_next double"
 )
 
@@ -67,7 +67,7 @@ def _follow(rows: pd.DataFrame, guests: pd.DataFrame) -> pd.DataFrame:
     texts = list(rows["text"]) + list(guests["text"])
     prints = [fingerprint(t) for t in texts]
     out = []
-    for i, doc_id in enumerate(rows["doc_id"]):
+    for i, doc_id in enumerate(rows["place"]):
         text, following = texts[i], texts[i + 1]
         new = edited(text, following)
         new_print = fingerprint(new)
@@ -76,8 +76,7 @@ def _follow(rows: pd.DataFrame, guests: pd.DataFrame) -> pd.DataFrame:
             prints[i].tobytes().hex(), new_print.tobytes().hex(),
             likeness(prints[i], new_print), likeness(prints[i], prints[i + 1]),
         ))
-    table = pd.DataFrame(out, columns=[f.split()[0] for f in FIELDS.split(", ")])
-    return table.astype({"doc_id": "Int64"})
+    return pd.DataFrame(out, columns=[f.split()[0] for f in FIELDS.split(", ")])
 
 
 def _next_buckets(places: DataFrame) -> DataFrame:
@@ -105,14 +104,13 @@ def _next_buckets(places: DataFrame) -> DataFrame:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """Fingerprints of every document and of its edited text, FIELDS.
+    """Fingerprints of every document and of its edited text: FIELDS, with doc_id for its place.
 
     Ids are cut into buckets of NEIGHBOURS neighbouring values. Texts are shuffled by bucket once;
     a bucket also gets the document that follows its last one.
     """
     rows = docs.select(
-        "doc_id", F.coalesce("text", F.lit("")).alias("text"),
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("place"),
+        F.coalesce("text", F.lit("")).alias("text"), F.coalesce("doc_id", F.lit(NO_ID)).alias("place"),
     ).withColumn("bucket", F.floor(F.col("place") / NEIGHBOURS))
     wanted = store(_next_buckets(rows.select("place", "bucket")), "simhash-next")
     guests = (
@@ -120,7 +118,8 @@ def with_next(docs: DataFrame) -> DataFrame:
         .join(wanted.select(F.col("bucket"), F.col("next_place")), F.col("place") == F.col("next_place"))
         .groupBy("bucket").agg(F.min("text").alias("text"))
     )
-    return rows.groupBy("bucket").cogroup(guests.groupBy("bucket")).applyInPandas(_follow, FIELDS)
+    out = rows.groupBy("bucket").cogroup(guests.groupBy("bucket")).applyInPandas(_follow, FIELDS)
+    return out.withColumn("place", F.when(F.col("place") != NO_ID, F.col("place"))).withColumnRenamed("place", "doc_id")
 
 
 def _near_counts(tables: int):
@@ -188,7 +187,7 @@ def near_counts(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """FIELDS and n_near, the other documents within RADIUS bits, for every row of ``docs``."""
+    """``with_next`` and n_near, the other documents within RADIUS bits, for every row of ``docs``."""
     rows = store(with_next(docs), "simhash-rows")
     near = near_counts(rows.select("fingerprint")).withColumnRenamed("fingerprint", "of")
     return rows.join(near, F.col("fingerprint") == F.col("of"), "left").select(

@@ -40,6 +40,8 @@ COUNTERS, COUNTER_ROW = 1 << 20, 1 << 14
 #: Bits of a parity sketch; min-hashes of a set; sets compared with each other in one task at most.
 PARITY_BITS, MIN_HASHES, TILE = 1024, 3, 4096
 WORDS64 = PARITY_BITS // 64
+#: Stands for a null doc_id, which pandas would turn all ids into floats for.
+NO_ID = -(1 << 63)
 
 
 def shingle_set(text: str | None, size: int) -> np.ndarray:
@@ -115,7 +117,7 @@ def profiles(docs: DataFrame, size: int, percent: int, counters: np.ndarray) ->
                 table.insert(0, "doc", some["doc"].array)
                 yield table
 
-    return docs.select(F.col("doc_id").alias("doc"), "text").mapInPandas(profile, PROFILE)
+    return docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "text").mapInPandas(profile, PROFILE)
 
 
 def _runs(frames: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
@@ -272,7 +274,7 @@ def verified(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> Data
 def classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs``."""
     rows = store(profiles(docs, size, percent, shingle_counters(docs, size)), "jaccard-profiles")
-    held = rows.where(F.col("n").cast("boolean") & F.col("doc").isNotNull())
+    held = rows.where((F.col("n") > 0) & (F.col("doc") != NO_ID))
     heads = store(held.groupBy("digest").agg(F.min("doc").alias("head")), "jaccard-heads")
     sets = store(
         held.join(heads.withColumnRenamed("digest", "of"), (F.col("digest") == F.col("of")) & (F.col("doc") == F.col("head")))
@@ -306,9 +308,10 @@ def classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         .join(heads.withColumnRenamed("digest", "of"), F.col("digest") == F.col("of"), "left")
         .join(named, F.col("head") == F.col("node"), "left")
     )
+    known = F.col("doc") != NO_ID
     return joined.select(
-        F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"),
-        F.when(F.col("doc").isNotNull(), F.coalesce("component", "head", "doc")).alias("component_id"),
+        F.when(known, F.col("doc")).alias("doc_id"), F.col("n").alias("n_shingles"),
+        F.when(known, F.coalesce("component", "head", "doc")).alias("component_id"),
     )
 
 

@@ -24,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from pricetrail.llm.hashing import LETTERED, word_hashes
 
@@ -160,11 +161,11 @@ class Template:
         return sorted(best)
 
 
-FIELDS = "doc_id long, n_notices long, licenses string, coverage double, spans string"
+FIELDS = "doc_id string, n_notices long, licenses string, coverage double, spans string"
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
-    """FIELDS for every row: notices found, license names, best coverage, name:start:end in code points."""
+    """For every row doc_id, n_notices, licenses by name, the best coverage, and name:start:end in code points."""
     texts = dict(TEMPLATES if templates is None else templates)
 
     def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -185,7 +186,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
                     doc_id, len(spans), ",".join(sorted({s[1] for s in spans})), max((s[3] for s in spans), default=0.0),
                     ",".join(f"{name}:{start}:{end}" for start, name, end, _ in spans),
                 ))
-            table = pd.DataFrame(out, columns=[f.split()[0] for f in FIELDS.split(", ")])
-            yield table.astype({"doc_id": "Int64"})
+            yield pd.DataFrame(out, columns=[f.split()[0] for f in FIELDS.split(", ")])
 
-    return docs.select("doc_id", "text").mapInPandas(judge, FIELDS)
+    # Ids travel as text, as pandas would make floats of ids among which one is null.
+    found = docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(judge, FIELDS)
+    return found.withColumn("doc_id", F.col("doc_id").cast("long"))
