@@ -57,12 +57,38 @@ def month_list(df: DataFrame, column: str) -> list[date]:
     return sorted(r.m for r in months.collect())
 
 
+def in_months(df: DataFrame, first: date | None = None, last: date | None = None) -> DataFrame:
+    """Rows of the months from ``first`` to ``last``; either may be open.
+
+    Bare comparisons, which reach the file scan; tables stored by
+    ``snapshot_month`` are cut to those folders.
+    """
+    if first is not None:
+        df = df.where(F.col("snapshot_date") >= F.lit(first.replace(day=1)))
+    if last is not None:
+        df = df.where(F.col("snapshot_date") < F.lit(_next_month(last)))
+    return in_stored_months(df, first, last)
+
+
+def in_stored_months(df: DataFrame, first: date | None = None, last: date | None = None) -> DataFrame:
+    """Only the month folders of the range, where a table is stored by month."""
+    if "snapshot_month" not in df.columns:
+        return df
+    if first is not None:
+        df = df.where(F.col("snapshot_month") >= f"{first:%Y-%m}")
+    return df if last is None else df.where(F.col("snapshot_month") <= f"{last:%Y-%m}")
+
+
+def _next_month(day: date) -> date:
+    return date(day.year + day.month // 12, day.month % 12 + 1, 1)
+
+
 def months_between(first: date, last: date) -> list[date]:
     """Every month from ``first`` to ``last``, both included."""
     out, current = [], first.replace(day=1)
     while current <= last:
         out.append(current)
-        current = date(current.year + current.month // 12, current.month % 12 + 1, 1)
+        current = _next_month(current)
     return out
 
 

@@ -133,8 +133,11 @@ def hashed_key(parts: Sequence[Column]) -> Column:
 
 
 def whole_id(c: Column) -> Column:
-    """Integer id from text: ``102.0`` and ``102`` are the same id, junk is NULL."""
-    return c.try_cast("double").try_cast("bigint")
+    """Id as text: ``102.0`` and ``102`` are the same id, any other text is itself, '' is NULL.
+
+    Never by way of a number, which would make equal what differs in the 17th place.
+    """
+    return blank_to_null(F.regexp_replace(collapse_ends(c.cast("string")), r"^([0-9]+)\.0+$", "$1"))
 
 
 def formulary(c: Column) -> Column:

@@ -27,7 +27,7 @@ def contents(tables: Mapping[str, DataFrame], stamp: str = "_schedule_code") ->
 
 
 def typed_items(bronze: DataFrame) -> DataFrame:
-    """All-text archive items as typed rows; values that do not parse become NULL."""
+    """All-text archive items as typed rows; dates and prices that do not parse become NULL."""
     return bronze.withColumns(
         {
             "effective_date": F.col("_effective_date").try_cast("date"),
@@ -54,7 +54,7 @@ def superseding(items: DataFrame) -> DataFrame:
 def with_organisation(items: DataFrame, organisations: DataFrame | None) -> DataFrame:
     """Add the responsible person by organisation and schedule date.
 
-    Ids written ``102.0`` and ``102`` match. Without a usable organisation
+    Ids are compared as text, ``102.0`` being ``102``. Without a usable organisation
     table the name is NULL.
     """
     unknown: Column = F.lit(None).cast("string")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pricetrail.functions import numbers
 from pricetrail.functions.numbers import PRICE
-from pricetrail.operators.ordering import GROUP_LIMIT, in_order
+from pricetrail.operators.ordering import SLICE_ROWS, in_order
 
 KEYS = ["item_code", "drug", "form", "brand", "responsible"]
 
@@ -31,6 +31,8 @@ def movers(
     if start >= end:
         raise ValueError("the end month must be after the start month")
     two = prices.where(F.col("snapshot_date").isin(start, end))
+    if "snapshot_month" in prices.columns:  # stored by month: two folders are read
+        two = two.where(F.col("snapshot_month").isin(f"{start:%Y-%m}", f"{end:%Y-%m}"))
     if drugs:
         two = two.where(F.lower("drug").isin([d.lower() for d in drugs]))
     sums = two.groupBy(*KEYS).agg(
@@ -48,23 +50,20 @@ def movers(
     )
 
 
-def summary(moved: DataFrame, at_most: int | None = None, limit: int = GROUP_LIMIT) -> DataFrame:
+def summary(moved: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Count, largest, median and total change.
 
-    The exact median needs the values in order: in one task where their number
-    is known to be small, else over range slices.
+    The exact median needs the values in order, which no one task has: they are
+    numbered over range slices.
     """
     totals = [
         F.count("abs_change").alias("n_items"),
         F.max("abs_change").alias("largest"),
         F.sum("abs_change").cast("decimal(38,2)").alias("total"),
     ]
-    if at_most is not None and at_most <= limit:
-        median = F.median(F.col("abs_change"))
-        return moved.agg(*totals, median.cast(PRICE).alias("median"))
     ranked = in_order(
         moved, [], [F.col(c) for c in ("abs_change", *KEYS)],
-        row_number="rn", group_size="n", limit=limit,
+        row_number="rn", group_size="n", sliced=True, slice_rows=slice_rows,
     )
     middle = F.col("rn").isin(F.floor((F.col("n") + 1) / 2), F.floor((F.col("n") + 2) / 2))
     return ranked.agg(*totals, F.avg(F.when(middle, F.col("abs_change"))).cast(PRICE).alias("median"))

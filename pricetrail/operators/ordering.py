@@ -1,11 +1,11 @@
 """Positions and neighbours inside ordered groups, whatever the size of a group.
 
-A plain window puts each group into one task. That is the right plan for
-groups of a known size and the wrong one for a group that holds a third of the
-table. ``in_order`` takes the plain plan when the number of rows bounds every
-group, or a count of the stored rows does. Beyond that it cuts the sorted rows
-into range slices, works inside each slice, and carries the counts and edge
-values of the slices across, so that no task sees more than a slice.
+A plain window puts each group into one task. That is the right plan where the
+key bounds a group, as a series is bounded by its months, and the wrong one for
+a group that may hold a third of the table. The caller says which it is:
+``sliced`` cuts the sorted rows into range slices, works inside each slice, and
+carries the counts and edge values of the slices across, so that no task sees
+more than a slice. The plan never depends on how many rows there are.
 """
 
 from __future__ import annotations
@@ -18,18 +18,12 @@ from pyspark.sql import functions as F
 
 from pricetrail.session import store
 
-# Rows of one group that a single task may sort.
-GROUP_LIMIT = 10_000_000
+# Rows of a slice, about.
+SLICE_ROWS = 1_000_000
 
 _SLICE = "__slice"
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows in the largest group. Counts are combined before the shuffle."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
-
-
 def in_order(
     df: DataFrame,
     keys: Sequence[str],
@@ -39,20 +33,20 @@ def in_order(
     group_size: str | None = None,
     previous: Mapping[str, str] | None = None,
     following: Mapping[str, str] | None = None,
-    at_most: int | None = None,
-    limit: int = GROUP_LIMIT,
+    sliced: bool = False,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Add positions and neighbour values within ``keys``, sorted by ``order``.
 
     ``order`` must tell any two rows of a group apart. ``previous`` and
     ``following`` map new columns to the column they take from the row before
-    or after. ``at_most`` is a proven bound on the rows of ``df``, if known.
+    or after. ``sliced`` is for groups that nothing bounds.
     """
     previous, following = dict(previous or {}), dict(following or {})
-    if at_most is None or at_most > limit:
-        df = store(df, "ordered")
-        if largest_group(df, keys) > limit:
-            return _across_slices(df, keys, order, row_number, group_size, previous, following, limit)
+    if sliced:
+        return _across_slices(
+            store(df, "ordered"), keys, order, row_number, group_size, previous, following, slice_rows
+        )
     grouped = Window.partitionBy(*keys)
     w = grouped.orderBy(*order)
     added = {new: F.lag(old).over(w) for new, old in previous.items()}
@@ -64,9 +58,9 @@ def in_order(
     return df.withColumns(added)
 
 
-def _across_slices(df, keys, order, row_number, group_size, previous, following, limit):
+def _across_slices(df, keys, order, row_number, group_size, previous, following, slice_rows):
     total = df.count()
-    slices = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // limit + 1)
+    slices = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // slice_rows + 1)
     # Stored, so that the slice of a row cannot change if a task is run again.
     sliced = store(
         df.repartitionByRange(slices, *[F.col(k) for k in keys], *order).withColumn(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pricetrail.functions import numbers, text
 from pricetrail.functions.months import four_month_bucket, month_name, month_start
-from pricetrail.operators.ordering import GROUP_LIMIT, in_order
+from pricetrail.operators.ordering import in_order
 
 _SHOWN = ["item_code", "brand", "form", "formulary", "amt_pack", "responsible"]
 _KEYED = ["drug", "form", "brand", "responsible", "amt_pack"]
@@ -21,21 +21,22 @@ def price_series(prices: DataFrame, drugs: Sequence[str] | None = None) -> DataF
 
     Names and keys start with the drug, so series of different drugs stay
     apart. The drug filter sits below the aggregation. Names are made once per
-    identity and joined to its months: normalising text costs far more than
-    the join, and an identity has no more rows there than there are months.
+    identity, whose months are gathered meanwhile: prices are read once.
     """
     ids = [c for c in _IDS if c in prices.columns]
     if drugs is not None:
         prices = prices.where(F.lower("drug").isin([d.lower() for d in drugs]))
     usable = prices.where(F.col("aemp").isNotNull() & F.col("snapshot_date").isNotNull())
     usable = usable.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in ids})
-    means = usable.groupBy(*ids, month_start(F.col("snapshot_date")).alias("month")).agg(
+    points = usable.groupBy(*ids, month_start(F.col("snapshot_date")).alias("month")).agg(
         (F.sum("aemp").cast("double") / F.count("aemp")).alias("aemp")
     )
-    named = _named(usable.select(*ids).distinct(), drugs)
+    # An identity has a point per month at most: few enough to travel in one row while it is named.
+    identities = points.groupBy(*ids).agg(F.collect_list(F.struct("month", "aemp")).alias("points"))
+    named = _named(identities, drugs)
     if "first_listed_date" not in ids:
         named = named.withColumn("first_listed_date", F.lit(None).cast("string"))
-    return means.join(named, ids).select(
+    return named.select(*[c for c in named.columns if c != "points"], F.inline("points")).select(
         "month", "display_name", "aemp", "item_code", "form", "responsible", "amt_pack",
         "series_id", "first_listed_date", F.col("selected").alias("drug"),
     )
@@ -45,11 +46,14 @@ def _named(identities: DataFrame, drugs: Sequence[str] | None) -> DataFrame:
     if drugs is None:
         tagged = identities.withColumn("selected", F.col("drug"))
     else:
-        # The user's own list of picks: one short row each.
-        picks = identities.sparkSession.createDataFrame(
-            [(d,) for d in dict.fromkeys(drugs)], "selected string"
-        )
-        tagged = identities.join(picks, F.lower("drug") == F.lower("selected"))
+        # The user's own list of picks, each spelling apart, as a literal.
+        spelt: dict[str, list[str]] = {}
+        for d in dict.fromkeys(drugs):
+            spelt.setdefault(d.lower(), []).append(d)
+        picked = F.lit(None).cast("array<string>")
+        for low, names in spelt.items():
+            picked = F.when(F.lower("drug") == low, F.array(*[F.lit(n) for n in names])).otherwise(picked)
+        tagged = identities.withColumn("selected", F.explode(picked))
     return tagged.withColumns(
         {
             "display_name": F.concat(
@@ -112,16 +116,17 @@ def identifiers(series: DataFrame) -> DataFrame:
     return series.select("series_id", "display_name").distinct().orderBy("display_name", "series_id")
 
 
-def change_points(series: DataFrame, at_most: int | None = None, limit: int = GROUP_LIMIT) -> DataFrame:
+def change_points(series: DataFrame, sliced: bool = False) -> DataFrame:
     """First and last point of each series and the points around each price change.
 
     All flags come from the neighbours in one sort order (month, name, price).
+    A series is bounded by its months and names; ``sliced`` is for series that are not.
     """
     order = [F.col(c) for c in ("month", "display_name", "aemp", "item_code", "first_listed_date")]
     seen = in_order(
         series, ["series_id"], order,
         previous={"prev_aemp": "aemp"}, following={"next_aemp": "aemp"},
-        at_most=at_most, limit=limit,
+        sliced=sliced,
     )
     flagged = seen.withColumns(
         {
@@ -135,8 +140,11 @@ def change_points(series: DataFrame, at_most: int | None = None, limit: int = GR
     return kept.withColumn("price_label", numbers.money_text(F.col("aemp")))
 
 
-def price_crowding(points: DataFrame, at_most: int | None = None, limit: int = GROUP_LIMIT) -> DataFrame:
-    """Place and size of each point among points of like month, price and side."""
+def price_crowding(points: DataFrame, sliced: bool = True) -> DataFrame:
+    """Place and size of each point among points of like month, price and side.
+
+    Nothing bounds the points of a month and price band, so they are placed in slices.
+    """
     placed = points.withColumns(
         {
             "month_bucket": four_month_bucket(F.col("month")),
@@ -147,7 +155,7 @@ def price_crowding(points: DataFrame, at_most: int | None = None, limit: int = G
     order = [F.col(c) for c in ("series_id", "month", "display_name", "aemp", "item_code", "first_listed_date")]
     ranked = in_order(
         placed, ["month_bucket", "price_band", "label_side"], order,
-        row_number="__rn", group_size="collision_size", at_most=at_most, limit=limit,
+        row_number="__rn", group_size="collision_size", sliced=sliced,
     )
     return ranked.withColumn("collision_rank", F.col("__rn") - 1).drop("__rn")
 

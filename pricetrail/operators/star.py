@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pricetrail.functions import text
 from pricetrail.functions.numbers import PRICE
-from pricetrail.operators.ordering import GROUP_LIMIT, in_order
+from pricetrail.operators.ordering import in_order
 from pricetrail.sources.layouts import Layout
 
 DIM_COLUMNS = [
@@ -70,11 +70,12 @@ def collisions(rows: DataFrame, layout: Layout) -> DataFrame:
 
 
 def _lines(rows: DataFrame, layout: Layout) -> DataFrame:
-    """Distinct lines with the date each was first seen."""
+    """Distinct lines with the date each was first seen. NULL and '' are one part, as in the id."""
+    parts = [F.coalesce(F.col(c), F.lit("")).alias(f"__{c}") for c in layout.base]
     distinct = (
         signed(rows, layout)
-        .groupBy(*layout.base, "variant_signature_base", "aemp")
-        .agg(F.min("snapshot_date").alias("first_seen"))
+        .groupBy(*parts, "variant_signature_base", "aemp")
+        .agg(F.min("snapshot_date").alias("first_seen"), *[F.max(c).alias(c) for c in layout.base])
     )
     return distinct.select(
         line_id(layout).alias("product_line_id"),
@@ -87,7 +88,7 @@ def _lines(rows: DataFrame, layout: Layout) -> DataFrame:
     )
 
 
-def _numbered(lines: DataFrame, layout: Layout, at_most: int | None, limit: int) -> DataFrame:
+def _numbered(lines: DataFrame, layout: Layout, sliced: bool) -> DataFrame:
     return in_order(
         lines,
         [_BASE_NAMES[c] for c in layout.base],
@@ -97,24 +98,25 @@ def _numbered(lines: DataFrame, layout: Layout, at_most: int | None, limit: int)
             F.col("variant_signature_base").asc(),
         ],
         row_number="variant_no",
-        at_most=at_most,
-        limit=limit,
+        sliced=sliced,
     )
 
 
 def product_lines(
-    rows: DataFrame, layout: Layout, at_most: int | None = None, limit: int = GROUP_LIMIT
+    rows: DataFrame, layout: Layout, sliced: bool = False
 ) -> DataFrame:
     """The whole dimension from the whole history.
 
     Variants of a base count up in the order they appear; within a snapshot the
     higher price comes first. This equals loading the files one by one.
+    A base has a line per price it ever had; ``sliced`` is for bases with more
+    of them than a task can sort.
     """
-    return _numbered(_lines(rows, layout), layout, at_most, limit).select(*DIM_COLUMNS)
+    return _numbered(_lines(rows, layout), layout, sliced).select(*DIM_COLUMNS)
 
 
 def new_lines(
-    rows: DataFrame, dim: DataFrame, layout: Layout, at_most: int | None = None, limit: int = GROUP_LIMIT
+    rows: DataFrame, dim: DataFrame, layout: Layout, sliced: bool = False
 ) -> DataFrame:
     """Lines of a batch that the stored dimension lacks, numbered after its variants."""
     unseen = _lines(rows, layout).join(dim.select("product_line_id"), "product_line_id", "left_anti")
@@ -122,7 +124,7 @@ def new_lines(
     highest = dim.groupBy(*base).agg(F.max("variant_no").alias("__highest"))
     highest = highest.select(*[F.col(b).alias(f"__{b}") for b in base], "__highest")
     same = reduce(lambda a, b: a & b, [F.col(b).eqNullSafe(F.col(f"__{b}")) for b in base])
-    numbered = _numbered(unseen, layout, at_most, limit).join(highest, same, "left")
+    numbered = _numbered(unseen, layout, sliced).join(highest, same, "left")
     return numbered.withColumn(
         "variant_no", F.col("variant_no") + F.coalesce("__highest", F.lit(0))
     ).select(*DIM_COLUMNS)

@@ -37,6 +37,12 @@ def code_ends(series: DataFrame) -> DataFrame:
     )
 
 
+def codes_of_prices(prices: DataFrame) -> DataFrame:
+    """Drug, form and item code of the priced rows: all that code lists need of a series."""
+    priced = prices.where(F.col("aemp").isNotNull() & F.col("snapshot_date").isNotNull())
+    return priced.select(*[F.coalesce(c, F.lit("")).alias(c) for c in (*GROUP, "item_code")]).distinct()
+
+
 def visible_codes(series: DataFrame) -> DataFrame:
     return series.select(_code("item_code").alias("code")).distinct()
 

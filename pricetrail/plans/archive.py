@@ -10,6 +10,16 @@ from pricetrail.sources import archive_files
 from pricetrail.sources.tables import load
 
 
+def _odd_id(number, tail=""):
+    """``ORG7``, ``102.5``, 16-digit neighbours or a whole number, by the number itself."""
+    return (
+        F.when(number % 4 == 0, F.concat(F.lit("ORG"), number))
+        .when(number % 4 == 1, F.concat(number, F.lit(".5")))
+        .when(number % 4 == 2, (F.lit(9007199254740992) + number).cast("string"))
+        .otherwise(F.concat(number, F.lit(tail)))
+    )
+
+
 def _bronze(spark, folder):
     """Items as archive text rows: schedule code and effective date beside them."""
     found = items(spark, folder)
@@ -44,6 +54,26 @@ def archive_replace(spark, folder):
     return sinks.read_archive(spark, path)
 
 
+@query(
+    f"""WITH {ITEMS}
+SELECT CAST(li_item_id AS VARCHAR) AS li_item_id, pbs_code, li_drug_name, formulary,
+       CAST(determined_price AS VARCHAR) AS determined_price, strftime(effective_date, '%Y%m%d') AS schedule_code,
+       strftime(effective_date, '%Y-%m-%d') AS _effective_date
+FROM items WHERE day(effective_date) <> 7"""
+)
+def archive_clear(spark, folder):
+    """All schedules loaded, then one day sent again as a page without rows."""
+    bronze, path, page = _bronze(spark, folder), new_path(spark, "items"), new_path(spark, "pages")
+    dates = [r[0] for r in bronze.select("_effective_date").distinct().collect()]
+    sinks.replace_schedules(bronze, path, dates)
+    spark.createDataFrame([('{"_meta": {"total_records": 0}, "data": []}',)], "value string").write.text(page)
+    for day in (d for d in dates if d.endswith("-07")):
+        empty = archive_files.read_pages(spark, page, columns=["li_item_id", "pbs_code"])
+        sinks.replace_schedules(sinks.stamp(empty, day.replace("-", ""), day), path, [day])
+    kept = [*bronze.columns[:-1]]
+    return sinks.read_archive(spark, path, kept).withColumn("_effective_date", F.col("_effective_date").cast("string"))
+
+
 @query(
     f"""WITH {ITEMS}
 SELECT li_item_id, effective_date, determined_price, pbs_code, coalesce(li_drug_name, 'n/a, "none"') AS li_drug_name, formulary
@@ -145,15 +175,18 @@ def superseding_schedule(spark, folder):
 FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey"""
 )
 def org_join(spark, folder):
-    """Supplier ids written ``12.0`` on one side and ``12`` on the other."""
+    """Supplier ids of four kinds: text, fractions, neighbouring long numbers, and whole numbers
+    written ``12.0`` on one side and ``12`` on the other."""
     line = load(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey",
         F.trunc("l_shipdate", "MM").alias("effective_date"),
-        F.concat(F.col("l_suppkey"), F.lit(".0")).alias("organisation_id"),
+        _odd_id(F.col("l_suppkey"), ".0").alias("organisation_id"),
     )
     supplier = load(spark, folder, "supplier").where("s_acctbal >= 0").select(
-        F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("name")
+        _odd_id(F.col("s_suppkey")).alias("id"), F.col("s_name").alias("name")
     )
-    listed = line.select(F.regexp_replace("organisation_id", r"\.0$", "").alias("id"), "effective_date").distinct()
+    listed = load(spark, folder, "lineitem").select(
+        _odd_id(F.col("l_suppkey")).alias("id"), F.trunc("l_shipdate", "MM").alias("effective_date")
+    ).distinct()
     organisations = listed.join(supplier, "id")
     return archive.with_organisation(line, organisations).drop("organisation_id")

@@ -2,21 +2,22 @@
 
 from datetime import date
 
-from pricetrail.operators import events, summary
+from pricetrail.functions.months import in_months
+from pricetrail.operators import events, series, summary
 from pricetrail.operators.sinks import replace_table
 from pricetrail.plans import sqltext as q
 from pricetrail.plans.fixtures import (
-    DATED_EVENTS, LISTED, PRICE_EVENTS, SNAP, dated_events, item_events, items, listed_items,
+    DATED_EVENTS, LISTED, PRICE_EVENTS, SNAP, coarse_snap, dated_events, item_events, items, listed_items,
 )
 from pricetrail.plans.registry import query
-from pricetrail.plans.series import _FIRST_LAST, SERIES, coarse_series
+from pricetrail.plans.series import _FIRST_LAST, SERIES
 from pricetrail.session import new_path, store
 
 _VIEW = (date(1995, 2, 1), date(1997, 6, 1))
 
 
 def _price_events(spark, folder):
-    return events.price_events(item_events(spark, folder), items(spark, folder))
+    return events.price_events(item_events(spark, folder), store(items(spark, folder), "items"))
 
 
 @query(f"WITH {PRICE_EVENTS} SELECT * FROM price_events")
@@ -50,7 +51,11 @@ def event_reconcile(spark, folder):
     return events.reconcile(item_events(spark, folder), _price_events(spark, folder))
 
 
-_VIEWED = f"""{DATED_EVENTS},{SERIES},
+# One range of months for the prices and the events of a card.
+_SERIES_IN_VIEW = SERIES.replace(
+    "FROM snap GROUP BY ALL", f"FROM snap WHERE snapshot_date BETWEEN DATE '{_VIEW[0]}' AND DATE '{_VIEW[1]}' GROUP BY ALL"
+)
+_VIEWED = f"""{DATED_EVENTS},{_SERIES_IN_VIEW},
 in_view AS (
   SELECT trim(pbs_code) AS code, CAST(date_trunc('month', event_date) AS DATE) AS month, coalesce(event_label, 'None') AS event_label
   FROM dated_events
@@ -64,7 +69,7 @@ def _in_view(spark, folder, points):
 
 
 def _ends(spark, folder):
-    return store(summary.code_ends(coarse_series(spark, folder)), "ends")
+    return store(summary.code_ends(series.price_series(in_months(coarse_snap(spark, folder), *_VIEW))), "ends")
 
 
 @query(
@@ -73,7 +78,8 @@ SELECT month, CAST(count(*) AS BIGINT) AS event_count,
        array_to_string(list_sort(list_distinct(list(event_label))), ', ') AS event_labels FROM in_view GROUP BY month"""
 )
 def event_markers(spark, folder):
-    return summary.event_markers(_in_view(spark, folder, coarse_series(spark, folder)))
+    codes = summary.codes_of_prices(in_months(coarse_snap(spark, folder), *_VIEW))
+    return summary.event_markers(_in_view(spark, folder, codes))
 
 
 @query(f"WITH {SNAP},{LISTED} SELECT code FROM exempt")
@@ -94,7 +100,8 @@ class AS (
 @query(f"WITH {SERIES},{LISTED},{_CLASS} SELECT drug, form, n_exempt, n_codes, {_EXEMPT_TEXT} FROM class")
 def exemption_class(spark, folder):
     listed, medicines = listed_items(spark, folder)
-    return summary.exemption_class(coarse_series(spark, folder), summary.exempt_codes(medicines, listed))
+    codes = summary.codes_of_prices(coarse_snap(spark, folder))
+    return summary.exemption_class(codes, summary.exempt_codes(medicines, listed))
 
 
 _LAST_EVENT = """seen AS (SELECT DISTINCT drug, form, v.month, v.event_label FROM codes c JOIN in_view v ON v.code = c.code),
@@ -122,11 +129,11 @@ _PCT = q.cents("(CAST(fl AS DOUBLE) - CAST(ff AS DOUBLE)) / nullif(CAST(ff AS DO
 groups AS (
   SELECT drug, form, count(*) AS n_series, min(first_month) AS fm, max(last_month) AS lm,
          min({_CENT.format('first_aemp')}) AS ff, max({_CENT.format('first_aemp')}) AS fh,
-         min({_CENT.format('last_aemp')}) AS fl, max({_CENT.format('last_aemp')}) AS lh
+         min({_CENT.format('last_aemp')}) AS fl, max({_CENT.format('last_aemp')}) AS lh, min(listed) AS lst
   FROM ends GROUP BY drug, form
 ),
 pct AS (SELECT *, {_PCT} AS p FROM groups)
-SELECT g.drug, g.form, strftime(fm, '%b %Y') || ' – ' || strftime(lm, '%b %Y') AS range, 'unknown' AS first_listed,
+SELECT g.drug, g.form, strftime(fm, '%b %Y') || ' – ' || strftime(lm, '%b %Y') AS range, strftime(lst, '%b %Y') AS first_listed,
        CASE WHEN fl = lh THEN {q.money('fl')} ELSE {q.money('fl')} || ' – ' || {q.money('lh')} END AS latest,
        CASE WHEN ff = fh AND fl = lh AND ff <> 0
             THEN CASE WHEN p < 0 THEN '' ELSE '+' END || format('{{:.2f}}%', p) || ' from ' || {q.money('ff')}

@@ -14,11 +14,15 @@ from pyspark.sql import functions as F
 from pricetrail.functions.months import months_between
 from pricetrail.functions.numbers import PRICE
 from pricetrail.operators.events import price_events
+from pricetrail.session import store
 from pricetrail.sources.tables import load, load_spread
 
+# The day the item of key 0 was first listed; later keys follow day by day.
+FIRST_LISTING = date(1990, 1, 1)
 START, END = date(1998, 5, 1), date(1998, 6, 1)
 SIX_MONTHS = months_between(date(1998, 1, 1), END)
-ALL_MONTHS = months_between(date(1995, 1, 1), date(2001, 12, 1))
+# What the snapshots hold at every scale; only the SQL needs them beforehand.
+ALL_MONTHS = months_between(date(1995, 1, 1), date(2001, 11, 1))
 
 
 def snap(spark: SparkSession, folder: str) -> DataFrame:
@@ -39,6 +43,7 @@ def snap(spark: SparkSession, folder: str) -> DataFrame:
             F.col("s_name").alias("responsible"),
             F.concat_ws(", ", "p_type", F.col("p_size").cast("string")).alias("amt_pack"),
             F.trunc("l_shipdate", "MM").alias("snapshot_date"),
+            F.date_add(F.lit(FIRST_LISTING), F.col("l_partkey").cast("int") % 1000).cast("string").alias("first_listed_date"),
             F.col("l_extendedprice").cast(PRICE).alias("aemp"),
             F.col("l_quantity").cast(PRICE).alias("coarse"),
             F.col("l_tax").cast(PRICE).alias("tax"),
@@ -47,23 +52,19 @@ def snap(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-SNAP = """
+SNAP = f"""
 snap AS (
   SELECT CAST(l_partkey AS VARCHAR) AS item_code, p_name AS drug, p_type AS form, p_brand AS brand,
          l_returnflag AS formulary, l_linestatus AS program, CAST(p_size AS VARCHAR) AS pack_qty,
          s_name AS responsible, p_type || ', ' || CAST(p_size AS VARCHAR) AS amt_pack,
          CAST(date_trunc('month', l_shipdate) AS DATE) AS snapshot_date,
+         strftime(DATE '{FIRST_LISTING}' + CAST(l_partkey % 1000 AS INTEGER), '%Y-%m-%d') AS first_listed_date,
          CAST(l_extendedprice AS DECIMAL(18,6)) AS aemp, CAST(l_quantity AS DECIMAL(18,6)) AS coarse,
          CAST(l_tax AS DECIMAL(18,6)) AS tax, CAST(l_discount AS DECIMAL(18,6)) AS discount
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
 )"""
 
 
-def snap_rows(spark: SparkSession, folder: str) -> int:
-    """Bound on the rows of anything grouped from ``snap``: read from file footers."""
-    return load(spark, folder, "lineitem").count()
-
-
 def coarse_snap(spark: SparkSession, folder: str, nulls: bool = False) -> DataFrame:
     """``snap`` priced by quantity and without suppliers: prices and variants repeat. NULLs on request."""
     rows = snap(spark, folder).withColumns(
@@ -204,7 +205,7 @@ price_events AS (
 
 def dated_events(spark: SparkSession, folder: str) -> DataFrame:
     """Pricing events moved onto the months of ``snap``: day n of the events is its month n."""
-    found = price_events(item_events(spark, folder), items(spark, folder))
+    found = price_events(item_events(spark, folder), store(items(spark, folder), "items"))
     return found.withColumn("event_date", F.add_months(F.lit(date(1995, 1, 1)), F.day("event_date") - 1))
 
 
@@ -216,13 +217,14 @@ dated_events AS (
 
 
 def listed_items(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Yearly item lists of ``snap`` and their medicine table with exemption flags."""
+    """Yearly item lists of ``snap``, stored once, and their medicine table with exemption flags."""
     found = snap(spark, folder).select(
         F.col("item_code").alias("li_item_id"),
         F.trunc("snapshot_date", "YEAR").alias("effective_date"),
         F.concat(F.lit(" "), F.col("item_code")).alias("pbs_code"),
         "pack_qty", "brand", "form",
     ).distinct()
+    found = store(found, "listed")
     size = F.col("pack_qty").cast("int")
     medicines = found.select(
         "li_item_id", "effective_date",

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pricetrail.operators import sinks, star
 from pricetrail.plans import sqltext as q
-from pricetrail.plans.fixtures import SNAP, coarse_snap, coarse_sql, snap, snap_rows
+from pricetrail.plans.fixtures import SNAP, coarse_snap, coarse_sql, snap
 from pricetrail.plans.registry import query
 from pricetrail.session import new_path
 from pricetrail.sources.layouts import MULTI_PRICE, SINGLE_PRICE
@@ -106,7 +106,7 @@ dim AS (
 @query(f"WITH {_DIM_SQL} SELECT * FROM dim")
 def variant_dim(spark, folder):
     return star.product_lines(
-        coarse_snap(spark, folder, nulls=True), SINGLE_PRICE, at_most=snap_rows(spark, folder)
+        coarse_snap(spark, folder, nulls=True), SINGLE_PRICE
     )
 
 
@@ -129,10 +129,16 @@ UNION ALL SELECT 'raw_rows', count(*) FROM g"""
 )
 def ingest_counts(spark, folder):
     rows = coarse_snap(spark, folder, nulls=True)
-    dim = star.product_lines(rows, SINGLE_PRICE, at_most=snap_rows(spark, folder))
+    dim = star.product_lines(rows, SINGLE_PRICE)
     return star.run_counts(dim, star.monthly_facts(rows, SINGLE_PRICE), rows)
 
 
+@query(f"WITH {_DIM_SQL} SELECT * FROM dim")
+def variant_dim_sliced(spark, folder):
+    """The same by the plan for bases with more lines than a task could sort."""
+    return star.product_lines(coarse_snap(spark, folder, nulls=True), SINGLE_PRICE, sliced=True)
+
+
 # Priced by quantity, with tax and discount as further metrics; some prices are NULL.
 def _multi(spark, folder):
     rows = coarse_snap(spark, folder, nulls=True)
@@ -186,7 +192,7 @@ SELECT {_LINE} AS product_line_id, aemp AS variant_init_aemp,
        row_number() OVER (PARTITION BY {_BASE} ORDER BY first_seen, aemp DESC NULLS LAST, sig) AS variant_no FROM lines"""
 )
 def multi_metric_dim(spark, folder):
-    dim = star.product_lines(_multi(spark, folder), MULTI_PRICE, at_most=snap_rows(spark, folder))
+    dim = star.product_lines(_multi(spark, folder), MULTI_PRICE)
     return dim.select("product_line_id", "variant_init_aemp", "variant_no")
 
 
@@ -201,12 +207,11 @@ def _two_batches(spark, folder):
         "source_file", F.concat(F.lit("resent-"), F.col("source_file"))
     )
     dim_path, fact_path = new_path(spark, "dim"), new_path(spark, "fact")
-    bound = snap_rows(spark, folder)
-    sinks.append_lines(star.product_lines(first, SINGLE_PRICE, at_most=bound), dim_path)
+    sinks.append_lines(star.product_lines(first, SINGLE_PRICE), dim_path)
     sinks.append_facts(star.monthly_facts(first, SINGLE_PRICE), fact_path)
     dim, facts = spark.read.parquet(dim_path), spark.read.parquet(fact_path)
     dates = [r[0] for r in again.select("snapshot_date").distinct().collect()]
-    sinks.append_lines(star.new_lines(again, dim, SINGLE_PRICE, at_most=bound), dim_path)
+    sinks.append_lines(star.new_lines(again, dim, SINGLE_PRICE), dim_path)
     sinks.append_facts(star.new_facts(again, facts, SINGLE_PRICE, dates), fact_path)
     return spark.read.parquet(dim_path), spark.read.parquet(fact_path)
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from pricetrail.operators import movers as op
 from pricetrail.plans import sqltext as q
-from pricetrail.plans.fixtures import END, SNAP, START, snap, snap_rows
+from pricetrail.plans.fixtures import END, SNAP, START, snap
 from pricetrail.plans.registry import query
 
 _KEYS = ", ".join(op.KEYS)
@@ -65,7 +65,7 @@ _TOTALS = """count(abs_change) AS n_items, max(abs_change) AS largest, CAST(sum(
 @query(f"WITH {_by_form_sql(True)} SELECT {_TOTALS} FROM moved")
 def mom_summary(spark, folder):
     moved = op.movers(_by_form(spark, folder), START, END)
-    return op.summary(moved, at_most=snap_rows(spark, folder))
+    return op.summary(moved)
 
 
 @query(
@@ -75,7 +75,7 @@ SELECT 'Summary: ' || n_items || ' items decreased. Largest −' || {q.money('la
 )
 def mom_summary_text(spark, folder):
     moved = op.movers(_by_form(spark, folder), START, END, rising=False)
-    return op.summary_text(op.summary(moved, at_most=snap_rows(spark, folder)), rising=False)
+    return op.summary_text(op.summary(moved), rising=False)
 
 
 @query(

@@ -2,7 +2,7 @@
 
 from pricetrail.operators import series, star
 from pricetrail.plans import sqltext as q
-from pricetrail.plans.fixtures import SIX_MONTHS, SNAP, coarse_snap, coarse_sql, snap, snap_rows
+from pricetrail.plans.fixtures import SIX_MONTHS, SNAP, coarse_snap, coarse_sql, snap
 from pricetrail.plans.ingest import _LINE, _SIG
 from pricetrail.plans.registry import query
 from pricetrail.sources.layouts import SINGLE_PRICE
@@ -13,13 +13,13 @@ _KEY = ", ".join(q.canon(c) for c in ("drug", "form", "brand", "responsible", "a
 # Suppliers are left out of the series and prices are coarse, so that series repeat items and prices.
 SERIES = f"""{SNAP},
 means AS (
-  SELECT item_code, drug, form, brand, formulary, amt_pack, '' AS responsible, snapshot_date AS month,
+  SELECT item_code, drug, form, brand, formulary, amt_pack, '' AS responsible, snapshot_date AS month, first_listed_date,
          CAST(sum(coarse) AS DOUBLE) / count(coarse) AS aemp
   FROM snap GROUP BY ALL
 ),
 series AS (
   SELECT month, drug || ' · ' || {_SHOWN} AS display_name, aemp, item_code, form, responsible, amt_pack,
-         drug || '|' || concat_ws('|', {_KEY}) AS series_id, CAST(NULL AS VARCHAR) AS first_listed_date, drug
+         drug || '|' || concat_ws('|', {_KEY}) AS series_id, first_listed_date, drug
   FROM means
 )"""
 
@@ -60,7 +60,7 @@ SELECT DISTINCT snapshot_date AS month, {_LINE} AS product_line_id, item_code, a
 )
 def line_listing(spark, folder):
     rows = coarse_snap(spark, folder)
-    dim = star.product_lines(rows, SINGLE_PRICE, at_most=snap_rows(spark, folder))
+    dim = star.product_lines(rows, SINGLE_PRICE)
     return series.line_listing(dim, star.monthly_facts(rows, SINGLE_PRICE))
 
 
@@ -102,7 +102,13 @@ points AS (
 
 @query(f"WITH {_CHANGES} SELECT * FROM points")
 def change_points(spark, folder):
-    return series.change_points(coarse_series(spark, folder), at_most=snap_rows(spark, folder))
+    return series.change_points(coarse_series(spark, folder))
+
+
+@query(f"WITH {_CHANGES} SELECT * FROM points")
+def change_points_sliced(spark, folder):
+    """The same by the plan for series that no task could sort."""
+    return series.change_points(coarse_series(spark, folder), sliced=True)
 
 
 @query(
@@ -117,9 +123,8 @@ SELECT *, row_number() OVER (PARTITION BY month_bucket, price_band, label_side O
 FROM placed"""
 )
 def price_crowding(spark, folder):
-    bound = snap_rows(spark, folder)
-    points = series.change_points(coarse_series(spark, folder), at_most=bound)
-    return series.price_crowding(points, at_most=bound).select(
+    points = series.change_points(coarse_series(spark, folder))
+    return series.price_crowding(points).select(
         "series_id", "month", "display_name", "aemp", "month_bucket", "price_band", "label_side",
         "collision_rank", "collision_size",
     )
@@ -129,7 +134,7 @@ _FIRST_LAST = f"""{SERIES},
 ends AS (
   SELECT drug, form, series_id, first(aemp ORDER BY month, display_name, aemp) AS first_aemp,
          last(aemp ORDER BY month, display_name, aemp) AS last_aemp, min(month) AS first_month, max(month) AS last_month,
-         CAST(NULL AS DATE) AS listed
+         CAST(min(first_listed_date) AS DATE) AS listed
   FROM series GROUP BY drug, form, series_id
 )"""
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,17 +36,26 @@ def read_bundle_csv(spark: SparkSession, path: str, quoted_newlines: bool = True
     )
 
 
-def read_pages(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_pages(
+    spark: SparkSession, path: str, multi_line: bool = True, columns: Sequence[str] | None = None
+) -> DataFrame:
     """Rows of landed JSON pages, every column text; nested values stay JSON text.
 
-    Names are inferred in a first pass. The second pass reads each value as
-    text, so rows whose nested keys differ need no common shape.
+    With ``columns`` the pages are read once. Without, names are inferred in a
+    first pass. Each value is read as text, so rows whose nested keys differ need
+    no common shape.
     """
+    if columns:
+        return _page_rows(spark, path, multi_line, columns)
     inferred = spark.read.option("multiLine", multi_line).json(path).schema
     rows = inferred["data"].dataType
     if not isinstance(rows, T.ArrayType) or not isinstance(rows.elementType, T.StructType):
         return spark.createDataFrame([], T.StructType())
     names = [f.name for f in rows.elementType.fields if f.name not in BOOKKEEPING]
+    return _page_rows(spark, path, multi_line, names)
+
+
+def _page_rows(spark: SparkSession, path: str, multi_line: bool, names: Sequence[str]) -> DataFrame:
     as_text = T.StructType([T.StructField(n, T.StringType()) for n in names])
     schema = T.StructType([T.StructField("data", T.ArrayType(as_text))])
     pages = spark.read.option("multiLine", multi_line).schema(schema).json(path)

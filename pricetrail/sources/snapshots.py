@@ -8,6 +8,7 @@ one per file.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -28,9 +29,6 @@ EMPTY_CELLS = [
 
 PROBLEMS = "source_file string, problem string"
 
-# A listing of this many files is some tens of megabytes.
-BROADCAST_FILES = 100_000
-
 
 def find_column(headers: Sequence[str], aliases: Sequence[str]) -> str | None:
     """First alias equal to a header, else the first header containing any alias."""
@@ -68,10 +66,14 @@ def _files(spark: SparkSession, glob: str) -> DataFrame:
     return found.withColumn("snapshot", F.when(is_part, folder).otherwise(F.col("__path")))
 
 
-def _reader(spark: SparkSession, fmt: str):
+def _reader(spark: SparkSession, fmt: str, header: Sequence[str], quoted_newlines: bool):
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.options(header=True, inferSchema=False, escape='"', multiLine=True)
+        # Part files are read by position: one with its columns in another order is an error.
+        named = len({h.lower() for h in header}) == len(header) and all(h.strip() for h in header)
+        reader = reader.options(
+            header=True, inferSchema=False, escape='"', multiLine=quoted_newlines, enforceSchema=not named
+        )
     return reader
 
 
@@ -91,15 +93,17 @@ def _headers(spark: SparkSession, fmt: str, snapshots: dict[str, str]) -> dict[s
 
 
 def read_snapshots(
-    spark: SparkSession, glob: str, layout: Layout, fmt: str = "csv"
+    spark: SparkSession, glob: str, layout: Layout, fmt: str = "csv", quoted_newlines: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """All snapshots under ``glob`` as canonical text columns, and the problems met.
 
-    Files without a required header are left out and named in the problems.
+    Files without a required header are left out and named in the problems. A CSV
+    file is one task unless ``quoted_newlines`` is False, for files without line
+    breaks inside cells; large loads pass that, or land as Parquet or part files.
     """
     files = _files(spark, glob)
     # One row per snapshot, that is per month.
-    found = files.groupBy("snapshot").agg(F.min("__path").alias("sample"), F.count(F.lit(1)).alias("n")).collect()
+    found = files.groupBy("snapshot").agg(F.min("__path").alias("sample")).collect()
     headers = _headers(spark, fmt, {unquote(r.snapshot): unquote(r.sample) for r in found})
 
     by_header: dict[tuple[str, ...], list[str]] = {}
@@ -107,7 +111,7 @@ def read_snapshots(
     for snapshot, header in sorted(headers.items()):
         missing = map_headers(header, layout)[1]
         if missing:
-            problems.append((snapshot.rsplit("/", 1)[-1], "missing: " + ", ".join(missing)))
+            problems.append((re.sub("^[A-Za-z_]+=", "", snapshot.rsplit("/", 1)[-1]), "missing: " + ", ".join(missing)))
         else:
             by_header.setdefault(header, []).append(snapshot)
 
@@ -115,7 +119,7 @@ def read_snapshots(
     for header, paths in by_header.items():
         mapped, _ = map_headers(header, layout)
         schema = T.StructType([T.StructField(h, T.StringType()) for h in header])
-        raw = _reader(spark, fmt).schema(schema).load(paths)
+        raw = _reader(spark, fmt, header, quoted_newlines).schema(schema).load(paths)
         frames.append(
             raw.select(
                 *[_cell(F.col(f"`{mapped[f]}`") if f in mapped else None).alias(f) for f in layout.fields],
@@ -126,15 +130,10 @@ def read_snapshots(
         rows = reduce(DataFrame.unionByName, frames)
     else:
         rows = spark.createDataFrame([], ", ".join(f"{f} string" for f in [*layout.fields, "__path"]))
-    # Date and name are worked out once per file, not once per row.
+    # From each row's own path: cheaper than a join with a listing, whatever its length.
     path = F.url_decode("__path")
-    listing = files.select(
-        "__path", file_date(path, layout).alias("snapshot_date"), file_name(path).alias("source_file")
-    )
-    if sum(r.n for r in found) <= BROADCAST_FILES:
-        listing = F.broadcast(listing)
-    dated = rows.join(listing, "__path").drop("__path")
-    return dated, spark.createDataFrame(problems, PROBLEMS)
+    dated = rows.withColumns({"snapshot_date": file_date(path, layout), "source_file": file_name(path)})
+    return dated.drop("__path"), spark.createDataFrame(problems, PROBLEMS)
 
 
 def _cell(c: Column | None) -> Column:

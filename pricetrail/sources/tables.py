@@ -14,14 +14,16 @@ def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 
 def load_spread(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """A table whose rows are spread over all cores even if it is a single small file.
+    """A table, spread over all cores where the session asks for it.
 
-    A scan cannot split a file of one row group. Tables of many files, as on a
-    cluster, are read as they lie, without a shuffle.
+    A scan cannot split a file of one row group, as the small benchmark tables
+    are: a session for those sets ``spark.pricetrail.spread``. Otherwise tables are
+    read as they lie, without a shuffle.
     """
     df = load(spark, folder, table)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) == 1 and cores > 1 else df
+    if spark.conf.get("spark.pricetrail.spread", "false") == "true":
+        return df.repartition(spark.sparkContext.defaultParallelism)
+    return df
 
 
 def pick(df: DataFrame, candidates: Sequence[str]) -> str | None:
@@ -73,6 +75,8 @@ def detect_roles(tables: Mapping[str, DataFrame]) -> dict[str, str]:
         raise ValueError("no table has both a date and a price column")
     in_prices = {c.lower() for c in tables[roles["price_table"]].columns}
     for name, df in tables.items():
+        if name == roles["price_table"]:
+            continue
         shared = [k for k in LINE_KEYS if k in in_prices and pick(df, [k])]
         if shared:
             return {**roles, "line_table": name, "join_column": shared[0]}

@@ -25,9 +25,9 @@ def prices(spark, *cells):
 
 def test_change_points_keep_edges_and_both_sides_of_a_change(spark):
     df = prices(spark, *[("1", "d", "f", m, p, None) for m, p in enumerate([5, 5, 5, 6, 6, 6, 6, 5], start=1)])
-    points = series.change_points(series.price_series(df), at_most=8)
+    points = series.change_points(series.price_series(df))
     assert [r.month.month for r in points.orderBy("month").collect()] == [1, 3, 4, 7, 8]
-    cut = series.change_points(series.price_series(df), limit=3)
+    cut = series.change_points(series.price_series(df), sliced=True)
     assert sorted(map(str, cut.select(*sorted(cut.columns)).collect())) == sorted(
         map(str, points.select(*sorted(points.columns)).collect())
     )
@@ -35,9 +35,9 @@ def test_change_points_keep_edges_and_both_sides_of_a_change(spark):
 
 def test_crowding_counts_from_zero(spark):
     df = prices(spark, *[(str(i), "d", f"f{i}", 1, 5, None) for i in range(4)])
-    points = series.change_points(series.price_series(df), at_most=4)
-    for limit in (100, 2):
-        got = series.price_crowding(points, limit=limit).orderBy("series_id").collect()
+    points = series.change_points(series.price_series(df))
+    for sliced in (False, True):
+        got = series.price_crowding(points, sliced=sliced).orderBy("series_id").collect()
         assert [(r.collision_rank, r.collision_size, r.label_side) for r in got] == [(i, 4, "top") for i in range(4)]
 
 
@@ -91,7 +91,7 @@ def test_movers(spark):
     assert [(r.item_code, r.abs_change, r.pct_change) for r in up] == [("1", 3, 25), ("2", 1, None)]
     down = movers.movers(df, a, b, rising=False, drugs=["E"]).collect()
     assert [(r.abs_change, r.pct_change) for r in down] == [(3, Decimal("-33.33"))]
-    text = movers.summary_text(movers.summary(movers.movers(df, a, b), at_most=8)).first()[0]
+    text = movers.summary_text(movers.summary(movers.movers(df, a, b))).first()[0]
     assert text == "Summary: 2 items increased. Largest +$3.00, median +$2.00, total +$4.00."
     with pytest.raises(ValueError):
         movers.movers(df, b, a)

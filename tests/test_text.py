@@ -82,7 +82,10 @@ def test_hashed_key_keeps_parts_apart(value):
     assert value(key, "a", None) == value(key, "a", "")
 
 
-@pytest.mark.parametrize("raw, want", [("102.0", 102), ("102", 102), ("x", None), (None, None)])
+@pytest.mark.parametrize("raw, want", [
+    ("102.0", "102"), ("102", "102"), (" 102 ", "102"), ("ORG7", "ORG7"), ("102.5", "102.5"), ("1e2", "1e2"), ("", None),
+    ("9007199254740993", "9007199254740993"), ("9007199254740992.0", "9007199254740992"), (None, None),
+])
 def test_whole_id(value, raw, want):
     assert value(text.whole_id, raw) == want
 
