@@ -12,8 +12,9 @@ loses none, and are then compared in full.
 
 A cluster of thousands of near copies must not become pairs of all with all. Only components are asked
 for, so before the join each set is linked with its nearest one among those with an equal
-min-hash, twice; the join leaves out pairs that these verified links already connect. It
-still looks at every other pair that the prefixes allow, so no component is missed.
+min-hash, again and again while that links components; the join leaves out pairs that these verified
+links already connect. It still looks at every other pair that the prefixes allow, so no component is missed.
+Texts are shuffled once, compressed, and only those of sets that share anything with another one.
 
 Defined cases: null text and text without words has no shingles and is linked with nothing; a document with
 fewer words than a shingle has one of all its words; rows of equal doc_id are one document, linked
@@ -135,24 +136,38 @@ def _runs(frames: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
         yield rest
 
 
+def _far(sketch: np.ndarray, rows: slice | np.ndarray, others: slice | np.ndarray) -> np.ndarray:
+    """Differing bits of the sketches of some rows and others."""
+    left, right = sketch[rows], sketch[others]
+    apart = np.zeros((len(left), len(right)), np.int32)
+    for a, b in zip(left.T, right.T):
+        apart += np.bitwise_count(a[:, None] ^ b[None, :])
+    return apart
+
+
+def _most_apart(total: np.ndarray, percent: int) -> np.ndarray:
+    """Members that one of two linked sets may have and the other not, from the sum of their sizes."""
+    return total - 2 * least_overlap(total, percent)
+
+
 def nearest(sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b): each set with its nearest one of another component among those of an equal min-hash.
 
     ``sets`` has doc, component, n, parity, mins. A bucket larger than TILE is dealt to tiles at random, other
     tiles for each min-hash.
     """
-    keyed = sets.select(
-        "doc", "component", "n", "parity", F.posexplode("mins").alias("i", "min")
-    ).withColumn("bucket", F.xxhash64("i", "min"))
+    keyed = sets.select("doc", "component", F.posexplode("mins").alias("i", "min")).select(
+        "doc", "component", "i", F.xxhash64("i", "min").alias("bucket")
+    )
     sizes = keyed.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("rows"), F.min("component").alias("low"), F.max("component").alias("high")
     ).where(F.col("low") < F.col("high"))
-    tiles = F.ceil(F.col("rows") / TILE)
-    dealt = keyed.join(
-        sizes.select(F.col("bucket").alias("of"), tiles.alias("tiles")), F.col("bucket") == F.col("of")
-    ).select(
-        F.xxhash64("bucket", F.pmod(F.xxhash64("doc", "i"), F.col("tiles"))).alias("key"), "doc", "component", "n", "parity"
+    sizes = sizes.select(F.col("bucket").alias("of"), F.ceil(F.col("rows") / TILE).alias("tiles"))
+    # Sketches join what is left: sets with company.
+    dealt = keyed.join(sizes, F.col("bucket") == F.col("of")).select(
+        F.xxhash64("bucket", F.pmod(F.xxhash64("doc", "i"), F.col("tiles"))).alias("key"), F.col("doc").alias("owner")
     )
+    dealt = dealt.join(sets.select("doc", "component", "n", "parity"), F.col("owner") == F.col("doc")).drop("owner")
 
     def link(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for run in _runs(frames, "key"):
@@ -160,15 +175,13 @@ def nearest(sets: DataFrame, percent: int) -> DataFrame:
             sketch = np.frombuffer(b"".join(run["parity"]), np.uint64).reshape(len(run), WORDS64)
             best = np.full(len(run), -1)
             for at in range(0, len(run), 256):
-                to = min(at + 256, len(run))
-                apart = np.zeros((to - at, len(run)), np.int32)
-                for w in sketch.T:
-                    apart += np.bitwise_count(w[at:to, None] ^ w[None, :])
-                total = n[at:to, None] + n[None, :]
-                fits = (apart <= total - 2 * least_overlap(total, percent)) & (of[at:to, None] != of[None, :])
+                some = slice(at, min(at + 256, len(run)))
+                apart = _far(sketch, some, slice(None))
+                total = n[some, None] + n[None, :]
+                fits = (apart <= _most_apart(total, percent)) & (of[some, None] != of[None, :])
                 apart[~fits] = PARITY_BITS + 1
                 pick = apart.argmin(axis=1)
-                best[at:to] = np.where(fits[np.arange(to - at), pick], pick, -1)
+                best[some] = np.where(fits[np.arange(len(pick)), pick], pick, -1)
             has = np.flatnonzero(best >= 0)
             if len(has):
                 yield pd.DataFrame({"a": np.minimum(doc[has], doc[best[has]]), "b": np.maximum(doc[has], doc[best[has]])})
@@ -177,96 +190,140 @@ def nearest(sets: DataFrame, percent: int) -> DataFrame:
     return sorted_runs.mapInPandas(link, "a long, b long").distinct()
 
 
-def _size_fits(n_a: Column, n_b: Column, percent: int) -> Column:
-    return (n_a * 100 >= n_b * percent) & (n_b * 100 >= n_a * percent)
-
-
-def group_pairs(sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of all sets of different components that the prefix filter and the sketches let through."""
-    units = sets.groupBy("group", "component").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    entries = units.select("group", "component", "n", F.explode("prefix").alias("token"))
-    mixed = entries.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed = mixed.where(F.col("low") < F.col("high")).select(F.col("token").alias("mixed"))
-    entries = store(entries.join(mixed, F.col("token") == F.col("mixed")).drop("mixed"), "jaccard-entries")
-    blocks = entries.groupBy("token", "component").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    a, b = blocks.alias("x"), blocks.alias("y")
-    block_pairs = a.join(
-        b,
-        (F.col("x.token") == F.col("y.token")) & (F.col("x.component") < F.col("y.component"))
-        & (F.col("x.most") * 100 >= F.col("y.least") * percent) & (F.col("y.most") * 100 >= F.col("x.least") * percent),
-    ).select(F.col("x.token").alias("t"), F.col("x.component").alias("c"), F.col("y.component").alias("d"))
-    left = block_pairs.join(entries, (F.col("t") == F.col("token")) & (F.col("c") == F.col("component"))).select(
-        "t", "c", "d", F.col("group").alias("group_a"), F.col("n").alias("n_a")
+def shared_tokens(groups: DataFrame) -> DataFrame:
+    """Stored (token, gid): prefix members that more than one group has, from (gid, prefix).
+
+    The count and the join back read one and the same shuffle of the entries.
+    """
+    entries = groups.select(F.explode("prefix").alias("token"), "gid").repartition("token")
+    shared = entries.groupBy("token").agg(F.min("gid").alias("low"), F.max("gid").alias("high"))
+    shared = shared.where(F.col("low") < F.col("high")).select(F.col("token").alias("t"))
+    return store(entries.join(shared, F.col("token") == F.col("t")).select("token", "gid"), "jaccard-tokens")
+
+
+def _differing_bits(a: str, b: str) -> Column:
+    """Differing bits of two binary columns, 48 at a time."""
+    def part(name: str, i: int) -> Column:
+        return F.conv(F.hex(F.substring(name, 1 + 6 * i, 6)), 16, 10).cast("long")
+
+    parts = [F.bit_count(part(a, i).bitwiseXOR(part(b, i))) for i in range(-(-PARITY_BITS // 48))]
+    return sum(parts[1:], parts[0])
+
+
+def group_pairs(sets: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of all sets of different components that prefixes, sizes and sketches let through.
+
+    ``sets`` has doc, gid, component, n, parity; a unit is a group's sets of one component, told by its
+    first set's sketch and how far the others' are from it. Buckets larger than TILE are compared
+    tile by tile.
+    """
+    heads = sets.groupBy("gid", "component").agg(
+        F.min("doc").alias("head"), F.min("n").alias("least"), F.max("n").alias("most")
     )
-    pairs = left.join(entries, (F.col("t") == F.col("token")) & (F.col("d") == F.col("component"))).where(
-        _size_fits(F.col("n_a"), F.col("n"), percent)
-    ).select("group_a", "c", F.col("group").alias("group_b"), "d").distinct()
-    members = sets.select("group", "component", "doc", "n", "parity")
-    within = (
-        members.groupBy("group").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where(F.col("low") < F.col("high")).select(F.col("group").alias("g"))
+    first = sets.groupBy(F.col("doc").alias("head_doc")).agg(F.min("parity").alias("sketch"))
+    heads = heads.join(first, F.col("head") == F.col("head_doc")).drop("head_doc")
+    others = sets.select(F.col("gid").alias("g"), F.col("component").alias("c"), "parity").join(
+        heads, (F.col("g") == F.col("gid")) & (F.col("c") == F.col("component")) & (F.col("parity") != F.col("sketch"))
     )
-    inside = members.join(within, F.col("group") == F.col("g")).select("group", "component").distinct()
-    same = inside.alias("x").join(
-        inside.alias("y"), (F.col("x.group") == F.col("y.group")) & (F.col("x.component") < F.col("y.component"))
-    ).select(
-        F.col("x.group").alias("group_a"), F.col("x.component").alias("c"),
-        F.col("y.group").alias("group_b"), F.col("y.component").alias("d"),
+    reach = others.groupBy(F.col("head").alias("of")).agg(F.max(_differing_bits("parity", "sketch")).alias("reach"))
+    units = store(
+        heads.join(reach, F.col("head") == F.col("of"), "left").drop("of").withColumn("reach", F.coalesce("reach", F.lit(0))),
+        "jaccard-units",
     )
-    pairs = store(pairs.unionByName(same), "jaccard-groups")
+    named = tokens.select("token", F.col("gid").alias("g")).join(
+        units.select("gid", "component", "head"), F.col("g") == F.col("gid")
+    ).select("token", "component", "head")
+    mixed = named.groupBy("token").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("component").alias("low"), F.max("component").alias("high")
+    ).where(F.col("low") < F.col("high"))
+    mixed = mixed.select(F.col("token").alias("t"), F.ceil(F.col("rows") / TILE).cast("int").alias("tiles"))
+    tiled = (
+        named.join(mixed, F.col("token") == F.col("t"))
+        .withColumn("tile", F.pmod(F.xxhash64("head"), F.col("tiles")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        .select(
+            F.xxhash64("token", F.least("tile", "other"), F.greatest("tile", "other")).alias("key"),
+            F.col("head").alias("owner"), (F.col("tile") > F.col("other")).alias("second"),
+            (F.col("tile") == F.col("other")).alias("alone"),
+        )
+    )
+    dealt = tiled.join(units, F.col("owner") == F.col("head")).select(
+        "key", "second", "alone", "head", "component", "least", "most", "sketch", "reach"
+    )
+
+    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for run in _runs(frames, "key"):
+            head, least, most, of, reach = (run[c].to_numpy() for c in ("head", "least", "most", "component", "reach"))
+            sketch = np.frombuffer(b"".join(run["sketch"]), np.uint64).reshape(len(run), WORDS64)
+            alone = run["alone"].to_numpy(bool)
+            left = np.flatnonzero(alone | ~run["second"].to_numpy(bool))
+            right = np.flatnonzero(alone | run["second"].to_numpy(bool))
+            for at in range(0, len(left), 256):
+                some = left[at : at + 256]
+                total = most[some][:, None] + most[right][None, :]
+                bound = _most_apart(total, percent) + reach[some][:, None] + reach[right][None, :]
+                fits = (_far(sketch, some, right) <= bound) & (of[some][:, None] != of[right][None, :])
+                fits &= most[some][:, None] * 100 >= least[right][None, :] * percent
+                fits &= most[right][None, :] * 100 >= least[some][:, None] * percent
+                i, j = np.nonzero(fits)
+                if len(i):
+                    a, b = head[some[i]], head[right[j]]
+                    yield pd.DataFrame({"head_a": np.minimum(a, b), "head_b": np.maximum(a, b)}).drop_duplicates()
+
+    across = dealt.repartition("key").sortWithinPartitions("key").mapInPandas(compare, "head_a long, head_b long").distinct()
+    split = units.groupBy("gid").agg(F.min("head").alias("low"), F.max("head").alias("high")).where(F.col("low") < F.col("high"))
+    split = split.select(F.col("gid").alias("g")).join(units.select("gid", "head"), F.col("g") == F.col("gid")).select("g", "head")
+    within = split.withColumnRenamed("head", "head_a").join(
+        split.select(F.col("g").alias("h"), F.col("head").alias("head_b")),
+        (F.col("g") == F.col("h")) & (F.col("head_a") < F.col("head_b")),
+    ).select("head_a", "head_b")
+    pairs = store(across.unionByName(within).distinct(), "jaccard-groups")
+    members = sets.select(F.col("gid").alias("g"), F.col("component").alias("c"), "doc", "n", "parity").join(
+        units.select("gid", "component", "head"), (F.col("g") == F.col("gid")) & (F.col("c") == F.col("component"))
+    ).select("head", "doc", "n", "parity")
 
     def side(name: str) -> DataFrame:
         return members.select(*[F.col(c).alias(f"{c}_{name}") for c in members.columns])
 
-    expanded = (
-        pairs.withColumnsRenamed({"group_a": "g", "group_b": "h"})
-        .join(side("a"), (F.col("g") == F.col("group_a")) & (F.col("c") == F.col("component_a")))
-        .join(side("b"), (F.col("h") == F.col("group_b")) & (F.col("d") == F.col("component_b")))
-    )
+    expanded = pairs.withColumnsRenamed({"head_a": "x", "head_b": "y"}).join(
+        side("a"), F.col("x") == F.col("head_a")).join(side("b"), F.col("y") == F.col("head_b"))
     total = F.col("n_a") + F.col("n_b")
     bound = total - 2 * F.ceil(F.lit(percent) * total / F.lit(100 + percent))
-    apart = sum(
-        (
-            F.bit_count(
-                F.conv(F.hex(F.substring("parity_a", 1 + 6 * i, 6)), 16, 10).cast("long").bitwiseXOR(
-                    F.conv(F.hex(F.substring("parity_b", 1 + 6 * i, 6)), 16, 10).cast("long"))
-            )
-            for i in range(-(-PARITY_BITS // 48))
-        ),
-        F.lit(0),
-    )
-    return expanded.where(apart <= bound).select(
+    return expanded.where(_differing_bits("parity_a", "parity_b") <= bound).select(
         F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b")
     ).where(F.col("a") < F.col("b")).distinct()
 
 
-def verified(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of documents whose shingle sets are similar enough, compared in full."""
-    pairs = store(pairs, "jaccard-pairs")
-    wanted = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct()
+def packed_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Stored (doc, packed): the compressed texts of the wanted documents, shuffled once."""
 
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        compress = zstandard.ZstdCompressor(level=1).compress
         for frame in frames:
-            for at in range(0, len(frame), 256):
-                some = frame.iloc[at : at + 256]
-                yield pd.DataFrame({
-                    "doc": some["doc_id"].array, "members": [shingle_set(t, size).tobytes() for t in some["text"]],
-                })
+            packed = [compress((t or "").encode("utf-8", "replace")) for t in frame["text"]]
+            yield pd.DataFrame({"doc": frame["doc_id"].array, "packed": packed})
 
-    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("doc")).select("doc_id", "text")
-    packed = store(texts.mapInPandas(pack, "doc long, members binary"), "jaccard-sets")
+    texts = docs.select("doc_id", "text").join(wanted.withColumnRenamed("doc", "w"), F.col("doc_id") == F.col("w"))
+    return store(texts.select("doc_id", "text").mapInPandas(pack, "doc long, packed binary"), "jaccard-texts")
+
+
+def verified(texts: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Stored pairs (a, b) of documents whose shingle sets are similar enough, compared in full."""
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for frame in frames:
-            keep = []
+            keep, last, one = [], None, np.zeros(0, np.uint64)
             for x, y in zip(frame["of_a"], frame["of_b"]):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(x) + len(y) - len(np.union1d(x, y))
-                keep.append(bool(both) and both >= least_overlap(len(x) + len(y), percent))
+                if x != last:
+                    last, one = x, shingle_set(unpack(x).decode("utf-8"), size)
+                two = shingle_set(unpack(y).decode("utf-8"), size)
+                both = len(one) + len(two) - len(np.union1d(one, two))
+                keep.append(bool(both) and both >= least_overlap(len(one) + len(two), percent))
             yield frame.loc[np.array(keep, bool), ["a", "b"]]
 
-    one = packed.select(F.col("doc").alias("x"), F.col("members").alias("of_a"))
-    two = packed.select(F.col("doc").alias("y"), F.col("members").alias("of_b"))
+    one = texts.select(F.col("doc").alias("x"), F.col("packed").alias("of_a"))
+    two = texts.select(F.col("doc").alias("y"), F.col("packed").alias("of_b"))
     both = pairs.join(one, F.col("a") == F.col("x")).join(two, F.col("b") == F.col("y")).select("a", "b", "of_a", "of_b")
     return store(both.mapInPandas(compare, "a long, b long").distinct(), "jaccard-links")
 
@@ -276,32 +333,36 @@ def classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     rows = store(profiles(docs, size, percent, shingle_counters(docs, size)), "jaccard-profiles")
     held = rows.where((F.col("n") > 0) & (F.col("doc") != NO_ID))
     heads = store(held.groupBy("digest").agg(F.min("doc").alias("head")), "jaccard-heads")
-    sets = store(
-        held.join(heads.withColumnRenamed("digest", "of"), (F.col("digest") == F.col("of")) & (F.col("doc") == F.col("head")))
-        .select("doc", "n", "digest", "prefix", "group", "parity", "mins").dropDuplicates(["doc", "digest"]),
-        "jaccard-sets",
-    )
-
-    def labelled(found: DataFrame | None) -> DataFrame:
-        if found is None:
-            return sets.withColumn("component", F.col("doc"))
-        named = components(found).select(F.col("node"), F.col("component"))
-        return store(
-            sets.join(named, F.col("doc") == F.col("node"), "left")
-            .withColumn("component", F.coalesce("component", "doc")).drop("node"),
-            "jaccard-labelled",
-        )
-
-    # Exact copies within rows of one doc_id join what their texts join.
-    own = held.select("doc", "digest").join(heads.withColumnRenamed("digest", "of"), F.col("digest") == F.col("of"))
+    own = (F.col("digest") == F.col("of")) & (F.col("doc") == F.col("head"))
+    sets = held.join(heads.withColumnRenamed("digest", "of"), own).drop("of", "head").dropDuplicates(["doc", "digest"])
+    sets = store(sets, "jaccard-sets")
+    groups = sets.groupBy("group").agg(F.min("doc").alias("gid"), F.count(F.lit(1)).alias("members"))
+    sets = store(sets.join(groups.withColumnRenamed("group", "g"), F.col("group") == F.col("g")).drop("g"), "jaccard-grouped")
+    tokens = shared_tokens(sets.where(F.col("doc") == F.col("gid")).select("gid", "prefix"))
+    # Only sets of a group with company, or a shared prefix member, can be linked at all.
+    met = tokens.select(F.col("gid").alias("g")).distinct()
+    alive = sets.join(met, F.col("gid") == F.col("g"), "left").where(F.col("g").isNotNull() | (F.col("members") > 1))
+    alive = store(alive.select("doc", "gid", "n", "parity", "mins"), "jaccard-alive")
+    texts = packed_texts(docs, alive.select("doc").distinct())
+
+    def labelled(found: DataFrame) -> DataFrame:
+        named = components(found)
+        joined = alive.join(named, F.col("doc") == F.col("node"), "left").drop("node")
+        return store(joined.withColumn("component", F.coalesce("component", "doc")), "jaccard-labelled")
+
+    # The texts of one doc_id are one document: they join what each of them is linked with.
+    parts = held.select("doc", "digest").join(heads.withColumnRenamed("digest", "of"), F.col("digest") == F.col("of"))
     links = store(
-        own.groupBy("doc").agg(F.min("head").alias("low"), F.max("head").alias("high")).where(F.col("low") < F.col("high"))
+        parts.groupBy("doc").agg(F.min("head").alias("low"), F.max("head").alias("high")).where(F.col("low") < F.col("high"))
         .select(F.col("low").alias("a"), F.col("high").alias("b")),
         "jaccard-links",
     )
-    for _ in range(2):
-        links = links.unionByName(verified(docs, nearest(labelled(links), percent), size, percent))
-    links = links.unionByName(verified(docs, group_pairs(labelled(links), percent), size, percent))
+    while True:
+        found = verified(texts, nearest(labelled(links), percent), size, percent)
+        links = links.unionByName(found)
+        if found.isEmpty():
+            break
+    links = links.unionByName(verified(texts, group_pairs(labelled(links), tokens, percent), size, percent))
     named = components(links).select(F.col("node"), F.col("component"))
     joined = (
         rows.select("doc", "n", "digest")
