@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pricetrail.functions import text
 from pricetrail.functions.months import month_start
-from pricetrail.sources.tables import pick
+from pricetrail.sources.tables import pick, pick_column
 
 
 def contents(tables: Mapping[str, DataFrame], stamp: str = "_schedule_code") -> DataFrame:
@@ -74,3 +74,24 @@ def with_organisation(items: DataFrame, organisations: DataFrame | None) -> Data
         .join(named, ["__org", "effective_date"], "left")
         .drop("__org")
     )
+
+
+# Price columns and what archive items call them.
+_PRICE_COLUMNS = {
+    "item_code": ["pbs_code"], "drug": ["li_drug_name", "drug_name"], "form": ["li_form"], "brand": ["brand_name"],
+    "formulary": ["formulary"], "amt_pack": ["pack", "amt_pack"], "first_listed_date": ["first_listed_date"],
+}
+
+
+def price_rows(monthly: DataFrame, organisations: DataFrame | None = None) -> DataFrame:
+    """Superseding items as the price rows that series and matrices are made of.
+
+    Columns that the items lack are NULL; formularies are named by their rule.
+    """
+    named = with_organisation(monthly, organisations)
+    columns = {c: pick_column(named, *names) for c, names in _PRICE_COLUMNS.items()}
+    columns["formulary"] = text.formulary(columns["formulary"])
+    return named.select(
+        *[c.alias(n) for n, c in columns.items()], "responsible",
+        F.col("month").alias("snapshot_date"), F.col("determined_price").alias("aemp"),
+    )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pricetrail.functions import numbers
 from pricetrail.functions.numbers import PRICE
 from pricetrail.operators.ordering import SLICE_ROWS, in_order
+from pricetrail.sources.tables import first_present, pick_column
 
 KEYS = ["item_code", "drug", "form", "brand", "responsible"]
 
@@ -21,6 +22,27 @@ def latest_months(prices: DataFrame, n: int = 2) -> DataFrame:
     return months.orderBy(F.col("month").desc()).limit(n)
 
 
+def star_prices(dim: DataFrame, facts: DataFrame) -> DataFrame:
+    """Prices of a stored star under the names of a flat price list.
+
+    Brand and responsible person are the fact's, else the line's, if it has any.
+    """
+    lines = {
+        "item_code": ["item_code_b", "item_code"], "drug": ["name_a", "drug"], "form": ["attr_c", "form"],
+        "brand": ["brand_name", "brand"], "responsible": ["responsible_person", "responsible"],
+    }
+    prefixed = dim.select(F.col("product_line_id"), *[F.col(c).alias(f"line_{c}") for c in dim.columns if c != "product_line_id"])
+    joined = facts.join(prefixed, "product_line_id")
+    kept = [c for c in ("snapshot_month",) if c in facts.columns]
+    return joined.select(
+        *[
+            first_present([pick_column(facts, *names), pick_column(joined, *[f"line_{n}" for n in names])]).alias(c)
+            for c, names in lines.items()
+        ],
+        "snapshot_date", "aemp", *kept,
+    )
+
+
 def movers(
     prices: DataFrame, start: date, end: date, rising: bool = True, drugs: Sequence[str] = ()
 ) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from pricetrail.operators import archive, sinks
+from pricetrail.operators import archive, series, sinks
+from pricetrail.plans import sqltext as q
 from pricetrail.plans.fixtures import ITEM_EVENTS, ITEMS, item_events, items
 from pricetrail.plans.registry import query
 from pricetrail.session import new_path
@@ -95,6 +96,21 @@ def archive_csv(spark, folder):
     )
 
 
+@query(
+    """SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, '202401' || (p_partkey % 3) AS _schedule_code,
+       CASE WHEN p_partkey % 3 < 2 THEN '2024-01-0' || (p_partkey % 3 + 1) END AS _effective_date, true AS stamped FROM part"""
+)
+def stamped_rows(spark, folder):
+    """Rows of three schedules, each marked on loading; the last one has no date."""
+    rows = load(spark, folder, "part").select(F.col("p_partkey").cast("string").alias("p_partkey"), "p_name")
+    marked = [
+        sinks.stamp(rows.where(F.col("p_partkey") % 3 == i), f"202401{i}", f"2024-01-0{i + 1}" if i < 2 else None)
+        for i in range(3)
+    ]
+    time = F.col("_downloaded_at_utc").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\+00:00$")
+    return sinks.append_by_name(marked).withColumn("stamped", time).drop("_downloaded_at_utc")
+
+
 @query(
     """SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, json_extract_string(props, '$.k') AS k,
        event_type = 'click' AS has_tag FROM events"""
@@ -190,3 +206,38 @@ def org_join(spark, folder):
     ).distinct()
     organisations = listed.join(supplier, "id")
     return archive.with_organisation(line, organisations).drop("organisation_id")
+
+
+_LAST_OF_MONTH = """last_of_month AS (
+  SELECT *, CAST(date_trunc('month', effective_date) AS DATE) AS month FROM (
+    SELECT *, row_number() OVER (PARTITION BY li_item_id, date_trunc('month', effective_date) ORDER BY effective_date DESC) AS rn
+    FROM items WHERE determined_price IS NOT NULL) WHERE rn = 1
+)"""
+_FORM = "CASE formulary WHEN '60' THEN 'F2' WHEN 'cdl' THEN 'CDL' ELSE formulary END"
+
+
+@query(
+    f"""WITH {ITEMS},{_LAST_OF_MONTH}, named AS (
+  SELECT month, pbs_code AS item_code, coalesce(li_drug_name, '') AS drug, coalesce(li_form, '') AS form, coalesce(brand_name, '') AS brand,
+         {_FORM} AS formulary, coalesce(CASE WHEN s_acctbal >= 0 THEN s_name END, '') AS responsible,
+         strftime(DATE '2010-03-01' + CAST(li_item_id % 500 AS INTEGER), '%Y-%m-%d') AS first_listed_date, determined_price
+  FROM last_of_month LEFT JOIN supplier ON s_suppkey = li_item_id
+)
+SELECT month, drug || ' · ' || {q.shown('item_code', 'brand', 'form', 'formulary', 'responsible')} AS display_name,
+       CAST(determined_price AS DOUBLE) AS aemp, item_code, form, responsible, '' AS amt_pack, first_listed_date, drug,
+       drug || '|' || concat_ws('|', {q.canon('drug')}, {q.canon('form')}, {q.canon('brand')}, {q.canon('responsible')}, '') AS series_id
+FROM named"""
+)
+def archive_series(spark, folder):
+    """Archive items to price series: the month's last schedule, organisation names, formulary rule, listing dates."""
+    listed = items(spark, folder).withColumns({
+        "organisation_id": F.concat(F.col("li_item_id"), F.lit(".0")),
+        "first_listed_date": F.date_add(F.lit("2010-03-01").cast("date"), (F.col("li_item_id") % 500).cast("int")).cast("string"),
+    })
+    organisations = (
+        listed.select("li_item_id", "effective_date").distinct()
+        .join(load(spark, folder, "supplier").where("s_acctbal >= 0"), F.col("li_item_id") == F.col("s_suppkey"))
+        .select(F.col("s_suppkey").cast("string").alias("organisation_id"), "effective_date", "s_name")
+        .withColumnRenamed("s_name", "organisation_name")
+    )
+    return series.price_series(archive.price_rows(archive.superseding(listed), organisations))

@@ -2,9 +2,11 @@
 
 from datetime import date
 
+from pyspark.sql import functions as F
+
 from pricetrail.functions.months import in_months
 from pricetrail.operators import events, series, summary
-from pricetrail.operators.sinks import replace_table
+from pricetrail.operators.sinks import build_stamp, replace_table
 from pricetrail.plans import sqltext as q
 from pricetrail.plans.fixtures import (
     DATED_EVENTS, LISTED, PRICE_EVENTS, SNAP, coarse_snap, dated_events, item_events, items, listed_items,
@@ -28,6 +30,19 @@ def price_events(spark, folder):
     return spark.read.parquet(path)
 
 
+@query("SELECT count(*) AS n_rows, 1 AS n_stamps, true AS stamp_is_later FROM events")
+def build_stamps(spark, folder):
+    """The table of events with the stamp that is stored beside it."""
+    began = spark.range(1).select(F.current_timestamp()).first()[0]
+    path, beside = new_path(spark, "price_events"), new_path(spark, "build")
+    replace_table(_price_events(spark, folder), path)
+    replace_table(build_stamp(spark), beside)
+    stamps = [r.built_at for r in spark.read.parquet(beside).collect()]
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows")).select(
+        "n_rows", F.lit(len(stamps)).alias("n_stamps"), F.lit(max(stamps) >= began).alias("stamp_is_later")
+    )
+
+
 @query(f"WITH {PRICE_EVENTS} SELECT event_label, count(*) AS n FROM price_events GROUP BY ALL")
 def events_per_label(spark, folder):
     return events.events_per_label(_price_events(spark, folder))

@@ -21,8 +21,8 @@ _LINE = q.hashed(*_BASE.split(", "), "sig", "aemp")
 def _written_snapshots(spark, folder):
     """``snap`` as dated CSV folders with changing headers, and what must be left out.
 
-    Months from 1998 on use other header names. One file lacks its price column
-    and one has no date.
+    Months from 1998 on use other header names. Packs of 13 have a price that is
+    none. One file lacks its price column and one has no date.
     """
     rows = snap(spark, folder)
     path = new_path(spark, "snapshots")
@@ -33,7 +33,7 @@ def _written_snapshots(spark, folder):
         F.col("formulary").alias("Formulary"),
         F.col("program").alias("Program"),
         F.col("pack_qty").alias("Pack Quantity"),
-        F.format_number("aemp", 2).alias("AEMP"),
+        F.when(F.col("pack_qty") == "13", "on request").otherwise(F.format_number("aemp", 2)).alias("AEMP"),
         F.col("responsible").alias("Responsible Person"),
     ]
     later = F.col("snapshot_date") >= F.lit(date(1998, 1, 1))
@@ -65,7 +65,7 @@ def _written_snapshots(spark, folder):
 SELECT item_code, drug, form || ', oral' AS form, formulary, program, pack_qty, brand, responsible, CAST(NULL AS VARCHAR) AS moa,
        CAST(aemp AS DECIMAL(18,6)) AS aemp, snapshot_date, program AS amt_pack_program,
        'ex-manufacturer-prices-non-efc-' || strftime(snapshot_date, '%Y-%m-%d') || '.csv' AS source_file
-FROM snap"""
+FROM snap WHERE pack_qty <> '13'"""
 )
 def snapshot_scan(spark, folder):
     rows, _ = read_snapshots(spark, _written_snapshots(spark, folder), SINGLE_PRICE)
@@ -75,6 +75,34 @@ def snapshot_scan(spark, folder):
     )
 
 
+@query(
+    f"""WITH {SNAP}
+SELECT CAST(pemp AS DECIMAL(18,6)) AS pemp, item_code, drug, brand, responsible, pack_qty, amt_pack, snapshot_date,
+       CASE WHEN pack_qty <> '3' THEN aemp END AS aemp, CAST(NULL AS DECIMAL(18,6)) AS premium, 'S' || program AS dispensing_setting,
+       'ex-manufacturer-prices-efc-' || strftime(snapshot_date, '%Y-%m-') || day(snapshot_date) || '.csv' AS source_file
+FROM (SELECT *, tax AS pemp FROM snap)"""
+)
+def multi_price_scan(spark, folder):
+    """Files of the list with several prices: one-digit days, dollar signs, rows without a price."""
+    path = new_path(spark, "multi")
+    name = F.concat(
+        F.lit("ex-manufacturer-prices-efc-"), F.date_format("snapshot_date", "yyyy-MM-d"), F.lit(".csv")
+    ).alias("snapshot")
+    snap(spark, folder).select(
+        F.col("item_code").alias("Item Code"), F.col("drug").alias("Drug Name"), F.col("form").alias("Legal Instrument Form"),
+        F.col("formulary").alias("Formulary"), F.col("program").alias("Program"), F.col("pack_qty").alias("Pack Quantity"),
+        F.when(F.col("pack_qty") != "3", F.concat(F.lit("$"), F.format_number("aemp", 2))).alias("AEMP"),
+        F.concat(F.lit("$"), F.col("tax")).alias("PEMP"), F.lit("POA").alias("Premium"),
+        F.concat(F.lit("S"), F.col("program")).alias("Dispensing Setting"), F.col("brand").alias("Brand Name"),
+        F.col("responsible").alias("Sponsor"), F.col("amt_pack").alias("TPP"), name,
+    ).hint("rebalance", "snapshot").write.option("header", True).option("escape", '"').partitionBy("snapshot").csv(path)
+    raw, _ = read_snapshots(spark, f"{path}/*efc-*.csv", MULTI_PRICE, quoted_newlines=False)
+    return clean_snapshots(raw, MULTI_PRICE).select(
+        "pemp", "item_code", "drug", "brand", "responsible", "pack_qty", "amt_pack", "snapshot_date", "aemp", "premium",
+        "dispensing_setting", "source_file",
+    )
+
+
 @query("SELECT 'ex-manufacturer-prices-non-efc-2099-01-01.csv' AS source_file, 'missing: aemp' AS problem")
 def snapshot_problems(spark, folder):
     return read_snapshots(spark, _written_snapshots(spark, folder), SINGLE_PRICE)[1]

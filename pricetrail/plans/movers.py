@@ -3,9 +3,12 @@
 from pyspark.sql import functions as F
 
 from pricetrail.operators import movers as op
+from pricetrail.operators import sinks, star
 from pricetrail.plans import sqltext as q
 from pricetrail.plans.fixtures import END, SNAP, START, snap
 from pricetrail.plans.registry import query
+from pricetrail.session import new_path
+from pricetrail.sources.layouts import SINGLE_PRICE
 
 _KEYS = ", ".join(op.KEYS)
 
@@ -58,6 +61,26 @@ def mom_increases_by_item(spark, folder):
     return op.movers(snap(spark, folder), START, END)
 
 
+_STAR = SNAP + """,
+stored AS (
+  SELECT DISTINCT item_code, drug, form, formulary, program, pack_qty, brand, responsible, amt_pack, snapshot_date, aemp FROM snap
+)"""
+
+
+@query(
+    "WITH " + _movers_sql(True).replace(SNAP, _STAR, 1).replace("FROM snap WHERE", "FROM stored WHERE", 1) + " SELECT * FROM moved"
+)
+def mom_increases_star(spark, folder):
+    """Movers read off the stored star: lines, facts by month, and the attributes of either."""
+    rows = snap(spark, folder).withColumns(
+        {"source_file": F.lit("all"), "amt_pack_program": F.concat_ws("_", "amt_pack", "program")}
+    )
+    path = new_path(spark, "facts")
+    sinks.append_facts(star.monthly_facts(rows, SINGLE_PRICE), path)
+    prices = op.star_prices(star.product_lines(rows, SINGLE_PRICE), spark.read.parquet(path))
+    return op.movers(prices, START, END)
+
+
 _TOTALS = """count(abs_change) AS n_items, max(abs_change) AS largest, CAST(sum(abs_change) AS DECIMAL(38,2)) AS total,
        CAST(quantile_cont(CAST(abs_change AS DOUBLE), 0.5) AS DECIMAL(18,6)) AS median"""
 

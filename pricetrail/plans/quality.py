@@ -3,9 +3,10 @@
 from pyspark.sql import functions as F
 
 from pricetrail.operators import quality
+from pricetrail.operators.sinks import append_by_name
 from pricetrail.plans.fixtures import SNAP, snap
 from pricetrail.plans.registry import query
-from pricetrail.sources.tables import load
+from pricetrail.sources.tables import load, missing_tables
 
 _COLUMNS = ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority", "nothing"]
 
@@ -36,6 +37,27 @@ def column_profile(spark, folder):
     return quality.column_profile(orders)
 
 
+_REQUIRED = ["lineitem", "part", "no_such_table", "supplier"]
+
+
+@query(
+    """SELECT 'lineitem' AS table_name, true AS present, count(*) AS n_rows FROM lineitem
+UNION ALL SELECT 'part', true, count(*) FROM part UNION ALL SELECT 'supplier', true, count(*) FROM supplier
+UNION ALL SELECT 'no_such_table', false, NULL"""
+)
+def required_tables(spark, folder):
+    """Which of the tables a load needs are there, and how many rows they hold."""
+    absent = missing_tables(spark, folder, _REQUIRED)
+    counts = [
+        load(spark, folder, name).agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(name).alias("table_name"), F.lit(True).alias("present"), "n_rows"
+        )
+        for name in _REQUIRED if name not in absent
+    ]
+    lacking = [(name, False, None) for name in absent]
+    return append_by_name([*counts, spark.createDataFrame(lacking, "table_name string, present boolean, n_rows long")])
+
+
 _LOOKED_AT = ["responsible", "sponsor", "brand"]
 
 

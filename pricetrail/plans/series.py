@@ -1,10 +1,14 @@
 """Price series, their change points and their coverage."""
 
+from pyspark.sql import functions as F
+
 from pricetrail.operators import series, star
+from pricetrail.operators.sinks import export_csv
 from pricetrail.plans import sqltext as q
 from pricetrail.plans.fixtures import SIX_MONTHS, SNAP, coarse_snap, coarse_sql, snap
 from pricetrail.plans.ingest import _LINE, _SIG
 from pricetrail.plans.registry import query
+from pricetrail.session import new_path
 from pricetrail.sources.layouts import SINGLE_PRICE
 
 _SHOWN = q.shown("item_code", "brand", "form", "formulary", "amt_pack", "responsible")
@@ -54,6 +58,29 @@ def monthly_mean(spark, folder):
     return series.monthly_mean(snap(spark, folder))
 
 
+@query(
+    f"""WITH {SNAP} SELECT lower(drug) AS drug, snapshot_date AS month, CAST(sum(aemp) AS DOUBLE) / count(aemp) AS aemp
+FROM snap GROUP BY ALL"""
+)
+def csv_export(spark, folder):
+    """The monthly means exported as CSV and read back."""
+    path = new_path(spark, "export")
+    export_csv(series.monthly_mean(snap(spark, folder)), path)
+    back = spark.read.option("header", True).csv(path)
+    return back.select("drug", F.col("month").cast("date").alias("month"), F.col("aemp").cast("double").alias("aemp"))
+
+
+@query(
+    f"""WITH {SERIES}, names AS (SELECT DISTINCT display_name, series_id FROM series ORDER BY display_name, series_id LIMIT 5)
+SELECT display_name, count(*) AS n FROM series WHERE display_name IN (SELECT display_name FROM names) GROUP BY ALL"""
+)
+def picked_series(spark, folder):
+    """Points of the first five names, as a user picks names from the list."""
+    points = coarse_series(spark, folder)
+    names = [r.display_name for r in series.identifiers(points).limit(5).collect()]
+    return series.in_range(points, picked=names).groupBy("display_name").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     f"""WITH {coarse_sql()}, g AS (SELECT *, {_SIG} AS sig FROM rws)
 SELECT DISTINCT snapshot_date AS month, {_LINE} AS product_line_id, item_code, aemp FROM g"""
