@@ -87,9 +87,13 @@ class Encoder:
         of = self.known.__getitem__
         out = []
         for text, pieces in zip(texts, cut):
-            first, later = pieces[0], [of(p) for p in pieces[1:]]
-            splits = None not in later and first == first.strip() and (first or not later)
-            data = self._ids(first) + b"".join(later) if splits else self._ids(text)
+            first = pieces[0]
+            try:
+                later = b"".join(map(of, pieces[1:]))  # fails on a piece that is None
+                splits = first == first.strip() and (first or len(pieces) == 1)
+            except TypeError:
+                splits = False
+            data = self._ids(first) + later if splits else self._ids(text)
             out.append(np.frombuffer(data, self.dtype))
         return out
 

@@ -14,7 +14,7 @@ A cluster of thousands of near copies must not become pairs of all with all. Onl
 for, so before the join each set is linked with its nearest one among those with an equal
 min-hash, again and again while that links components; the join leaves out pairs that these verified
 links already connect. It still looks at every other pair that the prefixes allow, so no component is missed.
-Texts are shuffled once, compressed, and only those of sets that share anything with another one.
+Only texts of sets that share anything with another one are compared, compressed until then.
 
 Defined cases: null text and text without words has no shingles and is linked with nothing; a document with
 fewer words than a shingle has one of all its words; rows of equal doc_id are one document, linked
@@ -41,6 +41,8 @@ COUNTERS, COUNTER_ROW = 1 << 20, 1 << 14
 #: Bits of a parity sketch; min-hashes of a set; sets compared with each other in one task at most.
 PARITY_BITS, MIN_HASHES, TILE = 1024, 3, 4096
 WORDS64 = PARITY_BITS // 64
+#: Ids sent to all tasks at most, some tens of megabytes.
+SENT_ROWS = 1 << 20
 #: Stands for a null doc_id, which pandas would turn all ids into floats for.
 NO_ID = -(1 << 63)
 
@@ -294,8 +296,19 @@ def group_pairs(sets: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     ).where(F.col("a") < F.col("b")).distinct()
 
 
+def _picked(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``rows`` joined with stored ``wanted`` on ``key`` = its column w.
+
+    Up to SENT_ROWS rows of ids are sent to all tasks, so that texts stay where they are; more
+    than that are joined by a shuffle.
+    """
+    if wanted.count() <= SENT_ROWS:
+        wanted = F.broadcast(wanted)
+    return rows.join(wanted, F.col(key) == F.col("w"))
+
+
 def packed_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Stored (doc, packed): the compressed texts of the wanted documents, shuffled once."""
+    """Stored (doc, packed): the compressed texts of the wanted documents (w)."""
 
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         compress = zstandard.ZstdCompressor(level=1).compress
@@ -303,47 +316,59 @@ def packed_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             packed = [compress((t or "").encode("utf-8", "replace")) for t in frame["text"]]
             yield pd.DataFrame({"doc": frame["doc_id"].array, "packed": packed})
 
-    texts = docs.select("doc_id", "text").join(wanted.withColumnRenamed("doc", "w"), F.col("doc_id") == F.col("w"))
-    return store(texts.select("doc_id", "text").mapInPandas(pack, "doc long, packed binary"), "jaccard-texts")
+    texts = _picked(docs.select("doc_id", "text"), "doc_id", wanted).select("doc_id", "text")
+    return store(texts.mapInPandas(pack, "doc long, packed binary"), "jaccard-texts")
 
 
 def verified(texts: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Stored pairs (a, b) of documents whose shingle sets are similar enough, compared in full."""
+    """Stored pairs (a, b) of documents whose shingle sets are similar enough, compared in full.
+
+    Each pair asks for its two texts; what is shuffled are the texts asked for, by pair.
+    """
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("w"), "a", "b")
+    found = _picked(texts, "doc", store(asked, "jaccard-asked"))
+    met = found.select(F.xxhash64("a", "b").alias("key"), "a", "b", "doc", "packed")
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         unpack = zstandard.ZstdDecompressor().decompress
-        for frame in frames:
-            keep, last, one = [], None, np.zeros(0, np.uint64)
-            for x, y in zip(frame["of_a"], frame["of_b"]):
-                if x != last:
-                    last, one = x, shingle_set(unpack(x).decode("utf-8"), size)
-                two = shingle_set(unpack(y).decode("utf-8"), size)
-                both = len(one) + len(two) - len(np.union1d(one, two))
-                keep.append(bool(both) and both >= least_overlap(len(one) + len(two), percent))
-            yield frame.loc[np.array(keep, bool), ["a", "b"]]
+        for run in _runs(frames, "key"):
+            sets: dict[tuple[int, int], dict[int, list[np.ndarray]]] = {}
+            for a, b, doc, packed in zip(run["a"], run["b"], run["doc"], run["packed"]):
+                own = sets.setdefault((a, b), {}).setdefault(doc, [])
+                own.append(shingle_set(unpack(packed).decode("utf-8"), size))
+            good = [
+                (a, b) for (a, b), own in sets.items()
+                if any(_linked(x, y, percent) for x in own.get(a, []) for y in own.get(b, []))
+            ]
+            if good:
+                yield pd.DataFrame(good, columns=["a", "b"])
+
+    runs = met.repartition("key").sortWithinPartitions("key")
+    return store(runs.mapInPandas(compare, "a long, b long"), "jaccard-links")
+
 
-    one = texts.select(F.col("doc").alias("x"), F.col("packed").alias("of_a"))
-    two = texts.select(F.col("doc").alias("y"), F.col("packed").alias("of_b"))
-    both = pairs.join(one, F.col("a") == F.col("x")).join(two, F.col("b") == F.col("y")).select("a", "b", "of_a", "of_b")
-    return store(both.mapInPandas(compare, "a long, b long").distinct(), "jaccard-links")
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = len(x) + len(y) - len(np.union1d(x, y))
+    return bool(both) and both >= least_overlap(len(x) + len(y), percent)
 
 
 def classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs``."""
     rows = store(profiles(docs, size, percent, shingle_counters(docs, size)), "jaccard-profiles")
     held = rows.where((F.col("n") > 0) & (F.col("doc") != NO_ID))
-    heads = store(held.groupBy("digest").agg(F.min("doc").alias("head")), "jaccard-heads")
+    heads = held.groupBy("digest").agg(F.min("doc").alias("head"), F.min("group").alias("group"))
+    groups = heads.groupBy("group").agg(F.min("head").alias("gid"), F.count(F.lit(1)).alias("members"))
+    heads = heads.join(groups.withColumnRenamed("group", "g"), F.col("group") == F.col("g"))
+    heads = store(heads.select(F.col("digest").alias("of"), "head", "gid", "members"), "jaccard-heads")
     own = (F.col("digest") == F.col("of")) & (F.col("doc") == F.col("head"))
-    sets = held.join(heads.withColumnRenamed("digest", "of"), own).drop("of", "head").dropDuplicates(["doc", "digest"])
+    sets = held.join(heads, own).drop("of", "head").dropDuplicates(["doc", "digest"])
     sets = store(sets, "jaccard-sets")
-    groups = sets.groupBy("group").agg(F.min("doc").alias("gid"), F.count(F.lit(1)).alias("members"))
-    sets = store(sets.join(groups.withColumnRenamed("group", "g"), F.col("group") == F.col("g")).drop("g"), "jaccard-grouped")
     tokens = shared_tokens(sets.where(F.col("doc") == F.col("gid")).select("gid", "prefix"))
     # Only sets of a group with company, or a shared prefix member, can be linked at all.
     met = tokens.select(F.col("gid").alias("g")).distinct()
     alive = sets.join(met, F.col("gid") == F.col("g"), "left").where(F.col("g").isNotNull() | (F.col("members") > 1))
     alive = store(alive.select("doc", "gid", "n", "parity", "mins"), "jaccard-alive")
-    texts = packed_texts(docs, alive.select("doc").distinct())
+    texts = packed_texts(docs, store(alive.select(F.col("doc").alias("w")).distinct(), "jaccard-wanted"))
 
     def labelled(found: DataFrame) -> DataFrame:
         named = components(found)
@@ -351,7 +376,7 @@ def classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         return store(joined.withColumn("component", F.coalesce("component", "doc")), "jaccard-labelled")
 
     # The texts of one doc_id are one document: they join what each of them is linked with.
-    parts = held.select("doc", "digest").join(heads.withColumnRenamed("digest", "of"), F.col("digest") == F.col("of"))
+    parts = held.select("doc", "digest").join(heads, F.col("digest") == F.col("of"))
     links = store(
         parts.groupBy("doc").agg(F.min("head").alias("low"), F.max("head").alias("high")).where(F.col("low") < F.col("high"))
         .select(F.col("low").alias("a"), F.col("high").alias("b")),
@@ -366,7 +391,7 @@ def classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     named = components(links).select(F.col("node"), F.col("component"))
     joined = (
         rows.select("doc", "n", "digest")
-        .join(heads.withColumnRenamed("digest", "of"), F.col("digest") == F.col("of"), "left")
+        .join(heads, F.col("digest") == F.col("of"), "left")
         .join(named, F.col("head") == F.col("node"), "left")
     )
     known = F.col("doc") != NO_ID

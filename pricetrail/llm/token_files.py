@@ -66,9 +66,9 @@ def pack(ids: np.ndarray, doc_ids: np.ndarray, lengths: np.ndarray) -> bytes:
     parts = [_frame(used.astype("<u4")), _frame(doc_ids.astype("<i8")), _frame(lengths.astype("<i8"))]
     zeros = []
     for plane in range(depth - 1, -1, -1):
-        ones = (order >> plane) & 1
-        left, right = np.flatnonzero(ones == 0), np.flatnonzero(ones)
-        packed = np.packbits(ones.astype(np.uint8))
+        ones = (order & order.dtype.type(1 << plane)).astype(bool)
+        left, right = np.flatnonzero(~ones), np.flatnonzero(ones)
+        packed = np.packbits(ones)
         zeros.append(len(left))
         parts += [_frame(packed), _frame(_ranked(packed).astype("<u4"))]
         order = np.concatenate((order.take(left), order.take(right)))
@@ -170,8 +170,8 @@ class TokenFile:
         """All ids in order: the planes undone from the last to the first."""
         order = np.zeros(self.n, np.uint16 if len(self.zeros) <= 16 else np.uint32)
         for level in range(len(self.zeros) - 1, -1, -1):
-            ones = np.unpackbits(self._plane(level)[0], count=self.n)
-            left, right = np.flatnonzero(ones == 0), np.flatnonzero(ones)
+            ones = np.unpackbits(self._plane(level)[0], count=self.n).view(bool)
+            left, right = np.flatnonzero(~ones), np.flatnonzero(ones)
             before = np.empty_like(order)
             before[left] = order[: len(left)]
             before[right] = order[len(left):] | order.dtype.type(1 << (len(self.zeros) - 1 - level))
