@@ -1,6 +1,7 @@
 from datetime import date
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from pricetrail.operators import archive, events, sinks
@@ -98,3 +99,55 @@ def test_stamps(spark):
     nested = spark.createDataFrame([({"k": "v"},)], "m map<string,string>")
     assert nested.select(archive_files.nested_text(F.col("m"))).first()[0] == '{"k":"v"}'
     assert archive_files.without_bookkeeping(spark.createDataFrame([(1, 2)], "id int, _links int")).columns == ["id"]
+
+
+def _stored(spark, path):
+    rows = spark.createDataFrame([("1", "2024-01-01"), ("2", "2024-01-02"), ("3", "2024-01-02")], "a string, _effective_date string")
+    sinks.replace_schedules(rows, path, ["2024-01-01", "2024-01-02"])
+    return rows
+
+
+def _kept(spark, path):
+    return sorted(tuple(r) for r in sinks.read_archive(spark, path).select("a", "_effective_date").collect())
+
+
+@pytest.mark.parametrize("kind", ["frame", "filter", "page"])
+def test_an_empty_load_clears_its_date(spark, tmp_path, kind):
+    path = str(tmp_path / "t")
+    rows = _stored(spark, path)
+    if kind == "frame":
+        empty = rows.limit(0)
+    elif kind == "filter":
+        rows.write.parquet(str(tmp_path / "rows"))
+        empty = spark.read.parquet(str(tmp_path / "rows")).where("a = 'none'")
+    else:
+        (tmp_path / "page.json").write_text('{"data": []}')
+        empty = sinks.stamp(archive_files.read_pages(spark, str(tmp_path / "page.json")), "1", "2024-01-02")
+    for _ in range(2):
+        sinks.replace_schedules(empty, path, ["2024-01-02"])
+        assert _kept(spark, path) == [("1", "2024-01-01")]
+
+
+@pytest.mark.parametrize("date", [None, "2024-01-03"])
+def test_rows_of_unnamed_dates_are_an_error_and_change_nothing(spark, tmp_path, date):
+    path = str(tmp_path / "t")
+    rows = _stored(spark, path)
+    stray = spark.createDataFrame([("9", date), ("8", "2024-01-01")], rows.schema)
+    before = _kept(spark, path)
+    with pytest.raises(ValueError, match="not named"):
+        sinks.replace_schedules(stray, path, ["2024-01-01"])
+    assert _kept(spark, path) == before
+
+
+def test_organisation_ids_meet_as_text(spark):
+    ids = ["ORG7", "102.5", "102.0", "9007199254740993", "9007199254740992", "1e2"]
+    items = spark.createDataFrame([(i, "2024-01-01") for i in ids], "organisation_id string, effective_date string")
+    names = spark.createDataFrame(
+        [(i, "2024-01-01", f"name {i}") for i in ["ORG7", "102.5", "102", "9007199254740993", "9007199254740992", "100"]],
+        "id string, effective_date string, name string",
+    )
+    got = {r.organisation_id: r.responsible for r in archive.with_organisation(items, names).collect()}
+    assert got == {
+        "ORG7": "name ORG7", "102.5": "name 102.5", "102.0": "name 102", "9007199254740993": "name 9007199254740993",
+        "9007199254740992": "name 9007199254740992", "1e2": None,
+    }

@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from pricetrail.functions.months import months_between
+from pricetrail.functions.months import in_months, months_between
 from pricetrail.operators import movers, quality, series, sinks, summary, wide
 from pricetrail.session import new_path
 from pricetrail.sources.tables import canonical_wide, detect_roles, missing_tables, pick_column
@@ -170,3 +170,25 @@ def test_adaptable_columns(spark, tmp_path):
     with pytest.raises(ValueError):
         detect_roles({"dim": dim})
     assert missing_tables(spark, str(tmp_path), ["items"]) == ["items"]
+
+
+def test_month_ranges_open_only_their_folders(spark, tmp_path):
+    rows = [("l", date(2024, m, 1), float(m), "b", "r", "p") for m in range(1, 7)]
+    facts = spark.createDataFrame(
+        rows, "product_line_id string, snapshot_date date, aemp double, brand_name string, responsible_person string, amt_trade_pack string"
+    ).withColumn("aemp", F.col("aemp").cast("decimal(18,6)"))
+    sinks.append_facts(facts, str(tmp_path / "facts"))
+    stored = spark.read.parquet(str(tmp_path / "facts"))
+    few = in_months(stored, date(2024, 2, 1), date(2024, 3, 31))
+    assert sorted(r.snapshot_date.month for r in few.collect()) == [2, 3] and few.inputFiles() != stored.inputFiles()
+    flat = stored.select("*", *[F.lit("x").alias(c) for c in movers.KEYS])
+    for df in (few, movers.movers(flat, date(2024, 1, 1), date(2024, 2, 1))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(snapshot_month" in plan or "PartitionFilters: [snapshot_month" in plan
+        assert "PushedFilters: []" not in plan
+
+
+def test_a_series_reads_its_prices_once(spark, tmp_path):
+    prices(spark, ("1", "d", "f", 1, 5, None)).write.parquet(str(tmp_path / "p"))
+    points = series.price_series(spark.read.parquet(str(tmp_path / "p")), ["D"])
+    assert points._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
