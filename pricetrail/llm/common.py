@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from pricetrail.session import store
 from pricetrail.sources.tables import load
 
-__all__ = ["load", "lower_ascii", "partitions_for", "slots", "store", "unit_interval", "unsigned_crc32"]
+__all__ = ["load", "lower_ascii", "partitions_for", "sent", "slots", "store", "unit_interval", "unsigned_crc32"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -34,6 +34,16 @@ def partitions_for(rows: int, per_partition: int, least: int = 1) -> int:
     return max(least, -(-rows // per_partition))
 
 
+#: Rows of a few numbers sent to all tasks at most: some tens of megabytes.
+SENT_ROWS = 1 << 20
+
+
+def sent(ids: DataFrame) -> DataFrame:
+    """Stored rows of a few numbers, to be joined with texts: sent to all tasks up to SENT_ROWS
+    of them, so that the texts stay where they are; joined by a shuffle beyond that."""
+    return F.broadcast(ids) if ids.count() <= SENT_ROWS else ids
+
+
 def slots(df: DataFrame, group: str, order: list[str], bucket: Column, name: str) -> DataFrame:
     """Number the rows of each group from 0 without a gap, ``name`` being the number.
 

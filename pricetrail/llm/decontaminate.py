@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricetrail.llm.common import lower_ascii, store
+from pricetrail.llm.common import lower_ascii, sent, store
 
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW, SLOP = 10, 3
@@ -216,4 +216,4 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     key = F.struct(
         F.coalesce(docs["doc_id"], F.lit(NO_ID)), F.xxhash64(F.coalesce(docs["text"], F.lit("")))
     )
-    return docs.join(hit, key == F.struct(hit["doc"], hit["version"]), "left_anti")
+    return docs.join(sent(hit), key == F.struct(hit["doc"], hit["version"]), "left_anti")

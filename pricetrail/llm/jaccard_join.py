@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricetrail.llm.common import store
+from pricetrail.llm.common import sent, store
 from pricetrail.llm.components import components
 from pricetrail.llm.hashing import SPACED, mix, shingles, word_hashes
 
@@ -41,8 +41,6 @@ COUNTERS, COUNTER_ROW = 1 << 20, 1 << 14
 #: Bits of a parity sketch; min-hashes of a set; sets compared with each other in one task at most.
 PARITY_BITS, MIN_HASHES, TILE = 1024, 3, 4096
 WORDS64 = PARITY_BITS // 64
-#: Ids sent to all tasks at most, some tens of megabytes.
-SENT_ROWS = 1 << 20
 #: Stands for a null doc_id, which pandas would turn all ids into floats for.
 NO_ID = -(1 << 63)
 
@@ -296,17 +294,6 @@ def group_pairs(sets: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     ).where(F.col("a") < F.col("b")).distinct()
 
 
-def _picked(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """``rows`` joined with stored ``wanted`` on ``key`` = its column w.
-
-    Up to SENT_ROWS rows of ids are sent to all tasks, so that texts stay where they are; more
-    than that are joined by a shuffle.
-    """
-    if wanted.count() <= SENT_ROWS:
-        wanted = F.broadcast(wanted)
-    return rows.join(wanted, F.col(key) == F.col("w"))
-
-
 def packed_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """Stored (doc, packed): the compressed texts of the wanted documents (w)."""
 
@@ -316,7 +303,7 @@ def packed_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             packed = [compress((t or "").encode("utf-8", "replace")) for t in frame["text"]]
             yield pd.DataFrame({"doc": frame["doc_id"].array, "packed": packed})
 
-    texts = _picked(docs.select("doc_id", "text"), "doc_id", wanted).select("doc_id", "text")
+    texts = docs.select("doc_id", "text").join(sent(wanted), F.col("doc_id") == F.col("w")).select("doc_id", "text")
     return store(texts.mapInPandas(pack, "doc long, packed binary"), "jaccard-texts")
 
 
@@ -326,7 +313,7 @@ def verified(texts: DataFrame, pairs: DataFrame, size: int, percent: int) -> Dat
     Each pair asks for its two texts; what is shuffled are the texts asked for, by pair.
     """
     asked = pairs.select(F.explode(F.array("a", "b")).alias("w"), "a", "b")
-    found = _picked(texts, "doc", store(asked, "jaccard-asked"))
+    found = texts.join(sent(store(asked, "jaccard-asked")), F.col("doc") == F.col("w"))
     met = found.select(F.xxhash64("a", "b").alias("key"), "a", "b", "doc", "packed")
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -406,8 +393,12 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
     Of rows with the same doc_id one stays; rows without doc_id all stay.
     """
-    found = store(classes(docs, size, percent), "jaccard-classes")
-    first = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("first")).distinct()
-    known = docs.where(F.col("doc_id").isNotNull())
-    kept = known.join(first, known["doc_id"] == F.col("first"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    found = classes(docs, size, percent).where(F.col("doc_id").isNotNull())
+    per_id = store(
+        found.groupBy("doc_id").agg(F.min("component_id").alias("first"), F.count(F.lit(1)).alias("rows")), "jaccard-classes"
+    )
+    special = (F.col("doc_id") != F.col("first")) | (F.col("rows") > 1)
+    others = sent(per_id.where(special).select(F.col("doc_id").alias("w")))
+    several = sent(per_id.where((F.col("doc_id") == F.col("first")) & (F.col("rows") > 1)).select(F.col("doc_id").alias("w")))
+    plain = docs.join(others, docs["doc_id"] == others["w"], "left_anti")
+    return plain.unionByName(docs.join(several, docs["doc_id"] == several["w"], "left_semi").dropDuplicates(["doc_id"]))
