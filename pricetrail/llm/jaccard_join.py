@@ -37,7 +37,7 @@ from pricetrail.llm.components import components
 from pricetrail.llm.hashing import SPACED, mix, shingles, word_hashes
 
 #: Counters for the order of shingles, and how many travel in a row.
-COUNTERS, COUNTER_ROW = 1 << 20, 1 << 14
+COUNTERS, COUNTER_ROW = 1 << 22, 1 << 14
 #: Bits of a parity sketch; min-hashes of a set; sets compared with each other in one task at most.
 PARITY_BITS, MIN_HASHES, TILE = 1024, 3, 4096
 WORDS64 = PARITY_BITS // 64
@@ -50,7 +50,7 @@ def shingle_set(text: str | None, size: int) -> np.ndarray:
 
 
 def _slot(found: np.ndarray) -> np.ndarray:
-    return (found >> np.uint64(44)).astype(np.int64)
+    return (found >> np.uint64(65 - COUNTERS.bit_length())).astype(np.int64)
 
 
 def shingle_counters(docs: DataFrame, size: int) -> np.ndarray:
@@ -59,8 +59,8 @@ def shingle_counters(docs: DataFrame, size: int) -> np.ndarray:
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counters = np.zeros(COUNTERS, np.uint32)
         for frame in frames:
-            for at in range(0, len(frame), 512):
-                sets = [_slot(shingle_set(t, size)) for t in frame["text"].iloc[at : at + 512]]
+            for at in range(0, len(frame), 2048):
+                sets = [_slot(shingle_set(t, size)) for t in frame["text"].iloc[at : at + 2048]]
                 counters += np.bincount(np.concatenate(sets), minlength=COUNTERS).astype(np.uint32)
         pack = zstandard.ZstdCompressor(level=1).compress
         for row in range(0, COUNTERS, COUNTER_ROW):
@@ -369,12 +369,17 @@ def classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         .select(F.col("low").alias("a"), F.col("high").alias("b")),
         "jaccard-links",
     )
+    tried = links.select("a", "b").limit(0)
     while True:
-        found = verified(texts, nearest(labelled(links), percent), size, percent)
-        links = links.unionByName(found)
+        near = nearest(labelled(links), percent)
+        near = store(near.join(tried, ["a", "b"], "left_anti"), "jaccard-near")
+        found = verified(texts, near, size, percent)
         if found.isEmpty():
             break
-    links = links.unionByName(verified(texts, group_pairs(labelled(links), tokens, percent), size, percent))
+        links, tried = links.unionByName(found), tried.unionByName(near)
+    tried = tried.unionByName(near)
+    rest = group_pairs(labelled(links), tokens, percent).join(tried, ["a", "b"], "left_anti")
+    links = links.unionByName(verified(texts, rest, size, percent))
     named = components(links).select(F.col("node"), F.col("component"))
     joined = (
         rows.select("doc", "n", "digest")
