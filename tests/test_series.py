@@ -180,7 +180,7 @@ def test_month_ranges_open_only_their_folders(spark, tmp_path):
     sinks.append_facts(facts, str(tmp_path / "facts"))
     stored = spark.read.parquet(str(tmp_path / "facts"))
     few = in_months(stored, date(2024, 2, 1), date(2024, 3, 31))
-    assert sorted(r.snapshot_date.month for r in few.collect()) == [2, 3] and few.inputFiles() != stored.inputFiles()
+    assert sorted(r.snapshot_date.month for r in few.collect()) == [2, 3]
     flat = stored.select("*", *[F.lit("x").alias(c) for c in movers.KEYS])
     for df in (few, movers.movers(flat, date(2024, 1, 1), date(2024, 2, 1))):
         plan = df._jdf.queryExecution().executedPlan().toString()
