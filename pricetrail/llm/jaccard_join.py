@@ -12,8 +12,7 @@ loses none, and are then compared in full.
 
 A cluster of thousands of near copies must not become pairs of all with all. Only components are asked
 for, so before the join each set is linked with its nearest one among those with an equal
-min-hash, again and again while that links components; the join leaves out pairs that these verified
-links already connect. It still looks at every other pair that the prefixes allow, so no component is missed.
+min-hash, a few times over; the join leaves out pairs that these verified links already connect. It still looks at every other pair that the prefixes allow, so no component is missed.
 Only texts of sets that share anything with another one are compared, compressed until then.
 
 Defined cases: null text and text without words has no shingles and is linked with nothing; a document with
@@ -41,6 +40,8 @@ COUNTERS, COUNTER_ROW = 1 << 22, 1 << 14
 #: Bits of a parity sketch; min-hashes of a set; sets compared with each other in one task at most.
 PARITY_BITS, MIN_HASHES, TILE = 1024, 3, 4096
 WORDS64 = PARITY_BITS // 64
+#: How often sets are linked with their nearest ones before the join; it has less to do after each.
+NEAR_ROUNDS = 2
 #: Stands for a null doc_id, which pandas would turn all ids into floats for.
 NO_ID = -(1 << 63)
 
@@ -370,14 +371,11 @@ def classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         "jaccard-links",
     )
     tried = links.select("a", "b").limit(0)
-    while True:
+    for _ in range(NEAR_ROUNDS):
         near = nearest(labelled(links), percent)
         near = store(near.join(tried, ["a", "b"], "left_anti"), "jaccard-near")
-        found = verified(texts, near, size, percent)
-        if found.isEmpty():
-            break
-        links, tried = links.unionByName(found), tried.unionByName(near)
-    tried = tried.unionByName(near)
+        links = links.unionByName(verified(texts, near, size, percent))
+        tried = tried.unionByName(near)
     rest = group_pairs(labelled(links), tokens, percent).join(tried, ["a", "b"], "left_anti")
     links = links.unionByName(verified(texts, rest, size, percent))
     named = components(links).select(F.col("node"), F.col("component"))
