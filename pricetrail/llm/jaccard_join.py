@@ -40,6 +40,8 @@ COUNTERS, COUNTER_ROW = 1 << 22, 1 << 14
 #: Bits of a parity sketch; min-hashes of a set; sets compared with each other in one task at most.
 PARITY_BITS, MIN_HASHES, TILE = 1024, 3, 4096
 WORDS64 = PARITY_BITS // 64
+#: Sets of more members than LONG fill those bits up, so they have a longer sketch as well.
+LONG, LONG_BITS = 1500, 1 << 14
 #: How often sets are linked with their nearest ones before the join; it has less to do after each.
 NEAR_ROUNDS = 2
 #: Stands for a null doc_id, which pandas would turn all ids into floats for.
@@ -85,12 +87,18 @@ def shingle_counters(docs: DataFrame, size: int) -> np.ndarray:
     return out
 
 
+def _parity(found: np.ndarray, bits: int) -> bytes:
+    """For each of ``bits`` classes of hashes whether the set has an odd number of them."""
+    of = (mix(found) >> np.uint64(65 - bits.bit_length())).astype(np.int64)
+    return np.packbits(np.bincount(of, minlength=bits).astype(np.uint8) & 1).tobytes()
+
+
 def least_overlap(total: np.ndarray | int, percent: int):
     """Shared members that two sets with ``total`` members between them need."""
     return -(-percent * total // (100 + percent))
 
 
-PROFILE = "doc long, n long, digest binary, prefix array<long>, group binary, parity binary, mins array<long>"
+PROFILE = "doc long, n long, digest binary, prefix array<long>, group binary, parity binary, wide binary, mins array<long>"
 
 
 def profiles(docs: DataFrame, size: int, percent: int, counters: np.ndarray) -> DataFrame:
@@ -101,17 +109,18 @@ def profiles(docs: DataFrame, size: int, percent: int, counters: np.ndarray) ->
         found = shingle_set(text, size)
         n = len(found)
         if not n:
-            return 0, None, None, None, None, None
+            return 0, None, None, None, None, None, None
         order = np.lexsort((found, sent.value[_slot(found)]))
         prefix = np.sort(found[order[: n - (percent * n + 99) // 100 + 1]])
         tie = blake2b(prefix.tobytes() + n.to_bytes(8, "little"), digest_size=16).digest()
-        odd = np.bincount((mix(found) >> np.uint64(54)).astype(np.int64), minlength=PARITY_BITS).astype(np.uint8) & 1
+        parity = _parity(found, PARITY_BITS)
+        wide = _parity(found, LONG_BITS) if n > LONG else None
         mins = [int(mix(found ^ np.uint64(i + 1)).min().view(np.int64)) for i in range(MIN_HASHES)]
         digest = blake2b(found.tobytes(), digest_size=16).digest()
-        return n, digest, prefix.view(np.int64).tolist(), tie, np.packbits(odd).tobytes(), mins
+        return n, digest, prefix.view(np.int64).tolist(), tie, parity, wide, mins
 
     def profile(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["n", "digest", "prefix", "group", "parity", "mins"]
+        names = ["n", "digest", "prefix", "group", "parity", "wide", "mins"]
         for frame in frames:
             for at in range(0, len(frame), 512):
                 some = frame.iloc[at : at + 512]
@@ -151,6 +160,13 @@ def _most_apart(total: np.ndarray, percent: int) -> np.ndarray:
     return total - 2 * least_overlap(total, percent)
 
 
+def _apart_enough(x: bytes | None, y: bytes | None, bound: int) -> bool:
+    """Whether the long sketches of two sets, where both have one, show that they are not linked."""
+    if x is None or y is None:
+        return False
+    return int(np.bitwise_count(np.frombuffer(x, np.uint64) ^ np.frombuffer(y, np.uint64)).sum()) > bound
+
+
 def nearest(sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b): each set with its nearest one of another component among those of an equal min-hash.
 
@@ -168,7 +184,7 @@ def nearest(sets: DataFrame, percent: int) -> DataFrame:
     dealt = keyed.join(sizes, F.col("bucket") == F.col("of")).select(
         F.xxhash64("bucket", F.pmod(F.xxhash64("doc", "i"), F.col("tiles"))).alias("key"), F.col("doc").alias("owner")
     )
-    dealt = dealt.join(sets.select("doc", "component", "n", "parity"), F.col("owner") == F.col("doc")).drop("owner")
+    dealt = dealt.join(sets.select("doc", "component", "n", "parity", "wide"), F.col("owner") == F.col("doc")).drop("owner")
 
     def link(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for run in _runs(frames, "key"):
@@ -183,7 +199,11 @@ def nearest(sets: DataFrame, percent: int) -> DataFrame:
                 apart[~fits] = PARITY_BITS + 1
                 pick = apart.argmin(axis=1)
                 best[some] = np.where(fits[np.arange(len(pick)), pick], pick, -1)
-            has = np.flatnonzero(best >= 0)
+            wide = run["wide"].to_numpy()
+            has = np.array([
+                i for i in np.flatnonzero(best >= 0)
+                if not _apart_enough(wide[i], wide[best[i]], int(_most_apart(n[i] + n[best[i]], percent)))
+            ], np.int64)
             if len(has):
                 yield pd.DataFrame({"a": np.minimum(doc[has], doc[best[has]]), "b": np.maximum(doc[has], doc[best[has]])})
 
@@ -219,16 +239,18 @@ def group_pairs(sets: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     tile by tile.
     """
     heads = sets.groupBy("gid", "component").agg(
-        F.min("doc").alias("head"), F.min("n").alias("least"), F.max("n").alias("most")
+        F.min("doc").alias("head"), F.min("n").alias("least"), F.max("n").alias("most"), F.count(F.lit(1)).alias("sets")
     )
-    first = sets.groupBy(F.col("doc").alias("head_doc")).agg(F.min("parity").alias("sketch"))
+    first = sets.groupBy(F.col("doc").alias("head_doc")).agg(F.min("parity").alias("sketch"), F.min("wide").alias("wide"))
     heads = heads.join(first, F.col("head") == F.col("head_doc")).drop("head_doc")
     others = sets.select(F.col("gid").alias("g"), F.col("component").alias("c"), "parity").join(
         heads, (F.col("g") == F.col("gid")) & (F.col("c") == F.col("component")) & (F.col("parity") != F.col("sketch"))
     )
     reach = others.groupBy(F.col("head").alias("of")).agg(F.max(_differing_bits("parity", "sketch")).alias("reach"))
     units = store(
-        heads.join(reach, F.col("head") == F.col("of"), "left").drop("of").withColumn("reach", F.coalesce("reach", F.lit(0))),
+        heads.join(reach, F.col("head") == F.col("of"), "left").drop("of").withColumn("reach", F.coalesce("reach", F.lit(0)))
+        # One set's long sketch does not speak for others of its unit.
+        .withColumn("wide", F.when(F.col("sets") == 1, F.col("wide"))),
         "jaccard-units",
     )
     named = tokens.select("token", F.col("gid").alias("g")).join(
@@ -249,14 +271,14 @@ def group_pairs(sets: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
         )
     )
     dealt = tiled.join(units, F.col("owner") == F.col("head")).select(
-        "key", "second", "alone", "head", "component", "least", "most", "sketch", "reach"
+        "key", "second", "alone", "head", "component", "least", "most", "sketch", "reach", "wide"
     )
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for run in _runs(frames, "key"):
             head, least, most, of, reach = (run[c].to_numpy() for c in ("head", "least", "most", "component", "reach"))
             sketch = np.frombuffer(b"".join(run["sketch"]), np.uint64).reshape(len(run), WORDS64)
-            alone = run["alone"].to_numpy(bool)
+            alone, wide = run["alone"].to_numpy(bool), run["wide"].to_numpy()
             left = np.flatnonzero(alone | ~run["second"].to_numpy(bool))
             right = np.flatnonzero(alone | run["second"].to_numpy(bool))
             for at in range(0, len(left), 256):
@@ -267,8 +289,13 @@ def group_pairs(sets: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
                 fits &= most[some][:, None] * 100 >= least[right][None, :] * percent
                 fits &= most[right][None, :] * 100 >= least[some][:, None] * percent
                 i, j = np.nonzero(fits)
+                i, j = some[i], right[j]
+                told = [
+                    not _apart_enough(wide[x], wide[y], int(_most_apart(most[x] + most[y], percent))) for x, y in zip(i, j)
+                ]
+                i, j = i[told], j[told]
                 if len(i):
-                    a, b = head[some[i]], head[right[j]]
+                    a, b = head[i], head[j]
                     yield pd.DataFrame({"head_a": np.minimum(a, b), "head_b": np.maximum(a, b)}).drop_duplicates()
 
     across = dealt.repartition("key").sortWithinPartitions("key").mapInPandas(compare, "head_a long, head_b long").distinct()
@@ -355,7 +382,7 @@ def classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     # Only sets of a group with company, or a shared prefix member, can be linked at all.
     met = tokens.select(F.col("gid").alias("g")).distinct()
     alive = sets.join(met, F.col("gid") == F.col("g"), "left").where(F.col("g").isNotNull() | (F.col("members") > 1))
-    alive = store(alive.select("doc", "gid", "n", "parity", "mins"), "jaccard-alive")
+    alive = store(alive.select("doc", "gid", "n", "parity", "wide", "mins"), "jaccard-alive")
     texts = packed_texts(docs, store(alive.select(F.col("doc").alias("w")).distinct(), "jaccard-wanted"))
 
     def labelled(found: DataFrame) -> DataFrame:
