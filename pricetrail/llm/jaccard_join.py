@@ -239,18 +239,16 @@ def group_pairs(sets: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     tile by tile.
     """
     heads = sets.groupBy("gid", "component").agg(
-        F.min("doc").alias("head"), F.min("n").alias("least"), F.max("n").alias("most"), F.count(F.lit(1)).alias("sets")
+        F.min("doc").alias("head"), F.min("n").alias("least"), F.max("n").alias("most")
     )
-    first = sets.groupBy(F.col("doc").alias("head_doc")).agg(F.min("parity").alias("sketch"), F.min("wide").alias("wide"))
+    first = sets.groupBy(F.col("doc").alias("head_doc")).agg(F.min("parity").alias("sketch"))
     heads = heads.join(first, F.col("head") == F.col("head_doc")).drop("head_doc")
     others = sets.select(F.col("gid").alias("g"), F.col("component").alias("c"), "parity").join(
         heads, (F.col("g") == F.col("gid")) & (F.col("c") == F.col("component")) & (F.col("parity") != F.col("sketch"))
     )
     reach = others.groupBy(F.col("head").alias("of")).agg(F.max(_differing_bits("parity", "sketch")).alias("reach"))
     units = store(
-        heads.join(reach, F.col("head") == F.col("of"), "left").drop("of").withColumn("reach", F.coalesce("reach", F.lit(0)))
-        # One set's long sketch does not speak for others of its unit.
-        .withColumn("wide", F.when(F.col("sets") == 1, F.col("wide"))),
+        heads.join(reach, F.col("head") == F.col("of"), "left").drop("of").withColumn("reach", F.coalesce("reach", F.lit(0))),
         "jaccard-units",
     )
     named = tokens.select("token", F.col("gid").alias("g")).join(
@@ -271,14 +269,14 @@ def group_pairs(sets: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
         )
     )
     dealt = tiled.join(units, F.col("owner") == F.col("head")).select(
-        "key", "second", "alone", "head", "component", "least", "most", "sketch", "reach", "wide"
+        "key", "second", "alone", "head", "component", "least", "most", "sketch", "reach"
     )
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for run in _runs(frames, "key"):
             head, least, most, of, reach = (run[c].to_numpy() for c in ("head", "least", "most", "component", "reach"))
             sketch = np.frombuffer(b"".join(run["sketch"]), np.uint64).reshape(len(run), WORDS64)
-            alone, wide = run["alone"].to_numpy(bool), run["wide"].to_numpy()
+            alone = run["alone"].to_numpy(bool)
             left = np.flatnonzero(alone | ~run["second"].to_numpy(bool))
             right = np.flatnonzero(alone | run["second"].to_numpy(bool))
             for at in range(0, len(left), 256):
@@ -289,13 +287,8 @@ def group_pairs(sets: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
                 fits &= most[some][:, None] * 100 >= least[right][None, :] * percent
                 fits &= most[right][None, :] * 100 >= least[some][:, None] * percent
                 i, j = np.nonzero(fits)
-                i, j = some[i], right[j]
-                told = [
-                    not _apart_enough(wide[x], wide[y], int(_most_apart(most[x] + most[y], percent))) for x, y in zip(i, j)
-                ]
-                i, j = i[told], j[told]
                 if len(i):
-                    a, b = head[i], head[j]
+                    a, b = head[some[i]], head[right[j]]
                     yield pd.DataFrame({"head_a": np.minimum(a, b), "head_b": np.maximum(a, b)}).drop_duplicates()
 
     across = dealt.repartition("key").sortWithinPartitions("key").mapInPandas(compare, "head_a long, head_b long").distinct()
@@ -306,9 +299,9 @@ def group_pairs(sets: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
         (F.col("g") == F.col("h")) & (F.col("head_a") < F.col("head_b")),
     ).select("head_a", "head_b")
     pairs = store(across.unionByName(within).distinct(), "jaccard-groups")
-    members = sets.select(F.col("gid").alias("g"), F.col("component").alias("c"), "doc", "n", "parity").join(
+    members = sets.select(F.col("gid").alias("g"), F.col("component").alias("c"), "doc", "n", "parity", "wide").join(
         units.select("gid", "component", "head"), (F.col("g") == F.col("gid")) & (F.col("c") == F.col("component"))
-    ).select("head", "doc", "n", "parity")
+    ).select("head", "doc", "n", "parity", "wide")
 
     def side(name: str) -> DataFrame:
         return members.select(*[F.col(c).alias(f"{c}_{name}") for c in members.columns])
@@ -317,9 +310,16 @@ def group_pairs(sets: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
         side("a"), F.col("x") == F.col("head_a")).join(side("b"), F.col("y") == F.col("head_b"))
     total = F.col("n_a") + F.col("n_b")
     bound = total - 2 * F.ceil(F.lit(percent) * total / F.lit(100 + percent))
-    return expanded.where(_differing_bits("parity_a", "parity_b") <= bound).select(
-        F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b")
-    ).where(F.col("a") < F.col("b")).distinct()
+    close = expanded.where(_differing_bits("parity_a", "parity_b") <= bound).select(
+        F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b"), bound.alias("most"), "wide_a", "wide_b"
+    ).where(F.col("a") < F.col("b"))
+
+    def long_sketches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            close = [not _apart_enough(x, y, m) for x, y, m in zip(frame["wide_a"], frame["wide_b"], frame["most"])]
+            yield frame.loc[np.array(close, bool), ["a", "b"]]
+
+    return close.mapInPandas(long_sketches, "a long, b long").distinct()
 
 
 def packed_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
