@@ -10,8 +10,9 @@ prefix members; pairs of groups go on if their sizes fit, and expand to their me
 their parity sketches differ in no more bits than their sets may differ in members, which
 loses none, and are then compared in full.
 
-A cluster of thousands of near copies must not become pairs of all with all. Only components are asked
-for, so before the join each set is linked with its nearest one among those with an equal
+``links`` gives every link between different sets and the members of each set, ``linked`` the number of links per row.
+``classes`` is a shortcut for when only components are asked for and a cluster of thousands of near copies must not become
+pairs of all with all: before the join each set is linked with its nearest one among those with an equal
 min-hash, a few times over; the join leaves out pairs that these verified links already connect. It still looks at every other pair that the prefixes allow, so no component is missed.
 Only texts of sets that share anything with another one are compared, compressed until then.
 
@@ -367,8 +368,9 @@ def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return bool(both) and both >= least_overlap(len(x) + len(y), percent)
 
 
-def classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of ``docs``."""
+def _prepared(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Stored profiles of all rows; those that hold a set; heads of equal sets; prefix members of several groups;
+    the sets that may have links at all; their texts."""
     rows = store(profiles(docs, size, percent, shingle_counters(docs, size)), "jaccard-profiles")
     held = rows.where((F.col("n") > 0) & (F.col("doc") != NO_ID))
     heads = held.groupBy("digest").agg(F.min("doc").alias("head"), F.min("group").alias("group"))
@@ -384,6 +386,63 @@ def classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     alive = sets.join(met, F.col("gid") == F.col("g"), "left").where(F.col("g").isNotNull() | (F.col("members") > 1))
     alive = store(alive.select("doc", "gid", "n", "parity", "wide", "mins"), "jaccard-alive")
     texts = packed_texts(docs, store(alive.select(F.col("doc").alias("w")).distinct(), "jaccard-wanted"))
+    return rows, held, heads, tokens, alive, texts
+
+
+def by_row(docs: DataFrame) -> DataFrame:
+    """doc_id, a hash of id and text that tells different texts of one id apart; text; and the id itself as own_id."""
+    return docs.select(F.xxhash64("doc_id", "text").alias("doc_id"), "text", F.col("doc_id").alias("own_id"))
+
+
+def links(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """All links, in two stored tables.
+
+    Pairs (a, b) hold every two different shingle sets that are similar enough, each set named by the least row key of
+    those that have it; members (doc_id, row, n_shingles, head) name the set of every row of ``docs``, a null head
+    being no set. Rows with equal sets are linked through their common head.
+    No pair is left out for being connected already, so a family of n different near copies has up to n * n / 2 pairs.
+    """
+    keyed = by_row(docs)
+    rows, _, heads, tokens, alive, texts = _prepared(keyed, size, percent)
+    # Every set is a component of its own, so that no pair counts as known.
+    pairs = verified(texts, group_pairs(alive.withColumn("component", F.col("doc")), tokens, percent), size, percent)
+    known = rows.groupBy("doc").agg(F.max("n").alias("n_shingles"), F.max("digest").alias("digest"))
+    named = known.join(heads, F.col("digest") == F.col("of"), "left").select("doc", "n_shingles", "head")
+    members = keyed.select(F.col("own_id").alias("doc_id"), F.col("doc_id").alias("row")).join(named, F.col("row") == F.col("doc"))
+    return pairs, store(members.select("doc_id", "row", "n_shingles", "head"), "jaccard-members")
+
+
+def linked(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, row, n_shingles, class_row and n_links of every row of ``docs``, from ``links``.
+
+    n_links counts the other different rows (id or text) whose set is equal or similar enough; class_row is the least
+    row key among the heads of a class.
+    """
+    pairs, members = links(docs, size, percent)
+    copies = store(
+        members.where(F.col("head").isNotNull()).groupBy("head").agg(F.count_distinct("row").alias("copies")), "jaccard-copies"
+    )
+    ends = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = ends.join(copies, F.col("b") == F.col("head")).groupBy("a").agg(F.sum("copies").alias("others"))
+    counted = copies.join(others, F.col("head") == F.col("a"), "left").select(
+        F.col("head").alias("h"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")
+    )
+    joined = members.join(counted, F.col("head") == F.col("h"), "left").join(
+        components(pairs), F.col("head") == F.col("node"), "left"
+    )
+    return joined.select(
+        "doc_id", "row", "n_shingles", F.coalesce("component", "head", "row").alias("class_row"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+    )
+
+
+def classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row of ``docs``.
+
+    A shortcut to the components alone: links within a component that is known already are not looked for;
+    ``links`` finds them all.
+    """
+    rows, held, heads, tokens, alive, texts = _prepared(docs, size, percent)
 
     def labelled(found: DataFrame) -> DataFrame:
         named = components(found)

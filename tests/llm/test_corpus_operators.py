@@ -417,6 +417,28 @@ def test_chains_of_near_copies_across_tiles(spark, monkeypatch):
     assert {x.doc_id: x.component_id for x in classes.collect()} == plain_classes(docs, 3, 90)
 
 
+def test_no_link_within_a_family_is_lost(spark, odd, empty, plain, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "TILE", 5)
+    for size, percent in ((3, 90), (5, 80)):
+        pairs, members = jaccard_join.links(odd, size, percent)
+        of = {}
+        for m in members.collect():
+            of.setdefault(m.head, set()).add((m.doc_id, m.row))
+        got = {frozenset((x, y)) for p in pairs.collect() for x in of[p.a] for y in of[p.b]}
+        texts = {(r[0], r[1]): shingles_of(r[1], size) for r in plain}
+        want = collections.Counter()
+        n_pairs = 0
+        for (i, x), (j, y) in itertools.combinations(texts.items(), 2):
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
+                want.update([i, j])
+                n_pairs += x != y
+        assert n_pairs > 100 and len(got) == n_pairs
+        rows = by_id(jaccard_join.linked(odd, size, percent))
+        assert len(rows) == len(plain)
+        assert in_order((r["doc_id"], r["n_links"]) for r in rows) == in_order((r[0], want[r[:2]]) for r in plain)
+    assert jaccard_join.linked(empty).count() == 0
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (3, 4), (9, 8), (8, 7), (4, 1), (20, 20), (30, 31), (31, 30)] + [(i, i + 1) for i in range(100, 160)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
