@@ -2,13 +2,15 @@
 
 Two zstandard dictionaries are built from labelled text, one of each class. A text that
 resembles the good one compresses better with its dictionary, so the difference of the two
-compressed sizes, over the square root of the length, says which class it is closer to. A
+compressed sizes, over the square root of the length, says which class it is closer to. Texts are compressed in pieces
+of ``PIECE_BYTES``, each with the dictionary alone before it, as a text's own history would
+take the dictionary's place and the rest of a long text would count for nothing. A
 logistic curve over that number and the inverse root length, fitted on labelled texts that the
 dictionaries have not seen, makes it a probability.
 
 The fit is bounded: at most ``DICTIONARY_TEXTS`` + ``CALIBRATION_TEXTS`` texts of a class,
-the dictionaries being made from the first ``SAMPLE_CHARS`` characters of theirs. Scoring reads
-every text whole.
+the dictionaries being made from ``SAMPLE_CHARS`` characters of theirs, which are drawn from ``SAMPLE_PARTS`` places
+over the whole text where it is longer. Scoring reads every text whole.
 
 Defined cases: null text scores as an empty one, and an empty text has a score; a document
 with contradicting labels is not learnt from; without labels of both classes nothing speaks
@@ -26,8 +28,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DICTIONARY_TEXTS, CALIBRATION_TEXTS, SAMPLE_CHARS = 1500, 2500, 8192
-DICTIONARY_BYTES, LEVEL = 1 << 18, 3
+DICTIONARY_TEXTS, CALIBRATION_TEXTS, SAMPLE_CHARS, SAMPLE_PARTS = 1500, 2500, 8192, 8
+DICTIONARY_BYTES, LEVEL, PIECE_BYTES = 1 << 18, 3, 1 << 15
 KEEP_FROM = 0.7
 
 
@@ -59,12 +61,25 @@ def _sizer(content: bytes) -> Callable[[bytes], int]:
     return lambda data: len(compressor.compress(data))
 
 
+def _pieces(data: bytes) -> Iterator[bytes]:
+    """``data`` in pieces of PIECE_BYTES at most, cut between characters; one empty piece of no data."""
+    at = 0
+    while len(data) - at > PIECE_BYTES:
+        to = at + PIECE_BYTES
+        while data[to] & 0xC0 == 0x80:
+            to -= 1
+        yield data[at:to]
+        at = to
+    yield data[at:]
+
+
 def _features(good: Callable[[bytes], int], bad: Callable[[bytes], int], texts: Iterable[str | None]) -> np.ndarray:
     out = []
     for text in texts:
         data = (text or "").encode("utf-8", "replace")
+        apart = sum(bad(piece) - good(piece) for piece in _pieces(data))
         root = (len(data) + 100) ** 0.5
-        out.append(((bad(data) - good(data)) / root, 10.0 / root, 1.0))
+        out.append((apart / root, 10.0 / root, 1.0))
     return np.array(out, dtype=float).reshape(-1, 3)
 
 
@@ -79,6 +94,15 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
     return w
 
 
+def _drawn(text: Column) -> Column:
+    """SAMPLE_CHARS characters of a text: all of a short one, else parts from its beginning to its end."""
+    part = SAMPLE_CHARS // SAMPLE_PARTS
+    room = F.char_length(text) - part
+    places = [F.floor(room * i / (SAMPLE_PARTS - 1)).cast("int") + 1 for i in range(SAMPLE_PARTS)]
+    spread = F.concat_ws("\n", *[F.substring(text, place, F.lit(part)) for place in places])
+    return F.when(F.char_length(text) <= SAMPLE_CHARS, text).otherwise(spread)
+
+
 def _sample(labels: DataFrame) -> tuple[list[int], list[int], list[int], list[int]]:
     """Ids by hash order: good and bad ones for the dictionaries, then for the calibration."""
     agreed = (
@@ -105,7 +129,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     picked = F.broadcast(spark.createDataFrame(uses, "picked long, use int"))  # at most 8,000 rows
     texts = docs.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("picked"))
     first = texts.where(F.col("use") < 2).select(
-        "use", "doc_id", F.substring(F.coalesce("text", F.lit("")), 1, SAMPLE_CHARS).alias("text")
+        "use", "doc_id", _drawn(F.coalesce("text", F.lit(""))).alias("text")
     ).orderBy("doc_id", "text").collect()
     of = [[r.text.encode("utf-8", "replace") for r in first if r.use == k and r.text] for k in (0, 1)]
     if not (of[0] and of[1]):

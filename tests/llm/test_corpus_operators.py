@@ -101,6 +101,31 @@ def test_quality_learns_outside_the_held_out_fold(spark):
     assert got == by_id(quality.scored(docs, flipped))
 
 
+def test_long_texts_are_scored_by_all_they_hold(spark):
+    r = random.Random(4)
+    vocabulary = [["".join(r.choice(letters) for _ in range(6)) for _ in range(3000)] for letters in ("abcdefgh", "abcdefgh")]
+
+    def text(good, words):
+        return " ".join(r.choice(vocabulary[good]) for _ in range(words))
+
+    docs = [(i, text(i % 2, 300)) for i in range(400)]
+    docs += [(1000, text(0, 20_000) + " " + text(1, 180_000)), (1001, text(1, 20_000) + " " + text(0, 180_000))]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, quality int")
+    got = {g["doc_id"]: g["score"] for g in by_id(quality.scored(spark.createDataFrame(docs, "doc_id long, text string"), labels))}
+    assert got[1000] > 0.9 and got[1001] < 0.1
+    for word in ("a", "é", "字", "😀"):
+        data = (word * 40_000).encode()
+        pieces = list(quality._pieces(data))
+        assert b"".join(pieces) == data and all(p.decode() and len(p) <= quality.PIECE_BYTES for p in pieces)
+
+
+def test_samples_are_drawn_from_the_whole_text(spark):
+    texts = ["", "é" * 8192, "a" * 50_000 + "b" * 50_000 + "end"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, text string").select("i", quality._drawn(F.col("text")).alias("d"))
+    got = [x.d for x in frame.orderBy("i").collect()]
+    assert got[:2] == texts[:2] and got[2].endswith("end") and got[2].count("a") == got[2].count("b") + 3
+
+
 def test_quality_of_odd_rows(spark, odd, empty, plain):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     assert {r["score"] for r in by_id(quality.scored(odd, labels))} == {1.0}
