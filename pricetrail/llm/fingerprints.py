@@ -4,11 +4,12 @@ Every distinct word votes with its weight on each bit: up where the bit of its h
 where not. A word weighs more the longer it is (the frequent ones are short) and less than
 in proportion to its count. The sign of the votes is the fingerprint.
 
-Two fingerprints within radius r agree in at least one of r + 1 blocks of bits. Each block is a
-table of its own, keyed by the block's bits and so permuting them to the front; fingerprints
-with equal keys are compared in numpy, a pair counting in its first common block only. Equal
-fingerprints are one row with a count. A bucket larger than ``TILE`` is cut into tiles compared two by
-two, so neither a task nor a row set holds it whole, and no pairs are emitted, only counts.
+Two fingerprints within radius r differ in at most one bit of some of r // 2 + 1 parts, and so agree in
+two of that part's three blocks. Every two blocks of a part are a table, keyed by their bits (permuting them to the
+front); fingerprints with equal keys are compared in numpy, a pair counting in its first common table only. Equal
+fingerprints are one row with a count. A bucket larger than about ``TILE`` is cut into tiles compared two by
+two, so no task holds it whole. ``near_counts`` emits counts only; ``near_copies`` gives the pairs of different
+fingerprints and the documents of each.
 
 Defined cases: null text is empty; a text without words has the fingerprint 0; documents of equal
 id stand in text order; a null id comes before all others; the only document is its own next one; an empty table
@@ -18,6 +19,7 @@ gives no rows.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -25,11 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pricetrail.llm.common import store
+from pricetrail.llm.common import sent, store
 from pricetrail.llm.hashing import LETTERED, mix, word_hashes
 
-BITS, RADIUS = 256, 7
-NEIGHBOURS, TILE = 1024, 8192
+BITS = 256
+#: Near copies at a Jaccard similarity of about 0.8 over five-word shingles lie within RADIUS bits, 99 of 100 of them (README);
+#: within COPY_RADIUS only those that differ in hardly a word.
+RADIUS, COPY_RADIUS = 27, 7
+NEIGHBOURS, TILE, SIZED = 1024, 8192, 16
 NO_ID = -(1 << 62)
 
 
@@ -122,74 +127,167 @@ def with_next(docs: DataFrame) -> DataFrame:
     return out.withColumn("place", F.when(F.col("place") != NO_ID, F.col("place"))).withColumnRenamed("place", "doc_id")
 
 
-def _near_counts(tables: int):
-    width = BITS // 8 // tables
-
-    def count(bucket: pd.DataFrame) -> pd.DataFrame:
-        table = int(bucket["table"].iat[0])
-        a, b = int(bucket["tile_a"].iat[0]), int(bucket["tile_b"].iat[0])
-        prints = np.frombuffer(b"".join(bucket["fingerprint"]), np.uint8).reshape(len(bucket), -1)
-        copies, own = bucket["copies"].to_numpy(), bucket["tile"].to_numpy()
-        left, right = np.flatnonzero(own == a), np.flatnonzero(own == b)
-        blocks = prints[:, : table * width].reshape(len(bucket), table, width)
-        words = prints.view(np.uint64)
-        found = np.zeros(len(bucket), np.int64)
-        for at in range(0, len(left), 256):
-            some = left[at : at + 256]
-            apart = np.zeros((len(some), len(right)), np.uint16)
-            for word in words.T:
-                apart += np.bitwise_count(word[some][:, None] ^ word[right][None, :])
-            near = (apart <= RADIUS) & (some[:, None] != right[None, :])
-            for block in range(table):
-                bits = np.ascontiguousarray(blocks[:, block]).view(f"u{width}")[:, 0]
-                near &= bits[some][:, None] != bits[right][None, :]
-            found[some] += near @ copies[right]
-            if a != b:
-                found[right] += near.T @ copies[some]
-        has = found > 0
-        return pd.DataFrame({"fingerprint": bucket["fingerprint"][has], "near": found[has]})
-
-    return count
-
-
-def near_counts(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """fingerprint, near: how many other documents lie within the radius, from one row per document.
+def _masks(radius: int) -> np.ndarray:
+    """The bits that each table is keyed by, a row of BITS / 64 words per table.
 
-    ``prints`` has fingerprints as hex in ``fingerprint``; fingerprints without neighbours are left out.
+    The bits are cut into radius // 2 + 1 parts, so that two fingerprints within the radius differ in
+    at most one bit of some part; of the part's three blocks two are then equal.
     """
-    tables = radius + 1
-    block = BITS // tables // 4
-    known = prints.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("copies"))
-    entries = known.select(
-        F.unhex("fingerprint").alias("fingerprint"), "copies",
-        F.posexplode(F.array(*[F.substring("fingerprint", 1 + i * block, block) for i in range(tables)])).alias("table", "key"),
-    )
-    entries = store(entries, "simhash-tables")
-    sizes = entries.groupBy("table", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    sizes = sizes.select(F.col("table").alias("t"), F.col("key").alias("k"), F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
-    own = F.pmod(F.xxhash64("fingerprint"), F.col("tiles")).cast("int")
-    tiled = (
-        entries.join(sizes, (F.col("table") == F.col("t")) & (F.col("key") == F.col("k")))
-        .withColumn("tile", own)
+    parts = radius // 2 + 1
+    rows = []
+    for part in range(parts):
+        low, high = part * BITS // parts, (part + 1) * BITS // parts
+        for left_out in range(3):
+            bits = np.zeros(BITS, np.uint8)
+            bits[low:high] = 1
+            bits[low + left_out * (high - low) // 3 : low + (left_out + 1) * (high - low) // 3] = 0
+            rows.append(np.packbits(bits).view(np.uint64))
+    return np.array(rows)
+
+
+def _words(prints: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(prints), np.uint64).reshape(-1, BITS // 64)
+
+
+def _entries(known: DataFrame, masks: np.ndarray) -> DataFrame:
+    """One row per fingerprint and table: key, table, fingerprint, copies."""
+
+    def enter(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            words = _words(frame["fingerprint"])
+            for table, mask in enumerate(masks):
+                key = np.full(len(words), table + 1, np.uint64)
+                for word in (words & mask).T:
+                    key = mix(key ^ mix(word + np.uint64(1)))
+                yield pd.DataFrame({"key": key.view(np.int64), "table": np.full(len(words), table, np.int16), **frame})
+
+    return known.select("fingerprint", "copies").mapInPandas(enter, "key long, table short, fingerprint binary, copies long")
+
+
+def _runs(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Fingerprints as bytes and as words, copies, sides and tables of the runs of equal spot in sorted frames, each run whole."""
+    rest: pd.DataFrame | None = None
+
+    def cut(frame: pd.DataFrame, edges: np.ndarray):
+        prints, words = frame["fingerprint"].to_numpy(), _words(frame["fingerprint"])
+        copies, side, table = (frame[c].to_numpy() for c in ("copies", "side", "table"))
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            if b - a > 1:
+                yield prints[a:b], words[a:b], copies[a:b], side[a:b], table[a:b]
+
+    for frame in frames:
+        frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+        spots = frame["spot"].to_numpy()
+        edges = np.concatenate(([0], np.flatnonzero(spots[1:] != spots[:-1]) + 1))
+        yield from cut(frame, edges)
+        rest = frame.iloc[edges[-1] :]
+    if rest is not None and len(rest) > 1:
+        yield from cut(rest, np.array([0, len(rest)]))
+
+
+def _found(words: np.ndarray, side: np.ndarray, radius: int, masks: np.ndarray, table: np.ndarray):
+    """(i, j, bits) of a run's pairs within the radius that no table before the run's has."""
+    left, right = np.flatnonzero(side <= 0), np.flatnonzero(side >= 0)
+    for at in range(0, len(left), 256):
+        some = left[at : at + 256]
+        apart = np.zeros((len(some), len(right)), np.uint16)
+        for word in words.T:
+            apart += np.bitwise_count(word[some][:, None] ^ word[right][None, :])
+        near = apart <= radius
+        if not side.any():  # one tile with itself: each pair once
+            near &= some[:, None] < right[None, :]
+        x, y = np.nonzero(near)
+        for cut in range(0, len(x), 1 << 14):
+            i, j = some[x[cut : cut + (1 << 14)]], right[y[cut : cut + (1 << 14)]]
+            apart_at = (words[i] ^ words[j])[:, None, :]
+            first = (~((apart_at & masks[None]) != 0).any(axis=2)).argmax(axis=1)
+            own = (first == table[i]) & (first == table[j])
+            if own.any():
+                yield i[own], j[own], apart[x[cut : cut + (1 << 14)], y[cut : cut + (1 << 14)]][own]
+
+
+def _met(known: DataFrame, masks: np.ndarray) -> DataFrame:
+    """Entries, sorted by the spot where they meet; side is 0 in a tile that meets itself, else -1 or 1.
+
+    Only the number of tiles comes from counts of one fingerprint in SIZED, times SIZED; the rows are all there.
+    """
+    seen = known.where(F.pmod(F.xxhash64("fingerprint"), F.lit(SIZED)) == 0)
+    sizes = _entries(seen, masks).groupBy("key").agg((F.count(F.lit(1)) * SIZED).alias("n")).where(F.col("n") > TILE)
+    sizes = store(sizes.select(F.col("key").alias("k"), F.ceil(F.col("n") / TILE).cast("int").alias("tiles")), "simhash-sizes")
+    tile = F.pmod(F.xxhash64("fingerprint", F.lit(1)), F.col("tiles")).cast("int")
+    return (
+        _entries(known, masks).join(sent(sizes), F.col("key") == F.col("k"), "left")
+        .withColumn("tiles", F.coalesce("tiles", F.lit(1))).withColumn("tile", tile)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
         .select(
-            "table", "key", "fingerprint", "copies", "tile",
-            F.least("tile", "other").alias("tile_a"), F.greatest("tile", "other").alias("tile_b"),
+            F.when(F.col("tiles") == 1, F.col("key"))
+            .otherwise(F.xxhash64("key", F.least("tile", "other"), F.greatest("tile", "other"))).alias("spot"),
+            "table", F.signum(F.col("tile") - F.col("other")).cast("byte").alias("side"), "fingerprint", "copies",
         )
+        .repartition("spot").sortWithinPartitions("spot")
     )
-    between = tiled.groupBy("table", "key", "tile_a", "tile_b").applyInPandas(
-        _near_counts(tables), "fingerprint binary, near long"
-    )
-    near = between.groupBy("fingerprint").agg(F.sum("near").alias("near"))
-    same = known.where(F.col("copies") > 1).select(F.unhex("fingerprint").alias("fingerprint"), (F.col("copies") - 1).alias("near"))
-    both = near.unionByName(same).groupBy("fingerprint").agg(F.sum("near").alias("near"))
+
+
+def _known(prints: DataFrame) -> DataFrame:
+    known = prints.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("copies"))
+    return store(known.select(F.unhex("fingerprint").alias("fingerprint"), "copies"), "simhash-known")
+
+
+def near_counts(prints: DataFrame, radius: int = COPY_RADIUS) -> DataFrame:
+    """fingerprint, near: how many other documents lie within the radius, from one row per document.
+
+    ``prints`` has fingerprints as hex in ``fingerprint``; fingerprints without neighbours are left out.
+    """
+    masks, known = _masks(radius), _known(prints)
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for prints, words, copies, side, table in _runs(frames):
+            near = np.zeros(len(prints), np.int64)
+            for i, j, _ in _found(words, side, radius, masks, table):
+                np.add.at(near, i, copies[j])
+                np.add.at(near, j, copies[i])
+            has = near > 0
+            if has.any():
+                yield pd.DataFrame({"fingerprint": prints[has], "near": near[has]})
+
+    between = _met(known, masks).mapInPandas(count, "fingerprint binary, near long")
+    same = known.where(F.col("copies") > 1).select("fingerprint", (F.col("copies") - 1).alias("near"))
+    both = between.unionByName(same).groupBy("fingerprint").agg(F.sum("near").alias("near"))
     return both.select(F.lower(F.hex("fingerprint")).alias("fingerprint"), "near")
 
 
+def near_pairs(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """a, b, bits: every two different fingerprints within the radius, as hex, a before b, each pair once.
+
+    The documents of a fingerprint are the rows of ``prints`` that have it; equal ones are not paired.
+    """
+    masks, known = _masks(radius), _known(prints)
+
+    def pair(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for prints, words, _, side, table in _runs(frames):
+            for i, j, bits in _found(words, side, radius, masks, table):
+                yield pd.DataFrame({"x": prints[i], "y": prints[j], "bits": bits.astype(np.int32)})
+
+    found = _met(known, masks).mapInPandas(pair, "x binary, y binary, bits int")
+    x, y = F.lower(F.hex("x")), F.lower(F.hex("y"))
+    return found.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"), "bits")
+
+
+def near_copies(docs: DataFrame, radius: int = RADIUS) -> tuple[DataFrame, DataFrame]:
+    """``near_pairs`` of the texts, and the members: doc_id and fingerprint of every row of ``docs``."""
+
+    @F.pandas_udf("string")
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series([fingerprint(t or "").tobytes().hex() for t in texts], dtype=object)
+
+    members = store(docs.select("doc_id", of("text").alias("fingerprint")), "simhash-members")
+    return near_pairs(members, radius), members
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """``with_next`` and n_near, the other documents within RADIUS bits, for every row of ``docs``."""
     rows = store(with_next(docs), "simhash-rows")
-    near = near_counts(rows.select("fingerprint")).withColumnRenamed("fingerprint", "of")
+    near = near_counts(rows.select("fingerprint"), RADIUS).withColumnRenamed("fingerprint", "of")
     return rows.join(near, F.col("fingerprint") == F.col("of"), "left").select(
         *rows.columns, F.coalesce("near", F.lit(0).cast("long")).alias("n_near")
     )

@@ -174,6 +174,34 @@ def test_near_counts_across_tiles(spark, monkeypatch):
         assert got.get(h, 0) == sum((v ^ o).bit_count() <= 7 for o in values) - 1
 
 
+def test_near_copies_of_several_lengths_are_named(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "TILE", 40)
+    r = random.Random(11)
+    words = ["".join(r.choice(string.ascii_lowercase) for _ in range(r.randint(2, 10))) for _ in range(3000)]
+    docs, planted = [], []
+    for n, changes in ((100, 1), (200, 2), (400, 9), (1000, 22)):
+        for _ in range(15):
+            text = [r.choice(words) for _ in range(n)]
+            copy = text[:]
+            for i in r.sample(range(n), changes):
+                copy[i] = r.choice(words)
+            planted.append((len(docs), len(docs) + 1))
+            docs += [(len(docs), " ".join(text)), (len(docs) + 1, " ".join(copy))]
+    docs.append((len(docs), docs[0][1]))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    pairs, members = fingerprints.near_copies(frame)
+    of = collections.defaultdict(list)
+    for m in members.collect():
+        of[m.fingerprint].append(m.doc_id)
+    found = [tuple(sorted((x, y))) for p in pairs.collect() for x in of[p.a] for y in of[p.b]]
+    prints = [fingerprints.fingerprint(t) for _, t in docs]
+    apart = {(i, j): int(np.unpackbits(prints[i] ^ prints[j]).sum()) for i, j in itertools.combinations(range(len(docs)), 2)}
+    assert sorted(found) == sorted(p for p, bits in apart.items() if 0 < bits <= fingerprints.RADIUS)
+    assert len(set(found) & set(planted)) >= 0.95 * len(planted)
+    counts = {g["doc_id"]: g["n_near"] for g in by_id(fingerprints.fingerprints(frame))}
+    assert all(counts[i] == sum(bits <= fingerprints.RADIUS for p, bits in apart.items() if i in p) for i in counts)
+
+
 # 4 ------------------------------------------------------------------------------------------
 
 
