@@ -7,7 +7,8 @@ share of the template's words that are matched. A notice counts from ``COVERAGE`
 
 A long text would leave no word unique, so alignment starts from stretches of text in which
 a template's words are dense enough to reach the coverage at all; each notice found is cut
-out and what is left on either side is looked at again. Texts without enough of a template's words, nearly all,
+out and what is left on either side is looked at again. A stretch that gives no notice in one go, or one so long that
+several may be in it, is aligned around each occurrence of the template's words that are rarest in it. Texts without enough of a template's words, nearly all,
 are passed by after one comparison of hashed words.
 
 Defined cases: null and empty texts have no notices; rows are judged one by one, so repeated rows have equal
@@ -150,16 +151,51 @@ class Template:
                 continue
             pairs = [(i, j) for i, j in align(words[a:b], self.words)]
             if len(pairs) < self.least:
+                out += self.around(words, a, b)
                 continue
             first, last = a + pairs[0][0], a + pairs[-1][0]
-            out.append((first, last, len(pairs) / len(self.words)))
+            several = self.around(words, first, last + 1) if last - first + 1 >= 2 * self.least else []
+            out += several if len(several) > 1 else [(first, last, len(pairs) / len(self.words))]
             waiting += [(x, y) for x, y in ((a, first), (last + 1, b)) if y - x >= self.least]
+        return self.apart(out)
+
+    @staticmethod
+    def apart(hits: list[tuple[int, int, float]]) -> list[tuple[int, int, float]]:
+        """The best of hits that overlap: of the highest coverage, then the shortest, then the first."""
         best: list[tuple[int, int, float]] = []
-        for hit in sorted(set(out), key=lambda h: (-h[2], h[0], h[1])):
+        for hit in sorted(set(hits), key=lambda h: (-h[2], h[1] - h[0], h[0])):
             if all(hit[1] < o[0] or hit[0] > o[1] for o in best):
                 best.append(hit)
         return sorted(best)
 
+    def around(self, words: list[str], a: int, b: int) -> list[tuple[int, int, float]]:
+        """Notices in words[a:b], in which copies close together may leave no word unique.
+
+        A notice lacks so few words that it has one of any ``n - least + 1`` of the template. Those that are
+        rarest in the stretch are taken, and the words before and after each of their occurrences are aligned with the
+        template's before and after it, in windows that a notice of the greatest length fits in.
+        """
+        n, counts = len(self.words), Counter(words[a:b])
+        width = int(STRETCH * n) + 1
+        rarest = sorted(range(n), key=lambda c: (counts[self.words[c]], c))[: n - self.least + 1]
+        places: dict[str, list[int]] = {}
+        for c in rarest:
+            places.setdefault(self.words[c], []).append(c)
+        out, free = [], a
+        for i in range(a, b):
+            for c in places.get(words[i], ()):
+                if i < free:  # within a notice that is whole
+                    break
+                low = max(free, i - c - (width - n))
+                before = align(words[low:i], self.words[:c])
+                after = align(words[i : min(b, i + width - c)], self.words[c:])
+                first, last = low + before[0][0] if before else i, i + after[-1][0]
+                if len(before) + len(after) >= self.least and last - first < width:
+                    out.append((first, last, (len(before) + len(after)) / n))
+                    if len(before) + len(after) == n == last - first + 1:
+                        free = last + 1
+        return self.apart(out)
+
 
 FIELDS = "doc_id string, n_notices long, licenses string, coverage double, spans string"
 
