@@ -1,17 +1,16 @@
 """Secrets in text, told from copied examples by who owns them.
 
 Candidates are found by pattern. Their values are hashed, and for every hash the distinct
-documents (as repositories) and sources (as owners) are counted over the whole corpus. A value
-that several owners have is an example that was copied; one that a single owner has in few
-documents, and that looks random, is held to be live. Live values are added as spans of kind
+sources (as owners) are counted over the whole corpus. A value
+that several owners have is an example that was copied; one that a single owner has, in however many
+documents or copies of them, is held to be live if it looks random or has the form of an issued key. Live values are added as spans of kind
 ``live``; the spans of the fixed patterns stay whatever the counts say.
 
 Positions come from the text between matches: a match starts where the gaps and the matches
 before it end. Texts are scanned once; what is stored are lengths and hashes, no secrets.
 
 Defined cases: null text is empty and has no spans; a null source counts as an owner of its
-own; repeated rows each keep their own spans but count as one document; an empty table gives
-no rows.
+own; repeated rows each keep their own spans; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -32,7 +31,7 @@ KINDS = {
     "issued": (r"(?:gh[oprsu]_|xox[abprs]-|glpat-|sk_live_|AIza)[A-Za-z0-9_-]+", 0, 20),
 }
 BASE = ["assign", "access", "hex"]
-MOST_OWNERS, MOST_DOCUMENTS, LEAST_LENGTH, LEAST_DISTINCT = 1, 3, 16, 8
+MOST_OWNERS, LEAST_LENGTH, LEAST_DISTINCT = 1, 16, 8
 
 
 def _looks_random(value: Column) -> Column:
@@ -93,21 +92,18 @@ def spans(found: DataFrame) -> DataFrame:
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
-    """hash, documents, owners: distinct ones, counted in steps so that no hash meets in one task."""
-    place = candidates.groupBy("hash", "owner", "doc_id").agg(F.lit(1).alias("one"))
-    owner = place.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("documents"))
-    return owner.groupBy("hash").agg(
-        F.sum("documents").alias("documents"), F.count(F.lit(1)).alias("owners")
-    )
+    """hash, owners: distinct ones, counted in steps so that no hash meets in one task."""
+    owner = candidates.groupBy("hash", "owner").agg(F.lit(1).alias("one"))
+    return owner.groupBy("hash").agg(F.count(F.lit(1)).alias("owners"))
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: counts, the spans of the patterns and all spans."""
     found = find(docs)
     placed = store(spans(found), "secret-spans")
-    counts = ownership(placed).select(F.col("hash").alias("of"), "documents", "owners")
+    counts = ownership(placed).select(F.col("hash").alias("of"), "owners")
     judged = placed.join(counts, F.col("hash") == F.col("of"))
-    live = F.col("random") & (F.col("owners") <= MOST_OWNERS) & (F.col("documents") <= MOST_DOCUMENTS)
+    live = (F.col("random") | (F.col("kind") == "issued")) & (F.col("owners") <= MOST_OWNERS)
     kinds = [*BASE, "live"]
     rank = F.array_position(F.array(*[F.lit(k) for k in kinds]), F.col("kind"))
     own = F.when(F.col("kind") != "issued", F.struct(F.col("start"), rank.alias("rank"), F.col("end")))

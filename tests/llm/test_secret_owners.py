@@ -1,0 +1,14 @@
+"""A single owner's secrets, in however many documents."""
+
+from pricetrail.llm import secret_scan
+
+
+def test_one_owner_has_a_secret_in_many_documents(spark):
+    live, plain, shared = "tok3nA1b2C3d4E5f6G7h8", "ghp_" + "a" * 20, "tok3nZ9y8X7w6V5u4T3s2"
+    rows = [(i, f"password = {live} text {i % 3}", "a") for i in range(40)]
+    rows += [(100 + i, f"use {plain} here", "b") for i in range(6)] + [(200 + i, f"secret={shared}", f"s{i % 2}") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in secret_scan.scan(docs).collect()}
+    assert all(got[i].n_live == 1 and "live:11:32" in got[i].spans for i in range(40))
+    assert all(got[100 + i].spans == "live:4:28" and got[100 + i].n_example == 0 for i in range(6))
+    assert all(got[200 + i].n_live == 0 and got[200 + i].n_example == 1 for i in range(4))
