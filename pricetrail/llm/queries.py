@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 import public_tokenizers
 from pricetrail.llm import (
-    decontaminate, fingerprints, jaccard_join, license_scan, mixing, quality, secret_scan, sharding, token_files,
-    url_filter,
+    chunk_recipes, decontaminate, fingerprints, hard_negatives, importance, jaccard_join, license_scan, mixing, quality,
+    secret_scan, sharding, token_files, url_filter,
 )
 from pricetrail.llm.common import load
 from pricetrail.plans.registry import Query
@@ -87,4 +87,24 @@ def op10_positional_index(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.report(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
 
 
+@query()
+def op11_chunk_recipes(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the document that stays of those equal but for white space."""
+    return chunk_recipes.exact_copies(load(spark, folder, "documents")).select(
+        "doc_id", "keep_id", "group_size", "kept", "text_sha256", "n_chars", "n_chunks"
+    )
+
+
+@query()
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's importance for the benchmark's distribution, and its rank if it is drawn."""
+    return importance.resampled(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
+
+
+@query()
+def op13_hilbert_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, from all vectors."""
+    return hard_negatives.mined(load(spark, folder, "embeddings"))
+
+
 CORPUS_QUERIES["pipeline"] = Query(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)
