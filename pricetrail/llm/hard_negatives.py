@@ -82,9 +82,10 @@ def products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def bounds(anchors: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The least and the greatest score of each anchor in each zone; all vectors filled up to one length."""
+    """The least and the greatest score of each anchor in each zone, within the range of long; all vectors of one length."""
     up, down = np.maximum(anchors, 0), np.minimum(anchors, 0)
-    return products(up, low) + products(down, high), products(up, high) + products(down, low)
+    ends = products(up, low) + products(down, high), products(up, high) + products(down, low)
+    return np.clip(ends[0], LEAST, GREATEST), np.clip(ends[1], LEAST, GREATEST)
 
 
 def filled(vectors: np.ndarray, dims: int) -> np.ndarray:
