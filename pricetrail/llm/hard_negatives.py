@@ -261,7 +261,7 @@ def anchor_rows(stored: DataFrame) -> DataFrame:
     def take(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for b in frame.itertuples():
-                marked = np.frombuffer(b.anchors, np.int32)
+                marked = np.frombuffer(b.anchors, np.int32).astype(np.int64)
                 if len(marked):
                     vectors = unpacked(b.vectors, b.rows)[marked]
                     yield pd.DataFrame({
