@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pricetrail.functions import text
 from pricetrail.functions.months import month_start
+from pricetrail.operators.winners import latest_of
 from pricetrail.sources.tables import pick, pick_column
 
 
@@ -40,15 +41,13 @@ def typed_items(bronze: DataFrame) -> DataFrame:
 def superseding(items: DataFrame) -> DataFrame:
     """Per item and calendar month, the price of the month's last schedule.
 
-    An aggregate, not a window: each task keeps one candidate per item and
-    month before the shuffle.
+    Schedules of a month that say the same of an item are combined before the shuffle.
     """
     usable = items.where(F.col("determined_price").isNotNull() & F.col("effective_date").isNotNull())
-    kept = [c for c in items.columns if c != "li_item_id"]
-    last = usable.groupBy("li_item_id", month_start(F.col("effective_date")).alias("month")).agg(
-        F.max(F.struct("effective_date", *[c for c in kept if c != "effective_date"])).alias("last")
-    )
-    return last.select("li_item_id", "month", *[F.col(f"last.{c}") for c in kept])
+    kept = [c for c in items.columns if c not in ("li_item_id", "effective_date")]
+    dated = usable.withColumn("month", month_start(F.col("effective_date")))
+    last = latest_of(dated, ["li_item_id", "month"], "effective_date", kept)
+    return last.select("li_item_id", "month", *[c for c in items.columns if c != "li_item_id"])
 
 
 def with_organisation(items: DataFrame, organisations: DataFrame | None) -> DataFrame:

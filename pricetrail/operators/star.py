@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pricetrail.functions import text
 from pricetrail.functions.numbers import PRICE
 from pricetrail.operators.ordering import in_order
+from pricetrail.operators.winners import agreed
 from pricetrail.sources.layouts import Layout
 
 DIM_COLUMNS = [
@@ -70,12 +71,15 @@ def collisions(rows: DataFrame, layout: Layout) -> DataFrame:
 
 
 def _lines(rows: DataFrame, layout: Layout) -> DataFrame:
-    """Distinct lines with the date each was first seen. NULL and '' are one part, as in the id."""
-    parts = [F.coalesce(F.col(c), F.lit("")).alias(f"__{c}") for c in layout.base]
+    """Distinct lines with the date each was first seen. NULL and '' are one part, as in the id, and written as NULL.
+
+    All texts are keys of the group, so its only buffer is a date and it is hashed.
+    """
+    parts = [F.nullif(F.col(c), F.lit("")).alias(c) for c in layout.base]
     distinct = (
         signed(rows, layout)
         .groupBy(*parts, "variant_signature_base", "aemp")
-        .agg(F.min("snapshot_date").alias("first_seen"), *[F.max(c).alias(c) for c in layout.base])
+        .agg(F.min("snapshot_date").alias("first_seen"))
     )
     return distinct.select(
         line_id(layout).alias("product_line_id"),
@@ -134,16 +138,13 @@ def monthly_facts(rows: DataFrame, layout: Layout) -> DataFrame:
     """One row per (line, snapshot date).
 
     Rows that agree on both but differ otherwise collapse to the first in value
-    order; ``fact_conflicts`` names them.
+    order; ``fact_conflicts`` names them. A line has one price, so the price is no key of
+    its own; facts come out dealt by line.
     """
-    kept = [*layout.metrics[1:], "source_file", *_ATTRIBUTES]
-    keyed = _keyed(rows, layout)
-    first = keyed.groupBy("product_line_id", "snapshot_date", "aemp").agg(
-        F.min(F.struct(*kept)).alias("kept")
-    )
+    kept = [*layout.metrics, "source_file", *_ATTRIBUTES]
+    first = agreed(_keyed(rows, layout), ["product_line_id", "snapshot_date"], kept, dealt_by=["product_line_id"])
     return first.select(
-        "product_line_id", "snapshot_date", "aemp",
-        *[F.col(f"kept.{c}").alias(_ATTRIBUTES.get(c, c)) for c in kept],
+        "product_line_id", "snapshot_date", *[F.col(c).alias(_ATTRIBUTES.get(c, c)) for c in kept],
     )
 
 
