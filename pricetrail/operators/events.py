@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,17 +33,40 @@ def price_events(events: DataFrame, items: DataFrame) -> DataFrame:
     date); the schedule map and small item tables are broadcast by size, by
     Spark itself.
     """
+    return _with_prices(events, previous_schedules(items), items, items)
+
+
+def batch_price_events(events: DataFrame, items: DataFrame, schedules: DataFrame, first: date) -> DataFrame:
+    """``price_events`` of the events from ``first`` on, for items that are stored by ``effective_date``.
+
+    The schedules of the batch and the ones before them are known from the small ``schedules`` table. Their
+    dates are sent to the scans of the items, so that only the folders of those dates are opened: by the
+    batch's own dates for the price after, by the dates before for the price before.
+    """
+    since = F.lit(first)
+    dates = previous_schedules(schedules).where(F.col("effective_date") >= since)
+
+    def of_dates(column: str) -> DataFrame:
+        wanted = dates.select(F.col(column).alias("__wanted")).where(F.col(column).isNotNull()).distinct()
+        # A date per schedule of the batch.
+        return items.join(F.broadcast(wanted), F.col("effective_date") == F.col("__wanted"), "left_semi")
+
+    batch = events.where(F.col("effective_date") >= since)
+    return _with_prices(batch, dates, of_dates("effective_date"), of_dates("prev_date"))
+
+
+def _with_prices(events: DataFrame, dates: DataFrame, items: DataFrame, earlier: DataFrame) -> DataFrame:
     cur = items.select(
         "li_item_id", "effective_date", "pbs_code", "li_drug_name", "brand_name", "formulary",
         F.col("determined_price").alias("price_after"),
     )
-    before = items.select(
+    before = earlier.select(
         "li_item_id",
         F.col("effective_date").alias("prev_date"),
         F.col("determined_price").alias("price_before"),
     )
     return (
-        events.join(previous_schedules(items), "effective_date", "left")
+        events.join(dates, "effective_date", "left")
         .join(cur, ["li_item_id", "effective_date"], "left")
         .join(before, ["li_item_id", "prev_date"], "left")
         .select(

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from pricetrail.functions import numbers
 from pricetrail.functions.numbers import PRICE
-from pricetrail.operators.ordering import SLICE_ROWS, in_order
+from pricetrail.operators.ordering import FAN, middle_values
+from pricetrail.session import store
 from pricetrail.sources.tables import first_present, pick_column
 
 KEYS = ["item_code", "drug", "form", "brand", "responsible"]
@@ -72,23 +73,19 @@ def movers(
     )
 
 
-def summary(moved: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
+def summary(moved: DataFrame, fan: int = FAN) -> DataFrame:
     """Count, largest, median and total change.
 
-    The exact median needs the values in order, which no one task has: they are
-    numbered over range slices.
+    Equal changes are counted once, before any shuffle; all four figures come from these counts. The exact median
+    is found by counting in intervals, so nothing is sorted.
     """
-    totals = [
-        F.count("abs_change").alias("n_items"),
-        F.max("abs_change").alias("largest"),
-        F.sum("abs_change").cast("decimal(38,2)").alias("total"),
-    ]
-    ranked = in_order(
-        moved, [], [F.col(c) for c in ("abs_change", *KEYS)],
-        row_number="rn", group_size="n", sliced=True, slice_rows=slice_rows,
-    )
-    middle = F.col("rn").isin(F.floor((F.col("n") + 1) / 2), F.floor((F.col("n") + 2) / 2))
-    return ranked.agg(*totals, F.avg(F.when(middle, F.col("abs_change"))).cast(PRICE).alias("median"))
+    values = moved.where(F.col("abs_change").isNotNull()).groupBy("abs_change").agg(F.count(F.lit(1)).alias("n"))
+    values = store(values, "changes")
+    median = middle_values(values, "abs_change", "n", fan)
+    whole = F.sum(F.col("abs_change").cast("decimal(38,2)") * F.col("n")).cast("decimal(38,2)")
+    return values.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_items"), F.max("abs_change").alias("largest"), whole.alias("total"),
+    ).withColumn("median", F.lit(sum(median) / 2 if median else None).cast(PRICE))
 
 
 def summary_text(summarised: DataFrame, rising: bool = True) -> DataFrame:

@@ -11,6 +11,7 @@ more than a slice. The plan never depends on how many rows there are.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,6 +22,9 @@ from pricetrail.session import store
 # Rows of a slice, about.
 SLICE_ROWS = 1_000_000
 
+# Intervals that a range of values is counted in at a time.
+FAN = 4096
+
 _SLICE = "__slice"
 
 
@@ -111,3 +115,36 @@ def _across_slices(df, keys, order, row_number, group_size, previous, following,
     if group_size:
         added[group_size] = F.col("__all")
     return joined.select(*df.columns, *[c.alias(n) for n, c in added.items()])
+
+
+def middle_values(counts: DataFrame, value: str, weight: str, fan: int = FAN) -> list[Decimal]:
+    """The two middle values of a decimal column, the same twice where one is in the middle; none if there is no row.
+
+    ``counts`` has every value with the number of its rows, and is read once per round. A round counts rows in ``fan`` intervals between
+    the least and the greatest value that may still be in the middle and goes on with the one or two intervals in question, until
+    a single value is left: as many rounds as the range has digits to the base ``fan``. Nothing is
+    sorted, and the driver sees ``fan`` counts at most.
+    """
+    scale = counts.schema[value].dataType.scale
+    step = Decimal(1).scaleb(-scale)
+    first = counts.agg(F.min(value), F.max(value), F.sum(weight)).first()
+    if first[0] is None:
+        return []
+    total = int(first[2])
+    found = []
+    for rank in sorted({(total + 1) // 2, (total + 2) // 2}):
+        low, high, before = int(first[0] / step), int(first[1] / step), 0
+        while low < high:
+            width = -(-(high - low + 1) // fan)
+            place = F.floor(
+                (F.col(value) / F.lit(step)).cast("decimal(38,0)") - F.lit(low).cast("decimal(38,0)")
+            ) / F.lit(width).cast("decimal(38,0)")
+            inside = counts.where(F.col(value).between(F.lit(low * step), F.lit(high * step)))
+            rows = inside.groupBy(F.floor(place).cast("long").alias("at")).agg(F.sum(weight).alias("n")).collect()
+            for at, n in sorted((r["at"], int(r["n"])) for r in rows):
+                if before + n >= rank:
+                    low, high = low + at * width, min(low + (at + 1) * width - 1, high)
+                    break
+                before += n
+        found.append(low * step)
+    return [found[0], found[-1]]

@@ -2,44 +2,53 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from decimal import Decimal
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Values shown of each column.
+SAMPLES = 3
+
 
 def column_profile(df: DataFrame) -> DataFrame:
     """Per column: fill percentage and its three smallest distinct values as text.
 
-    Three passes, each keeping one minimum per column and task: the next
-    smallest value costs a scan but no shuffle of values, where a sorted set of
-    all values would have to fit one task. The driver sees three values per
-    column, which is the report itself.
+    One pass. A task keeps per column a count and three values of the Arrow batches it sees and
+    hands on those alone, so neither values nor sets of them are shuffled.
     """
     names = df.columns
-    values = [F.col(f"`{c}`").cast("string") for c in names]
-    tally = df.agg(
-        F.count(F.lit(1)), *[F.count(v) for v in values], *[F.min(v) for v in values]
-    ).first()
-    n_rows, filled = tally[0], tally[1 : len(names) + 1]
-    samples = [list(tally[len(names) + 1 :])]
-    for _ in range(2):
-        above = [F.when(v > F.lit(m), v) for v, m in zip(values, samples[-1])]
-        samples.append(list(df.agg(*[F.min(v) for v in above]).first()))
-    lines = [
-        (
-            c,
-            n_rows,
-            Decimal(100 * n) / n_rows if n_rows else None,
-            " | ".join(s[i] for s in samples if s[i] is not None) or "EMPTY",
-        )
-        for i, (c, n) in enumerate(zip(names, filled))
-    ]
-    report = df.sparkSession.createDataFrame(
-        lines, "column_name string, n_rows bigint, fill_pct decimal(38,18), samples string"
+    texts = df.select(*[F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate(names)])
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, filled, least = 0, [0] * len(names), [pa.array([], pa.string())] * len(names)
+        for batch in batches:
+            rows += batch.num_rows
+            for i, values in enumerate(batch.columns):
+                there = values.drop_null().cast(pa.string())
+                filled[i] += len(there)
+                # Arrow orders texts by their bytes, as Spark does.
+                some = pc.unique(pa.concat_arrays([least[i], pc.unique(there)]))
+                least[i] = some.take(pc.sort_indices(some)).slice(0, SAMPLES)
+        columns = [list(range(len(names))), [rows] * len(names), filled, [s.to_pylist() for s in least]]
+        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.string())]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["place", "rows", "filled", "least"])
+
+    counted = texts.mapInArrow(tally, "place int, rows long, filled long, least array<string>")
+    merged = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("least")))), 1, SAMPLES)
+    each = counted.groupBy("place").agg(F.sum("rows").alias("n_rows"), F.sum("filled").alias("filled"), merged.alias("least"))
+    # The columns in their order, those of a table without any task included.
+    listed = df.sparkSession.createDataFrame(list(enumerate(names)), "at int, column_name string")
+    joined = listed.join(each, F.col("at") == F.col("place"), "left")
+    n_rows = F.coalesce("n_rows", F.lit(0)).cast("bigint")
+    share = F.col("filled").cast("decimal(20,0)") * F.lit(Decimal(100)) / F.nullif(n_rows, F.lit(0)).cast("decimal(20,0)")
+    return joined.select(
+        "column_name", n_rows.alias("n_rows"), F.round(share, 1).cast("decimal(5,1)").alias("fill_pct"),
+        F.coalesce(F.nullif(F.array_join("least", " | "), F.lit("")), F.lit("EMPTY")).alias("samples"),
     )
-    return report.withColumn("fill_pct", F.round("fill_pct", 1).cast("decimal(5,1)"))
 
 
 def null_diagnostics(df: DataFrame, drug: str, columns: Sequence[str]) -> DataFrame:

@@ -139,10 +139,10 @@ def monthly_facts(rows: DataFrame, layout: Layout) -> DataFrame:
 
     Rows that agree on both but differ otherwise collapse to the first in value
     order; ``fact_conflicts`` names them. A line has one price, so the price is no key of
-    its own; facts come out dealt by line.
+    its own.
     """
     kept = [*layout.metrics, "source_file", *_ATTRIBUTES]
-    first = agreed(_keyed(rows, layout), ["product_line_id", "snapshot_date"], kept, dealt_by=["product_line_id"])
+    first = agreed(_keyed(rows, layout), ["product_line_id", "snapshot_date"], kept)
     return first.select(
         "product_line_id", "snapshot_date", *[F.col(c).alias(_ATTRIBUTES.get(c, c)) for c in kept],
     )

@@ -140,6 +140,37 @@ def json_pages(spark, folder):
     )
 
 
+_SPOILT = "event_id % 50 = 49"
+
+
+@query(
+    f"""SELECT CASE WHEN NOT {_SPOILT} THEN event_id END AS event_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+       CASE WHEN event_type = 'click' THEN 'b' END AS tag, CASE WHEN event_type <> 'click' THEN CAST(ts AS DATE) END AS day FROM events"""
+)
+def json_pages_typed(spark, folder):
+    """The same kind of pages read as variants, typed by path. Rows differ in shape; some ids are no numbers."""
+    path = new_path(spark, "pages")
+    click = F.col("event_type") == "click"
+    row = F.to_json(F.struct(
+        F.when(F.expr(_SPOILT), F.lit("none")).otherwise(F.col("event_id").cast("string")).alias("event_id"),
+        "event_type",
+        F.struct(
+            F.get_json_object("props", "$.k").cast("long").alias("k"),
+            F.when(click, F.array(F.struct(F.lit("b").alias("a")))).alias("tag"),
+        ).alias("detail"),
+        F.when(~click, F.date_format("ts", "yyyy-MM-dd")).alias("day"),
+    ))
+    pages = load(spark, folder, "events").groupBy(F.floor(F.col("event_id") / 1000).alias("page")).agg(
+        F.concat_ws(",", F.collect_list(row)).alias("rows")
+    )
+    pages.select(F.concat(F.lit('{"_links": [], "data": [null,'), F.col("rows"), F.lit("]}"))).write.text(path)
+    rows = archive_files.read_variant_rows(spark, path, multi_line=False)
+    return archive_files.typed_fields(rows, {
+        "event_id": ("$.event_id", "bigint"), "event_type": ("$.event_type", "string"), "k": ("$.detail.k", "bigint"),
+        "tag": ("$.detail.tag[0].a", "string"), "day": ("$.day", "date"),
+    })
+
+
 @query(
     f"""WITH {ITEMS},{ITEM_EVENTS}
 SELECT 'item_events' AS table_name, count(*) AS n_rows, count(DISTINCT effective_date) AS n_schedules FROM item_events

@@ -30,6 +30,19 @@ def price_events(spark, folder):
     return spark.read.parquet(path)
 
 
+_SINCE = date(2024, 1, 20)
+
+
+@query(f"WITH {PRICE_EVENTS} SELECT * FROM price_events WHERE event_date >= DATE '{_SINCE}'")
+def price_events_batch(spark, folder):
+    """The latest events only, from items stored by schedule: other schedules' folders stay closed."""
+    path = new_path(spark, "items")
+    listed = items(spark, folder)
+    listed.hint("rebalance", "effective_date").write.partitionBy("effective_date").parquet(path)
+    schedules = store(listed.select("effective_date").distinct(), "schedules")
+    return events.batch_price_events(item_events(spark, folder), spark.read.parquet(path), schedules, _SINCE)
+
+
 @query("SELECT count(*) AS n_rows, 1 AS n_stamps, true AS stamp_is_later FROM events")
 def build_stamps(spark, folder):
     """The table of events with the stamp that is stored beside it."""

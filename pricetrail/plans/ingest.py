@@ -10,8 +10,9 @@ from pricetrail.plans.fixtures import SNAP, coarse_snap, coarse_sql, snap
 from pricetrail.plans.registry import query
 from pricetrail.session import new_path
 from pricetrail.sources.layouts import MULTI_PRICE, SINGLE_PRICE
-from pricetrail.sources.tables import load
 from pricetrail.sources.snapshots import clean_snapshots, read_snapshots
+from pricetrail.sources.tables import load
+from pricetrail.streaming.pickup import pick_up, picked_up
 
 _SIG = q.piped("NULL", "brand", "NULL", "responsible", "NULL", "NULL", "NULL", "amt_pack")
 _BASE = "drug, item_code, form, formulary, program, pack_qty"
@@ -255,3 +256,33 @@ SELECT * REPLACE (CASE WHEN snapshot_date >= DATE '{_BATCHES[0]}' THEN 'resent-'
 )
 def incremental_facts(spark, folder):
     return _two_batches(spark, folder)[1].drop("snapshot_month")
+
+
+@query(
+    f"""WITH {SNAP}
+SELECT item_code, drug, brand, pack_qty, CAST(aemp AS DECIMAL(18,6)) AS aemp, snapshot_date,
+       'ex-manufacturer-prices-non-efc-' || strftime(snapshot_date, '%Y-%m-%d') || '.csv' AS source_file,
+       strftime(snapshot_date, '%Y-%m') AS snapshot_month
+FROM snap"""
+)
+def stream_pickup(spark, folder):
+    """Snapshots that land in two loads and are picked up in three runs, the last of which finds nothing new."""
+    path, table, marks = (new_path(spark, name) for name in ("landing", "picked", "pickup-checkpoint"))
+    name = F.concat(
+        F.lit("ex-manufacturer-prices-non-efc-"), F.date_format("snapshot_date", "yyyy-MM-dd"), F.lit(".csv")
+    ).alias("snapshot")
+    rows = snap(spark, folder).select(
+        F.col("item_code").alias("Item Code"), F.col("drug").alias("Drug Name"), F.col("form").alias("Legal Instrument Form"),
+        F.col("formulary").alias("Formulary"), F.col("program").alias("Program"), F.col("pack_qty").alias("Pack Quantity"),
+        F.format_number("aemp", 2).alias("AEMP"), F.col("brand").alias("Brand Name"), name, "snapshot_date",
+    )
+    later = F.col("snapshot_date") >= F.lit(_BATCHES[0])
+    for part, load_name in ((rows.where(~later), "first"), (rows.where(later), "second")):
+        part.drop("snapshot_date").hint("rebalance", "snapshot").write.option("header", True).option("escape", '"').partitionBy(
+            "snapshot"
+        ).csv(f"{path}/{load_name}")
+        pick_up(spark, f"{path}/*/*", rows.columns[:-2], SINGLE_PRICE, table, marks)
+    pick_up(spark, f"{path}/*/*", rows.columns[:-2], SINGLE_PRICE, table, marks)
+    return picked_up(spark, table).select(
+        "item_code", "drug", "brand", "pack_qty", "aemp", "snapshot_date", "source_file", "snapshot_month"
+    )

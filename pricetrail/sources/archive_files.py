@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pricetrail.session import store
+
 # Bookkeeping keys that may slip into rows.
 BOOKKEEPING = ["_meta", "_links"]
 
@@ -41,18 +43,42 @@ def read_pages(
 ) -> DataFrame:
     """Rows of landed JSON pages, every column text; nested values stay JSON text.
 
-    With ``columns`` the pages are read once. Without, names are inferred in a
-    first pass. Each value is read as text, so rows whose nested keys differ need
-    no common shape.
+    The pages are opened once in either case. Without ``columns`` every row is read as
+    names and texts and stored; the names there are then come from the stored rows. Each value is
+    read as text, so rows whose nested keys differ need no common shape.
     """
     if columns:
         return _page_rows(spark, path, multi_line, columns)
-    inferred = spark.read.option("multiLine", multi_line).json(path).schema
-    rows = inferred["data"].dataType
-    if not isinstance(rows, T.ArrayType) or not isinstance(rows.elementType, T.StructType):
+    schema = "data array<map<string, string>>"
+    pages = spark.read.option("multiLine", multi_line).schema(schema).json(path)
+    rows = pages.select(F.explode("data").alias("row")).where(F.col("row").isNotNull())
+    rows = store(rows.select("row", F.map_keys("row").alias("names")), "page-rows")
+    # One name per column of the table.
+    found = rows.select(F.explode("names").alias("name")).distinct()
+    names = sorted(r.name for r in found.collect() if r.name not in BOOKKEEPING)
+    if not names:
         return spark.createDataFrame([], T.StructType())
-    names = [f.name for f in rows.elementType.fields if f.name not in BOOKKEEPING]
-    return _page_rows(spark, path, multi_line, names)
+    return rows.select(*[F.col("row")[n].alias(n) for n in names])
+
+
+def read_variant_rows(spark: SparkSession, path: str, multi_line: bool = True, at: str = "$.data") -> DataFrame:
+    """Rows of landed JSON pages as one ``row`` of type variant, whatever their shape; the pages are opened once.
+
+    Pages without a list at ``at`` have no rows. Elements that are null are left out.
+    """
+    pages = spark.read.option("multiLine", multi_line).option("singleVariantColumn", "page").json(path)
+    rows = pages.select(F.explode(F.try_variant_get("page", at, "array<variant>")).alias("row"))
+    return rows.where(F.col("row").isNotNull() & ~F.is_variant_null("row"))
+
+
+def typed_fields(rows: DataFrame, fields: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """Columns (path, type) picked from variant rows; what is absent or of another kind is NULL."""
+    return rows.select(*[F.try_variant_get("row", path, kind).alias(name) for name, (path, kind) in fields.items()])
+
+
+def variant_shape(rows: DataFrame) -> DataFrame:
+    """One row: the common schema of all variant rows, as text; combined per task before the shuffle."""
+    return rows.agg(F.schema_of_variant_agg("row").alias("shape"))
 
 
 def _page_rows(spark: SparkSession, path: str, multi_line: bool, names: Sequence[str]) -> DataFrame:

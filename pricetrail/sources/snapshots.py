@@ -8,6 +8,7 @@ one per file.
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -60,7 +61,7 @@ def _files(spark: SparkSession, glob: str) -> DataFrame:
     A part file belongs to its folder, any other file to itself. Only names are
     read, not contents.
     """
-    found = spark.read.format("binaryFile").load(glob).select(F.col("_metadata.file_path").alias("__path"))
+    found = spark.read.format("binaryFile").load(glob).select(F.col("_metadata.file_path").alias("__path"), "length")
     is_part = F.col("__path").rlike("/part-[^/]*$")
     folder = F.regexp_replace("__path", "/[^/]*$", "")
     return found.withColumn("snapshot", F.when(is_part, folder).otherwise(F.col("__path")))
@@ -77,19 +78,43 @@ def _reader(spark: SparkSession, fmt: str, header: Sequence[str], quoted_newline
     return reader
 
 
-def _headers(spark: SparkSession, fmt: str, snapshots: dict[str, str]) -> dict[str, tuple[str, ...]]:
-    """Header of every snapshot, from the first line of one of its files each."""
-    def read_one(item):
-        snapshot, sample = item
-        if fmt == "csv":
-            first = spark.read.format("csv").options(
-                header=True, inferSchema=False, escape='"'
-            ).load(sample)
-            return snapshot, tuple(first.columns)
-        return snapshot, tuple(spark.read.format(fmt).load(sample).columns)
+def header_names(line: str) -> tuple[str, ...]:
+    """Column names of a CSV header as the reader gives them: unnamed ones by place, repeated ones with their place."""
+    cells = next(csv.reader([line.lstrip("\ufeff")]), [])
+    low = [c.lower() for c in cells]
+    return tuple(
+        f"_c{i}" if not c else f"{c}{i}" if low.count(c.lower()) > 1 else c for i, c in enumerate(cells)
+    )
+
+
+def first_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(path, header): the first line that is not empty of every file, from one scan of them all.
+
+    Only the block that begins a file is looked at. Its lines come in order and in one task, so the
+    first one met there is the first of the file, however many files there are.
+    """
+    lines = spark.read.text(list(paths)).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), "value"
+    )
+    begun = lines.where((F.col("at") == 0) & (F.trim("value") != ""))
+    return begun.groupBy("path").agg(F.first("value").alias("header"))
+
+
+def _csv_headers(spark: SparkSession, snapshots: dict[str, str]) -> dict[str, tuple[str, ...]]:
+    """Header of every snapshot in one job. Snapshots of one header are gathered before they come to the driver."""
+    if not snapshots:
+        return {}
+    alike = first_lines(spark, sorted(snapshots.values())).groupBy("header").agg(F.collect_list("path").alias("paths"))
+    of_path = {unquote(p): header_names(r.header) for r in alike.collect() for p in r.paths}
+    return {snapshot: of_path.get(sample, ()) for snapshot, sample in snapshots.items()}
 
+
+def _headers(spark: SparkSession, fmt: str, snapshots: dict[str, str]) -> dict[str, tuple[str, ...]]:
+    """Header of every snapshot, from the smallest of its files; other formats than CSV are asked file by file, for their footers."""
+    if fmt == "csv":
+        return _csv_headers(spark, snapshots)
     with ThreadPoolExecutor(16) as pool:
-        return dict(pool.map(read_one, snapshots.items()))
+        return dict(pool.map(lambda s: (s[0], tuple(spark.read.format(fmt).load(s[1]).columns)), snapshots.items()))
 
 
 def read_snapshots(
@@ -103,7 +128,8 @@ def read_snapshots(
     """
     files = _files(spark, glob)
     # One row per snapshot, that is per month.
-    found = files.groupBy("snapshot").agg(F.min("__path").alias("sample")).collect()
+    filled = F.struct(F.col("length") == 0, "length", "__path")
+    found = files.groupBy("snapshot").agg(F.min_by("__path", filled).alias("sample")).collect()
     headers = _headers(spark, fmt, {unquote(r.snapshot): unquote(r.sample) for r in found})
 
     by_header: dict[tuple[str, ...], list[str]] = {}
@@ -117,23 +143,27 @@ def read_snapshots(
 
     frames = []
     for header, paths in by_header.items():
-        mapped, _ = map_headers(header, layout)
-        schema = T.StructType([T.StructField(h, T.StringType()) for h in header])
-        raw = _reader(spark, fmt, header, quoted_newlines).schema(schema).load(paths)
-        frames.append(
-            raw.select(
-                *[_cell(F.col(f"`{mapped[f]}`") if f in mapped else None).alias(f) for f in layout.fields],
-                F.col("_metadata.file_path").alias("__path"),
-            )
-        )
+        raw = _reader(spark, fmt, header, quoted_newlines).schema(text_schema(header)).load(paths)
+        frames.append(canonical(raw, header, layout))
     if frames:
         rows = reduce(DataFrame.unionByName, frames)
     else:
-        rows = spark.createDataFrame([], ", ".join(f"{f} string" for f in [*layout.fields, "__path"]))
-    # From each row's own path: cheaper than a join with a listing, whatever its length.
-    path = F.url_decode("__path")
-    dated = rows.withColumns({"snapshot_date": file_date(path, layout), "source_file": file_name(path)})
-    return dated.drop("__path"), spark.createDataFrame(problems, PROBLEMS)
+        rows = spark.createDataFrame([], ", ".join(f"{f} string" for f in layout.fields) + ", snapshot_date date, source_file string")
+    return rows, spark.createDataFrame(problems, PROBLEMS)
+
+
+def text_schema(header: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(h, T.StringType()) for h in header])
+
+
+def canonical(raw: DataFrame, header: Sequence[str], layout: Layout) -> DataFrame:
+    """Rows of files with one header under the layout's names, with date and file name from each row's own path."""
+    mapped, _ = map_headers(header, layout)
+    path = F.url_decode(F.col("_metadata.file_path"))
+    return raw.select(
+        *[_cell(F.col(f"`{mapped[f]}`") if f in mapped else None).alias(f) for f in layout.fields],
+        file_date(path, layout).alias("snapshot_date"), file_name(path).alias("source_file"),
+    )
 
 
 def _cell(c: Column | None) -> Column:

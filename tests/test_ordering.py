@@ -46,10 +46,10 @@ def test_hot_group_is_cut_into_slices(spark):
 
 
 @pytest.mark.parametrize("n", [41, 40])
-def test_median_over_slices_is_exact(spark, n):
+def test_median_by_counted_intervals_is_exact(spark, n):
     rng = random.Random(n)
     rows = [(str(i), "d", "f", None, None, round(rng.random() * 10, 2)) for i in range(n)]
     df = spark.createDataFrame(rows, ", ".join(f"{k} string" for k in KEYS) + ", c double")
     df = df.withColumn("abs_change", F.col("c").cast("decimal(18,2)"))
     want = df.agg(F.median("abs_change").cast("decimal(18,6)")).first()[0]
-    assert [r.median for r in summary(df, slice_rows=7).collect()] == [want]
+    assert [r.median for r in summary(df, fan=7).collect()] == [want]
