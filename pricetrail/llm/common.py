@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from pricetrail.session import store
 from pricetrail.sources.tables import load
 
-__all__ = ["load", "lower_ascii", "partitions_for", "sent", "slots", "store", "unit_interval", "unsigned_crc32"]
+__all__ = ["carried", "load", "lower_ascii", "partitions_for", "sent", "slots", "store", "unit_interval", "unsigned_crc32"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -30,6 +30,11 @@ def unit_interval(*parts: Column, seed: int = 0) -> Column:
     return (bits + F.lit(0.5)) / F.lit(float(1 << 53))
 
 
+def carried(docs: DataFrame) -> Column:
+    """All columns of a row as one, ``doc``, so that none of them meets a name used on the way; ``doc.*`` gives them back."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]).alias("doc")
+
+
 def partitions_for(rows: int, per_partition: int, least: int = 1) -> int:
     return max(least, -(-rows // per_partition))
 

@@ -39,6 +39,8 @@ from pricetrail.operators.ordering import in_order
 
 #: Words in the automaton, and characters of the longest one: some megabytes on every executor.
 DICTIONARY, LONGEST = 1 << 16, 64
+#: Steps of the counts' logarithm for each doubling.
+LEVELS = 16
 #: Different words that a task counts before it hands its counts on.
 COUNTED = 200_000
 BUCKETS = 10_000
@@ -56,7 +58,10 @@ def words_apart(text: str | None) -> str:
 
 
 def dictionary(texts: DataFrame, size: int = DICTIONARY) -> list[str]:
-    """The most frequent words, the first in order of ties."""
+    """All words of at least some count above one: the least count that no more than ``size`` words have.
+
+    Driver and tasks see ``size`` words and some thousand counts, however many words there are.
+    """
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: Counter[str] = Counter()
@@ -73,8 +78,26 @@ def dictionary(texts: DataFrame, size: int = DICTIONARY) -> list[str]:
         if pairs:
             yield pd.DataFrame(pairs, columns=["word", "n"])
 
-    counts = texts.select("text").mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r.word for r in counts.orderBy(F.desc("n"), "word").limit(size).collect()]
+    parts = texts.select("text").mapInPandas(count, "word string, n long")
+    counts = parts.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
+    counts = store(counts.withColumn("level", F.floor(F.log2("n") * LEVELS).cast("long")), "importance-words")
+    # Few levels of the logarithm of the count; then the counts of the level in which there are too many words.
+    level, above = _down_to(counts, "level", size)
+    least, _ = _down_to(counts.where(F.col("level") == level), "n", size - above) if level is not None else (None, 0)
+    chosen = F.lit(True) if level is None else F.col("level") > level
+    if least is not None:
+        chosen = chosen | ((F.col("level") == level) & (F.col("n") > least))
+    return sorted(r.word for r in counts.where(chosen).select("word").collect())
+
+
+def _down_to(counts: DataFrame, column: str, room: int) -> tuple[int | None, int]:
+    """The greatest value from which on there are more rows than ``room``, or none; and the rows of greater values."""
+    above = 0
+    for value, n in sorted(((r.v, r.n) for r in counts.groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True):
+        if above + n > room:
+            return value, above
+        above += n
+    return None, above
 
 
 def _shift(crc: np.ndarray, length: np.ndarray) -> np.ndarray:

@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricetrail.llm.common import sent, store
+from pricetrail.llm.common import carried, sent, store
 from pricetrail.llm.components import components
 from pricetrail.llm.hashing import SPACED, mix, shingles, word_hashes
 
@@ -45,6 +45,8 @@ WORDS64 = PARITY_BITS // 64
 LONG, LONG_BITS = 1500, 1 << 14
 #: How often sets are linked with their nearest ones before the join; it has less to do after each.
 NEAR_ROUNDS = 2
+#: Runs of so many units are compared together with others; so many pairs at a time.
+SHORT_RUN, PAIRS_AT_ONCE = 64, 1 << 18
 #: Stands for a null doc_id, which pandas would turn all ids into floats for.
 NO_ID = -(1 << 63)
 
@@ -147,6 +149,21 @@ def _runs(frames: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
         yield rest
 
 
+def _whole_runs(frames: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
+    """Sorted frames, cut anew so that none ends inside a run of equal ``key``."""
+    rest: pd.DataFrame | None = None
+    for frame in frames:
+        frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+        if len(frame):
+            keys = frame[key].to_numpy()
+            last = int(np.searchsorted(keys, keys[-1], "left"))
+            if last:
+                yield frame.iloc[:last]
+            rest = frame.iloc[last:]
+    if rest is not None and len(rest):
+        yield rest
+
+
 def _far(sketch: np.ndarray, rows: slice | np.ndarray, others: slice | np.ndarray) -> np.ndarray:
     """Differing bits of the sketches of some rows and others."""
     left, right = sketch[rows], sketch[others]
@@ -273,24 +290,40 @@ def group_pairs(sets: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
         "key", "second", "alone", "head", "component", "least", "most", "sketch", "reach"
     )
 
+    def fitting(i: np.ndarray, j: np.ndarray, of: dict[str, np.ndarray]) -> Iterator[pd.DataFrame]:
+        """Pairs of units, by their places, that sizes and sketches let through."""
+        least, most, reach = of["least"], of["most"], of["reach"]
+        met = of["alone"][i] | (of["second"][i] != of["second"][j])
+        met &= of["component"][i] != of["component"][j]
+        met &= (most[i] * 100 >= least[j] * percent) & (most[j] * 100 >= least[i] * percent)
+        i, j = i[met], j[met]
+        apart = np.bitwise_count(of["sketch"][i] ^ of["sketch"][j]).sum(axis=1, dtype=np.int64)
+        near = apart <= _most_apart(most[i] + most[j], percent) + reach[i] + reach[j]
+        a, b = of["head"][i[near]], of["head"][j[near]]
+        if len(a):
+            yield pd.DataFrame({"head_a": np.minimum(a, b), "head_b": np.maximum(a, b)}).drop_duplicates()
+
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for run in _runs(frames, "key"):
-            head, least, most, of, reach = (run[c].to_numpy() for c in ("head", "least", "most", "component", "reach"))
-            sketch = np.frombuffer(b"".join(run["sketch"]), np.uint64).reshape(len(run), WORDS64)
-            alone = run["alone"].to_numpy(bool)
-            left = np.flatnonzero(alone | ~run["second"].to_numpy(bool))
-            right = np.flatnonzero(alone | run["second"].to_numpy(bool))
-            for at in range(0, len(left), 256):
-                some = left[at : at + 256]
-                total = most[some][:, None] + most[right][None, :]
-                bound = _most_apart(total, percent) + reach[some][:, None] + reach[right][None, :]
-                fits = (_far(sketch, some, right) <= bound) & (of[some][:, None] != of[right][None, :])
-                fits &= most[some][:, None] * 100 >= least[right][None, :] * percent
-                fits &= most[right][None, :] * 100 >= least[some][:, None] * percent
-                i, j = np.nonzero(fits)
-                if len(i):
-                    a, b = head[some[i]], head[right[j]]
-                    yield pd.DataFrame({"head_a": np.minimum(a, b), "head_b": np.maximum(a, b)}).drop_duplicates()
+        for batch in _whole_runs(frames, "key"):
+            of = {c: batch[c].to_numpy() for c in ("head", "least", "most", "component", "reach", "alone", "second")}
+            of["sketch"] = np.frombuffer(b"".join(batch["sketch"]), np.uint64).reshape(len(batch), WORDS64)
+            keys = batch["key"].to_numpy()
+            starts = np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1))
+            lengths = np.diff(np.append(starts, len(keys)))
+            # All pairs of all short runs at once, by their distance; long runs a stretch at a time.
+            length_of = np.repeat(lengths, lengths)
+            for d in range(1, min(SHORT_RUN, int(lengths.max()))):
+                i = np.flatnonzero((keys[:-d] == keys[d:]) & (length_of[:-d] <= SHORT_RUN))
+                for at in range(0, len(i), PAIRS_AT_ONCE):
+                    some = i[at : at + PAIRS_AT_ONCE]
+                    yield from fitting(some, some + d, of)
+            for start, length in zip(starts[lengths > SHORT_RUN].tolist(), lengths[lengths > SHORT_RUN].tolist()):
+                whole = np.arange(start, start + length)
+                rows = max(1, PAIRS_AT_ONCE // length)
+                for at in range(0, length, rows):
+                    i = np.repeat(whole[at : at + rows], length)
+                    j = np.tile(whole, len(i) // length)
+                    yield from fitting(i[i < j], j[i < j], of)
 
     across = dealt.repartition("key").sortWithinPartitions("key").mapInPandas(compare, "head_a long, head_b long").distinct()
     split = units.groupBy("gid").agg(F.min("head").alias("low"), F.max("head").alias("high")).where(F.col("low") < F.col("high"))
@@ -478,16 +511,24 @@ def classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that are the first of their class, all columns as they are.
+    """The rows of ``docs`` that are the first of their class, all columns as they are: the smallest doc_id's, null last.
 
-    Of rows with the same doc_id one stays; rows without doc_id all stay.
+    Every text is judged by itself, also where several share a doc_id or have none. Rows that agree in id and text are one.
     """
-    found = classes(docs, size, percent).where(F.col("doc_id").isNotNull())
-    per_id = store(
-        found.groupBy("doc_id").agg(F.min("component_id").alias("first"), F.count(F.lit(1)).alias("rows")), "jaccard-classes"
+    keyed = by_row(docs)
+    found = classes(keyed.select("doc_id", "text"), size, percent).select(F.col("doc_id").alias("row"), "component_id")
+    ids = keyed.groupBy(F.col("doc_id").alias("of")).agg(F.min("own_id").alias("own_id"), F.count(F.lit(1)).alias("rows"))
+    per_row = store(found.distinct().join(ids, F.col("row") == F.col("of")).drop("of"), "jaccard-classes")
+    # The smallest id of a class, and of its texts the one with the smallest key.
+    least = per_row.groupBy("component_id").agg(F.min("own_id").alias("least_id"))
+    same_class = F.col("component_id") == F.col("in_class")
+    first = per_row.join(least.withColumnRenamed("component_id", "in_class"), same_class).where(F.col("own_id").eqNullSafe(F.col("least_id")))
+    stays = store(first.groupBy("component_id").agg(F.min("row").alias("stays")).withColumnRenamed("component_id", "in_class"), "jaccard-first")
+    judged = store(
+        per_row.join(stays, same_class).where((F.col("row") != F.col("stays")) | (F.col("rows") > 1))
+        .select(F.col("row").alias("w"), (F.col("row") == F.col("stays")).alias("first")), "jaccard-judged",
     )
-    special = (F.col("doc_id") != F.col("first")) | (F.col("rows") > 1)
-    others = sent(per_id.where(special).select(F.col("doc_id").alias("w")))
-    several = sent(per_id.where((F.col("doc_id") == F.col("first")) & (F.col("rows") > 1)).select(F.col("doc_id").alias("w")))
-    plain = docs.join(others, docs["doc_id"] == others["w"], "left_anti")
-    return plain.unionByName(docs.join(several, docs["doc_id"] == several["w"], "left_semi").dropDuplicates(["doc_id"]))
+    rows = docs.select(carried(docs), F.xxhash64("doc_id", "text").alias("row"))
+    plain = rows.join(sent(judged.select("w")), F.col("row") == F.col("w"), "left_anti")
+    repeated = rows.join(sent(judged.where("first").select("w")), F.col("row") == F.col("w"), "left_semi")
+    return plain.unionByName(repeated.dropDuplicates(["row"])).select("doc.*")

@@ -7,8 +7,8 @@ complete epochs as fit and then by the beginning of that order, up to the words
 left of the target: the document there gives only part of its words. Where whole rows are asked
 for (``mixed_documents``) it goes in if at least half of it is taken.
 
-The order is never built in one task. Keys fall into buckets along the key axis; sums per
-bucket give each bucket its offset, and only one bucket's keys are sorted together. What
+The order is never built. Words are summed in intervals of the key axis, and the interval in which the target is
+reached is cut again until few rows are left; only these are sorted. What
 leaves that step is one cut key per source, so documents are chosen by comparing their own
 key with their source's cut, without moving texts.
 
@@ -24,13 +24,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pricetrail.llm.common import store, unit_interval
+from pricetrail.llm.common import carried, store, unit_interval
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: An upper bound on the copies of a document: its source's target over its source's size.
 MOST_EPOCHS = 3.0
-#: Keys of one source sorted together, about.
-BUCKET_ROWS = 2_000
+#: Rows of one source sorted together, and intervals that its keys are counted in.
+BUCKET_ROWS, FAN = 2_000, 4096
 
 
 def word_count(text: Column) -> Column:
@@ -48,12 +48,10 @@ def sample_key(doc_id: Column, text: Column, weight: Column, seed: int = 7) -> C
     return -F.log(unit_interval(doc_id, text, seed=seed)) / weight
 
 
-def with_keys(docs: DataFrame, prefix: str = "") -> DataFrame:
-    """``docs`` with its size in words and its key, under names with the prefix."""
-    size, key = f"{prefix}size", f"{prefix}key"
-    sized = docs.withColumn(size, word_count(F.col("text")))
-    weight = quality_weight(F.col("text"), F.col(size))
-    return sized.withColumn(key, sample_key(F.col("doc_id"), F.col("text"), weight))
+def with_keys(docs: DataFrame) -> DataFrame:
+    """``docs`` with its size in words and its key."""
+    sized = docs.withColumn("size", word_count(F.col("text")))
+    return sized.withColumn("key", sample_key(F.col("doc_id"), F.col("text"), quality_weight(F.col("text"), F.col("size"))))
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float = MOST_EPOCHS) -> DataFrame:
@@ -95,46 +93,51 @@ def plan_mix(rows: DataFrame) -> DataFrame:
     that key it gives the share ``part`` of its words.
     ``rows`` are read several times: pass a stored table.
     """
-    sizes = rows.groupBy("source").agg(
-        F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("source_rows"),
-    )
-    whole = F.floor(F.col("target") / F.col("source_size"))
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    whole = F.floor(F.try_divide("target", "source_size"))
     plan = targets(sizes).withColumn("epochs", F.coalesce(whole, F.lit(0)).cast("long"))
-    plan = plan.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
-    plan = store(plan, "mix-plan")
-    here = plan.select(
-        F.col("source").alias("of"), "rest", F.ceil(F.col("source_rows") / BUCKET_ROWS).alias("parts")
-    )
-    spread = F.floor((F.lit(1.0) - F.exp(-F.col("key") * F.lit(0.7))) * F.col("parts")).cast("long")
-    keys = (
-        rows.join(here, F.col("source").eqNullSafe(F.col("of")))
-        .withColumn("part", spread)
-        .groupBy("source", "part", "key", "rest").agg(F.sum("size").alias("words"))
-    )
-    keys = store(keys, "mix-keys")
-    before_part = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    before_key = Window.partitionBy("source", "part").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = keys.groupBy("source", "part").agg(F.sum("words").alias("part_words"))
-    offsets = offsets.select(
-        F.col("source").alias("of"), F.col("part").alias("in_part"),
-        F.coalesce(F.sum("part_words").over(before_part), F.lit(0)).alias("offset"), 
-    )
-    inside = keys.withColumn("inside", F.coalesce(F.sum("words").over(before_key), F.lit(0)))
-    before = F.col("offset") + F.col("inside")
-    cuts = (
-        inside.join(offsets, F.col("source").eqNullSafe(F.col("of")) & (F.col("part") == F.col("in_part")))
-        .where((before < F.col("rest")) & (F.col("words") > 0))
-        .groupBy("source").agg(
-            F.max("key").alias("cut"),
-            F.max_by(F.least((F.col("rest") - before) / F.col("words"), F.lit(1.0)), "key").alias("share"),
-        )
-        .select(F.col("source").alias("of"), "cut", "share")
-    )
+    rest = F.least(F.col("target") - F.col("epochs") * F.col("source_size"), F.col("source_size").cast("double"))
+    plan = store(plan.withColumn("rest", rest), "mix-plan")
+    cuts = _cut_keys(rows, plan.select(F.col("source").alias("of"), "rest").where("rest > 0"))
     return plan.join(cuts, F.col("source").eqNullSafe(F.col("of")), "left").select(
         "source", "source_size", "target", "epochs", "cut", F.col("share").alias("part")
     )
 
 
+def _cut_keys(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(of, cut, share): the key at which a source's ``rest`` of words is reached, and the share taken of the rows with it.
+
+    Words are summed in FAN intervals between the least and the greatest key in question; the interval in which ``rest`` is reached
+    is looked at again, between its own least and greatest key, until it has BUCKET_ROWS rows or one key. Only that
+    many rows of a source are ever put in order, however its keys lie.
+    """
+    ends = rows.groupBy("source").agg(F.min("key").alias("low"), F.max("key").alias("high"))
+    spans = wanted.join(ends, F.col("of").eqNullSafe(F.col("source"))).select(
+        "of", "rest", "low", "high", F.lit(0).cast("long").alias("below"), F.lit(1 << 62).alias("n")
+    )
+    spans = store(spans, "mix-spans")
+    upto = Window.partitionBy("of").orderBy("at")
+    before = F.col("below") + F.col("run") - F.col("part")
+
+    def inside(of: DataFrame) -> DataFrame:
+        own = F.col("source").eqNullSafe(F.col("of")) & F.col("key").between(F.col("low"), F.col("high"))
+        return rows.join(of, own)
+
+    open_span = (F.col("n") > BUCKET_ROWS) & (F.col("low") < F.col("high"))
+    while not spans.where(open_span).isEmpty():
+        place = F.floor(F.try_divide(F.col("key") - F.col("low"), F.col("high") - F.col("low")) * FAN)
+        at = F.coalesce(F.least(place, F.lit(FAN - 1)), F.lit(0)).alias("at")
+        sums = inside(spans.drop("n")).groupBy("of", "rest", "below", at).agg(
+            F.sum("size").alias("part"), F.count(F.lit(1)).alias("n"), F.min("key").alias("low"), F.max("key").alias("high")
+        )
+        hit = sums.withColumn("run", F.sum("part").over(upto)).where((before < F.col("rest")) & (before + F.col("part") >= F.col("rest")))
+        spans = store(hit.select("of", "rest", "low", "high", before.alias("below"), "n"), "mix-spans")
+    keys = inside(spans).groupBy("of", "rest", "below", "key").agg(F.sum("size").alias("part"))
+    run = keys.withColumn("run", F.sum("part").over(Window.partitionBy("of").orderBy("key")))
+    last = run.where((before < F.col("rest")) & (before + F.col("part") >= F.col("rest")))
+    return last.select("of", F.col("key").alias("cut"), F.least((F.col("rest") - before) / F.col("part"), F.lit(1.0)).alias("share"))
+
+
 def last_share(key: Column, cut: Column, part: Column) -> Column:
     """The share of a document that goes in after the complete epochs."""
     return F.when(key < cut, F.lit(1.0)).when(key == cut, part).otherwise(F.lit(0.0))
@@ -153,16 +156,10 @@ def mix(docs: DataFrame) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it, with all their columns."""
+    """The rows of ``docs``, each as often as the mix takes it, with all their columns as they are."""
     own = with_keys(docs.select("doc_id", "text", "source")).drop("text", "doc_id")
-    plan = store(plan_mix(store(own, "mix-rows")), "mix-cuts").select(
-        F.col("source").alias("__of"), F.col("epochs").alias("__epochs"), F.col("cut").alias("__cut"), F.col("part").alias("__part")
-    )
-    share = last_share(F.col("__key"), F.col("__cut"), F.col("__part"))
-    times = F.col("__epochs") + F.round(share)
-    return (
-        with_keys(docs, "__")
-        .join(plan, F.col("source").eqNullSafe(F.col("__of")))
-        .withColumn("__time", F.explode(F.array_repeat(F.lit(0), times.cast("int"))))
-        .select(*docs.columns)
-    )
+    plan = store(plan_mix(store(own, "mix-rows")), "mix-cuts").withColumnRenamed("source", "of")
+    rows = with_keys(docs.select(carried(docs), "doc_id", "text", "source")).select("doc", "source", "key")
+    times = F.col("epochs") + F.round(last_share(F.col("key"), F.col("cut"), F.col("part")))
+    joined = rows.join(plan, F.col("source").eqNullSafe(F.col("of")))
+    return joined.select("doc", F.explode(F.array_repeat(F.lit(0), times.cast("int")))).select("doc.*")

@@ -4,15 +4,18 @@ A node of the tree is a set of documents and the number of leaves it shall have.
 metadata dimension (range of its values over the range in the whole table) is cut at the
 weighted median, or at the fraction that fits an odd number of leaves. All nodes of a level are cut
 together: weights are summed per node and interval of the key axis, the interval with the
-median is cut again, until what is left weighs next to nothing or is a single row or key. So no node
-is ever sorted or gathered; a pass moves at most ``FAN`` sums per node and task.
-
-Keys are the dimension's values with a hash behind them, so that any number of equal values
-can be divided. Rows equal in all dimensions and in ``tie`` (repeated rows) stay
-together.
-
-Defined cases: null text has size 1; null metadata counts as the lowest value; a table with
-fewer rows than leaves leaves some shards empty; an empty table gives no rows.
+median is cut again, until what is left weighs next to nothing or is one text or row. So no node
+is ever sorted or gathered; a pass moves at most ``FAN`` sums per node and task, and joins the rows, which keep their node
+between levels, with one small table.
+
+Keys are the dimension's values, then a hash of the text, then one of the id. Equal texts agree in all but the last, and intervals
+end between texts, so copies stay in one shard. A group of equal texts that weighs more than
+``WHOLE`` of a leaf is divided by the ids where a cut meets it, into 2^DOC_BITS parts at most.
+
+Defined cases: null text has size 1 and is equal to the empty one; a table with
+fewer rows than leaves leaves some shards empty; repeated rows stay together; very long texts are one row of their size;
+an empty table gives no rows. Only doc_id and text are read, other columns may have any name; ``sharded_documents``
+returns them untouched, and calls its own column shard with as many _ behind it as it takes to be new.
 """
 
 from __future__ import annotations
@@ -23,14 +26,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pricetrail.llm.common import slots, store, unsigned_crc32
+from pricetrail.llm.common import carried, slots, store, unsigned_crc32
 
 #: Intervals a node's key axis is cut into in one pass.
 FAN = 4096
-#: Bits of a dimension's value, and of the hash behind it; together a positive long.
-VALUE_BITS, TIE_BITS = 32, 30
+#: Bits of a dimension's value, of the hash of the text behind it, and of the id's; together a positive long.
+VALUE_BITS, TEXT_BITS, DOC_BITS = 32, 16, 14
+TIE_BITS = TEXT_BITS + DOC_BITS
 #: A cut is done when the interval that holds it weighs less than this share of its node.
 NEAR = 0.0002
+#: Equal texts stay together up to this share of a leaf.
+WHOLE = 0.1
 SLOT_ROWS = 50_000
 
 
@@ -39,20 +45,20 @@ def text_bytes(text: Column) -> Column:
 
 
 def metadata_columns() -> dict[str, Column]:
-    """size, text_crc32, tie and the dimensions d0.. : length, language, hash of the text.
+    """size, text_crc32, tie and the dimensions d0.. : length, bytes per character (a sign of the script), hash of the text.
 
-    Equal texts agree in every dimension, so copies share a shard unless a cut has to go
-    through their group.
+    All dimensions come from the text alone, so that equal texts agree in them.
     """
-    text = F.col("text")
-    crc = unsigned_crc32(text)
-    language = F.conv(F.hex(F.substring(F.encode(F.col("lang"), "utf-8"), 1, 4)), 16, 10).cast("long")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    crc, length = unsigned_crc32(text), F.char_length(text).cast("long")
+    per_char = F.floor(F.octet_length(text) * 1000 / F.greatest(length, F.lit(1))).cast("long")
     return {
         "size": text_bytes(text),
         "text_crc32": crc,
-        "tie": F.pmod(F.xxhash64("doc_id"), F.lit(1 << TIE_BITS)),
-        "d0": F.coalesce(F.char_length(text), F.lit(0)).cast("long"),
-        "d1": F.coalesce(language, F.lit(0).cast("long")),
+        "tie": F.shiftleft(F.pmod(F.xxhash64(text), F.lit(1 << TEXT_BITS)), DOC_BITS) + F.pmod(F.xxhash64("doc_id"), F.lit(1 << DOC_BITS)),
+        "d0": length,
+        # Few values: the hash behind them tells texts of one script apart.
+        "d1": F.shiftleft(per_char, 20) + F.shiftright(crc, 12),
         "d2": crc,
     }
 
@@ -61,9 +67,17 @@ def metadata(docs: DataFrame, *keep: Column) -> DataFrame:
     return docs.select(*keep, *[c.alias(n) for n, c in metadata_columns().items()])
 
 
-def _widest(rows: DataFrame, dims: list[str], whole: dict[str, float]) -> DataFrame:
-    """Per open node the dimension of the widest range and that range's key interval."""
-    bounds = rows.groupBy("node").agg(
+def _key(dims: list[str]) -> Column:
+    value = reduce(
+        lambda rest, i: F.when(F.col("dim") == i, F.col(dims[i])).otherwise(rest),
+        range(1, len(dims)), F.col(dims[0]),
+    )
+    return F.shiftleft(value, TIE_BITS) + F.col("tie")
+
+
+def _open_nodes(split: DataFrame, dims: list[str], whole: dict[str, float]) -> DataFrame:
+    """Per open node the dimension of the widest range, that range's key interval, and the weight wanted on the left."""
+    bounds = split.groupBy("node", "leaves").agg(
         F.sum("size").alias("weight"),
         *[F.min(d).alias(f"lo_{d}") for d in dims], *[F.max(d).alias(f"hi_{d}") for d in dims],
     )
@@ -77,58 +91,47 @@ def _widest(rows: DataFrame, dims: list[str], whole: dict[str, float]) -> DataFr
         for i, d in enumerate(dims)
     ]
     best = F.greatest(*widths) if len(widths) > 1 else widths[0]
-    return bounds.select("node", "weight", best.alias("w")).select(
-        "node", "weight", (-F.col("w.rank")).alias("dim"), F.col("w.low").alias("low"), F.col("w.high").alias("high")
+    zero = F.lit(0).cast("long")
+    return bounds.select("node", "leaves", "weight", best.alias("w")).select(
+        F.col("node").alias("at"), F.col("leaves").alias("parts"), "weight", (-F.col("w.rank")).alias("dim"),
+        F.col("w.low").alias("low"), F.col("w.high").alias("high"),
+        (F.floor(F.col("leaves") / 2) / F.col("leaves") * F.col("weight")).alias("want"),
+        zero.alias("below"), F.col("weight").alias("inside"), zero.alias("rows"),
     )
 
 
-def _key(dims: list[str]) -> Column:
-    value = reduce(
-        lambda rest, i: F.when(F.col("dim") == i, F.col(dims[i])).otherwise(rest),
-        range(1, len(dims)), F.col(dims[0]),
-    )
-    return F.shiftleft(value, TIE_BITS) + F.col("tie")
-
-
-def _cuts(rows: DataFrame, nodes: DataFrame, dims: list[str]) -> DataFrame:
-    """(cut_node, dim, leaves, cut): keys below ``cut`` go left. ``nodes`` has the open nodes."""
-    left = F.floor(F.col("leaves") / 2) / F.col("leaves") * F.col("weight")
-    spans = nodes.select(
-        F.col("node").alias("at"), "dim", "leaves", "low", "high", "weight",
-        left.alias("want"), F.lit(0).cast("long").alias("below"), F.col("weight").alias("inside"), F.lit(0).cast("long").alias("rows"),
-    )
-    spans = store(spans, "kd-spans")
-    step = F.greatest(F.ceil((F.col("high") - F.col("low")) / FAN), F.lit(1))
+def _cuts(split: DataFrame, spans: DataFrame, dims: list[str]) -> DataFrame:
+    """Stored (cut_node, cut_dim, cut_leaves, cut): keys below ``cut`` go left. ``spans`` has the open nodes."""
+    one_text = F.lit(1 << DOC_BITS)
+    wide = F.col("high") - F.col("low") > one_text
+    fine = F.ceil((F.col("high") - F.col("low")) / FAN).cast("long")
+    state = ["at", "parts", "weight", "dim", "low", "high", "want", "below"]
+    before = F.col("below") + F.col("run") - F.col("part")
+    upto = Window.partitionBy("at").orderBy("interval")
     while True:
-        interval = F.floor((_key(dims) - F.col("low")) / step).cast("long")
-        sums = (
-            rows.join(spans, F.col("node") == F.col("at"))
-            .where((_key(dims) >= F.col("low")) & (_key(dims) < F.col("high")))
-            .groupBy("at", interval.alias("interval")).agg(F.sum("size").alias("part"), F.count(F.lit(1)).alias("n"))
+        # Intervals of more than one text end between texts.
+        stepped = spans.withColumn("step", F.when(wide, F.ceil(fine / one_text).cast("long") * one_text).otherwise(fine))
+        met = split.join(F.broadcast(stepped), F.col("node") == F.col("at"))  # a row per open node, fewer than leaves
+        keyed = met.withColumn("key", _key(dims)).where((F.col("key") >= F.col("low")) & (F.col("key") < F.col("high")))
+        sums = keyed.groupBy(*state, "step", F.expr("(key - low) div step").alias("interval")).agg(
+            F.sum("size").alias("part"), F.count(F.lit(1)).alias("n")
         )
-        upto = Window.partitionBy("at").orderBy("interval")
-        run = sums.withColumn("run", F.sum("part").over(upto))
-        state = spans.withColumnRenamed("at", "of")
-        hit = (
-            run.join(state, F.col("at") == F.col("of"))
-            .where(F.col("below") + F.col("run") >= F.col("want"))
-            .groupBy("at").agg(F.min_by(F.struct("interval", "part", "run", "n"), "interval").alias("hit"))
+        hit = sums.withColumn("run", F.sum("part").over(upto)).where(
+            (before < F.col("want")) & (before + F.col("part") >= F.col("want"))
         )
-        spans = state.join(hit, F.col("of") == F.col("at")).select(
-            "at", "dim", "leaves",
-            (F.col("low") + F.col("hit.interval") * step).alias("low"),
-            F.least(F.col("low") + (F.col("hit.interval") + 1) * step, F.col("high")).alias("high"),
-            "weight", "want",
-            (F.col("below") + F.col("hit.run") - F.col("hit.part")).alias("below"),
-            F.col("hit.part").alias("inside"), F.col("hit.n").alias("rows"),
-        )
-        spans = store(spans, "kd-spans")
-        unfinished = (F.col("high") - F.col("low") > 1) & (F.col("rows") > 1) & (F.col("inside") > F.col("weight") * NEAR)
-        if spans.where(unfinished).isEmpty():
+        start = F.col("low") + F.col("interval") * F.col("step")
+        spans = store(hit.select(
+            "at", "parts", "weight", "dim", start.alias("low"), F.least(start + F.col("step"), F.col("high")).alias("high"),
+            "want", before.alias("below"), F.col("part").alias("inside"), F.col("n").alias("rows"),
+        ), "kd-spans")
+        heavy = F.when(wide, F.col("inside") > F.col("weight") * NEAR).otherwise(F.col("inside") > F.col("weight") / F.col("parts") * WHOLE)
+        if spans.where((F.col("high") - F.col("low") > 1) & (F.col("rows") > 1) & heavy).isEmpty():
             break
     near_end = F.col("want") - F.col("below") > F.col("inside") / 2
     cut = F.when(near_end, F.col("high")).otherwise(F.col("low"))
-    return spans.select(F.col("at").alias("cut_node"), F.col("dim").alias("cut_dim"), "leaves", cut.alias("cut"))
+    return store(spans.select(
+        F.col("at").alias("cut_node"), F.col("dim").alias("cut_dim"), F.col("parts").alias("cut_leaves"), cut.alias("cut")
+    ), "kd-cuts")
 
 
 def leaves_for(rows: DataFrame, target_bytes: int) -> int:
@@ -137,11 +140,11 @@ def leaves_for(rows: DataFrame, target_bytes: int) -> int:
 
 
 def _roots(rows: DataFrame, leaves: int) -> DataFrame:
-    return rows.withColumns({"node": F.lit(0).cast("long"), "size_of": F.lit(leaves).cast("long")})
+    return rows.withColumns({"node": F.lit(0).cast("long"), "leaves": F.lit(leaves).cast("long")})
 
 
-def kd_cuts(rows: DataFrame, dims: list[str], leaves: int) -> list[DataFrame]:
-    """The cuts of each level for stored ``rows``, by which ``assign`` places them.
+def kd_cuts(rows: DataFrame, dims: list[str], leaves: int) -> tuple[list[DataFrame], DataFrame]:
+    """The cuts of each level for stored ``rows``, by which ``assign`` places others, and the rows in their last nodes.
 
     A node carries its first leaf as its number, so leaves come out as 0 .. leaves - 1.
     """
@@ -150,32 +153,27 @@ def kd_cuts(rows: DataFrame, dims: list[str], leaves: int) -> list[DataFrame]:
     levels: list[DataFrame] = []
     placed = _roots(rows, leaves)
     while 1 << len(levels) < leaves:
-        split = placed.where(F.col("size_of") > 1)
-        counts = split.groupBy("node").agg(F.first("size_of").alias("leaves"))
-        nodes = _widest(split, dims, whole).join(counts, "node")
-        levels.append(store(_cuts(split, nodes, dims), "kd-cuts"))
-        placed = _descend(placed, levels[-1], dims)
-    return levels
+        split = placed.where(F.col("leaves") > 1)
+        levels.append(_cuts(split, store(_open_nodes(split, dims, whole), "kd-spans"), dims))
+        placed = store(_descend(placed, levels[-1], dims), "kd-level")
+    return levels, placed
 
 
 def _descend(placed: DataFrame, cuts: DataFrame, dims: list[str]) -> DataFrame:
-    half = F.floor(F.col("leaves") / 2)
-    joined = placed.join(cuts, F.col("node") == F.col("cut_node"), "left").withColumn("dim", F.col("cut_dim"))
+    half = F.floor(F.col("leaves") / 2).cast("long")
+    joined = placed.join(F.broadcast(cuts), F.col("node") == F.col("cut_node"), "left").withColumn("dim", F.col("cut_dim"))
     stays = F.col("cut_node").isNull()
     goes_left = _key(dims) < F.col("cut")
     return joined.select(
-        *[c for c in placed.columns if c not in ("node", "size_of")],
+        *[c for c in placed.columns if c not in ("node", "leaves")],
         F.when(stays | goes_left, F.col("node")).otherwise(F.col("node") + half).alias("node"),
-        F.when(stays, F.col("size_of")).when(goes_left, half).otherwise(F.col("leaves") - half).alias("size_of"),
+        F.when(stays, F.col("leaves")).when(goes_left, half).otherwise(F.col("leaves") - half).alias("leaves"),
     )
 
 
 def assign(rows: DataFrame, levels: list[DataFrame], dims: list[str], leaves: int) -> DataFrame:
-    """``rows`` with ``shard``, the number of their leaf."""
-    placed = _roots(rows, leaves)
-    for cuts in levels:
-        placed = _descend(placed, cuts, dims)
-    return placed.drop("size_of").withColumn("shard", F.col("node").cast("int")).drop("node")
+    """``rows`` with ``node``, the number of their leaf."""
+    return reduce(lambda placed, cuts: _descend(placed, cuts, dims), levels, _roots(rows, leaves)).drop("leaves")
 
 
 DIMS = ["d0", "d1", "d2"]
@@ -185,14 +183,18 @@ def shard_documents(docs: DataFrame, leaves: int | None = 16, target_bytes: int
     """doc_id, size, text_crc32, shard and slot, the row's place in its shard."""
     rows = store(metadata(docs, F.col("doc_id")), "kd-rows")
     leaves = leaves or leaves_for(rows, target_bytes)
-    placed = store(assign(rows, kd_cuts(rows, DIMS, leaves), DIMS, leaves), "kd-placed")
-    parts = max(1, -(-placed.count() // SLOT_ROWS))
-    numbered = slots(placed, "shard", ["doc_id", "text_crc32", "size"], F.col("tie") % parts, "slot")
+    _, leaf = kd_cuts(rows, DIMS, leaves)
+    placed = leaf.withColumn("shard", F.col("node").cast("int"))
+    parts = max(1, -(-rows.count() // SLOT_ROWS))
+    numbered = slots(placed, "shard", ["doc_id", "text_crc32", "size"], F.xxhash64("doc_id", "text_crc32") % parts, "slot")
     return numbered.select("doc_id", "size", "text_crc32", "shard", "slot")
 
 
 def sharded_documents(docs: DataFrame, leaves: int = 16) -> DataFrame:
-    """The rows of ``docs`` with ``shard``, in place of a column of that name; no text is shuffled."""
-    levels = kd_cuts(store(metadata(docs), "kd-rows"), DIMS, leaves)
-    placed = assign(metadata(docs, F.struct(*docs.columns).alias("doc")), levels, DIMS, leaves)
-    return placed.select(*[F.col("doc")[c].alias(c) for c in docs.columns if c != "shard"], "shard")
+    """The rows of ``docs`` with their shard in a column of its own; no text is shuffled."""
+    levels, _ = kd_cuts(store(metadata(docs), "kd-rows"), DIMS, leaves)
+    placed = assign(metadata(docs, carried(docs)), levels, DIMS, leaves)
+    name = "shard"
+    while name in {c.lower() for c in docs.columns}:
+        name += "_"
+    return placed.select("doc.*", F.col("node").cast("int").alias(name))

@@ -215,7 +215,64 @@ def test_shards_of_odd_rows(odd, empty, plain):
         assert [g["slot"] for g in of] == list(range(sum(g["shard"] == shard for g in got)))
     assert sharding.shard_documents(empty).count() == 0
     placed = sharding.sharded_documents(odd, leaves=5)
-    assert sorted(placed.columns) == sorted(odd.columns) and placed.count() == len(plain)
+    assert placed.columns == [*odd.columns, "shard_"]  # the rows have a column shard of their own
+    rows = [tuple(r) for r in placed.collect()]
+    assert sorted((r[:-1] for r in rows), key=str) == sorted(plain, key=str)
+    assert collections.Counter(r[-1] for r in rows) == collections.Counter(g["shard"] for g in got)
+
+
+def plain_kd(rows, leaves):
+    """Shards of (id, text, dims) by a k-d tree over whole groups of equal texts, cut where the left side is nearest its share."""
+    whole = [max(d[i] for *_, d in rows) - min(d[i] for *_, d in rows) + 1.0 for i in range(3)]
+
+    def size(some):
+        return sum(len(t.encode()) + 1 for _, t, _ in some)
+
+    def place(some, first, n):
+        if n == 1 or not some:
+            return {i: first for i, *_ in some}
+        spread = [(max(d[i] for *_, d in some) - min(d[i] for *_, d in some)) / whole[i] for i in range(3)]
+        dim = spread.index(max(spread))
+        groups = collections.defaultdict(list)
+        for row in some:
+            groups[row[2][dim], row[1]].append(row)
+        return dim, groups, size(some) * (n // 2) / n
+
+    return place(rows, 0, leaves)
+
+
+def test_equal_texts_share_a_shard_and_shards_follow_the_cuts(spark):
+    r = random.Random(11)
+    texts = ["".join(r.choice("abcdé中") for _ in range(r.randint(1, 400))) for _ in range(1500)]
+    docs = [(i, texts[i % 1500] if i < 2000 else texts[r.randrange(40)]) for i in range(3000)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(7)
+    shard = {x["doc_id"]: x["shard"] for x in by_id(sharding.shard_documents(frame, leaves=8))}
+    of_text, bytes_of = collections.defaultdict(set), collections.Counter()
+    for i, text in docs:
+        of_text[text].add(shard[i])
+        bytes_of[shard[i]] += len(text.encode()) + 1
+    mean = sum(bytes_of.values()) / 8
+    heavy = collections.Counter()
+    for i, text in docs:
+        heavy[text] += len(text.encode()) + 1
+    assert all(len(s) == 1 for t, s in of_text.items() if heavy[t] <= sharding.WHOLE * mean)
+    assert max(abs(b - mean) for b in bytes_of.values()) < 0.05 * mean
+    # The first cut, by brute force: along the widest dimension, between the texts where half the bytes are reached.
+    dims = {t: (len(t), (len(t.encode()) * 1000 // max(1, len(t)) << 20) + (zlib.crc32(t.encode()) >> 12), zlib.crc32(t.encode())) for t in heavy}
+    dim, groups, half = plain_kd([(i, t, dims[t]) for i, t in docs], 8)
+    left = {t for i, t in docs if shard[i] < 4}
+    right = set(heavy) - left
+    assert max(dims[t][dim] for t in left) <= min(dims[t][dim] for t in right)
+    assert abs(sum(heavy[t] for t in left) - half) <= max(heavy.values()) / 2 + 0.001 * half
+
+
+def test_one_text_of_a_third_of_all_bytes_is_divided(spark):
+    docs = [(i, "the same text " * 9 if i % 3 == 0 else f"text {i} " * 15) for i in range(4000)]
+    sizes = collections.Counter()
+    for g in by_id(sharding.shard_documents(spark.createDataFrame(docs, "doc_id long, text string"), leaves=16)):
+        sizes[g["shard"]] += g["size"]
+    mean = sum(sizes.values()) / 16
+    assert len(sizes) == 16 and max(abs(s - mean) for s in sizes.values()) < 0.06 * mean
 
 
 def test_shards_are_of_near_equal_bytes(spark):
@@ -361,7 +418,9 @@ def test_mix_of_odd_rows(odd, empty, plain):
     assert mixing.mix(empty).count() == 0
     rows = mixing.mixed_documents(odd)
     assert rows.columns == odd.columns and mixing.mixed_documents(empty).count() == 0
-    times = collections.Counter((r.doc_id, r.text) for r in rows.select("doc_id", "text").collect())
+    whole = [tuple(r) for r in rows.collect()]
+    assert set(whole) <= set(plain)  # every column with its value
+    times = collections.Counter(r[:2] for r in whole)
     repeated = collections.Counter((r[0], r[1]) for r in plain)
     want = collections.Counter()
     for g in got:
@@ -369,6 +428,31 @@ def test_mix_of_odd_rows(odd, empty, plain):
     assert all(sum(n for (d, _), n in times.items() if d == i) == want[i] for i in want) and set(times) <= set(repeated)
 
 
+@pytest.mark.parametrize("bucket, fan", [(2000, 4096), (3, 5), (1, 2)])
+def test_the_sample_is_cut_where_its_words_are_reached(spark, monkeypatch, bucket, fan):
+    """Keys far apart and close together, ties and long words, against a sort of each source."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", bucket)
+    monkeypatch.setattr(mixing, "FAN", fan)
+    r = random.Random(bucket)
+    rows = [(f"s{i % 4}" if i % 4 else None, r.randint(0, 9), r.choice([r.random() ** 20 * 1e6, r.random() * 1e-9, 3.0])) for i in range(400)]
+    wanted = [(f"s{i}" if i else None, w) for i, w in enumerate([100.0, 1.0, 444.5, 10.25])]
+    got = mixing._cut_keys(
+        spark.createDataFrame(rows, "source string, size long, key double"), spark.createDataFrame(wanted, "of string, rest double")
+    )
+    want = {}
+    for source, rest in wanted:
+        words = collections.Counter()
+        for of, size, key in rows:
+            if of == source:
+                words[key] += size
+        before = 0
+        for key in sorted(words):
+            if before < rest <= before + words[key]:
+                want[source] = (key, pytest.approx((rest - before) / words[key]))
+            before += words[key]
+    assert {x.of: (x.cut, x.share) for x in got.collect()} == want
+
+
 def test_targets_share_what_caps_leave(spark):
     sizes = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 10), (None, 0)], "source string, source_size long")
     assert {r.source: r.target for r in mixing.targets(sizes).collect()} == {"a": 30.0, "b": 960.0, "c": 30.0, None: 0.0}
@@ -448,13 +532,27 @@ def test_classes_of_odd_rows(odd, empty, plain):
         assert len(got) == len(plain)
         assert all(g["component_id"] == (None if g["doc_id"] is None else want[g["doc_id"]]) for g in got)
         assert sorted(g["n_shingles"] for g in got) == sorted(len(shingles_of(r[1], size)) for r in plain)
-    kept = jaccard_join.one_of_each(odd)
-    ids = [r.doc_id for r in kept.select("doc_id").collect()]
-    assert kept.columns == odd.columns and ids.count(None) == 2
-    assert sorted(i for i in ids if i is not None) == sorted(set(want.values()))
     assert jaccard_join.classes(empty).count() == 0
 
 
+def test_one_of_each_class_stays_and_no_other_text_goes(spark, odd, empty, plain):
+    kept = jaccard_join.one_of_each(odd)
+    rows = [tuple(r) for r in kept.collect()]
+    assert kept.columns == odd.columns and set(rows) <= set(plain)
+    # Every text by itself, also those of one id and of none.
+    texts = sorted({r[:2] for r in plain}, key=lambda t: (t[0] is None, t[0] or 0, t[1] is not None, t[1] or ""))
+    of = plain_classes([(i, t[1]) for i, t in enumerate(texts)], 5, 80)
+    classes = collections.defaultdict(list)
+    for i, t in enumerate(texts):
+        classes[of[i]].append(t)
+    assert len(rows) == len(classes)
+    for members in classes.values():
+        own = [r for r in rows if r[:2] in members]
+        assert len(own) == 1 and own[0][0] == members[0][0]
+    three = spark.createDataFrame([(1, "a first text of its own kind"), (1, "quite another one"), (2, "and a third here")], "doc_id long, text string")
+    assert jaccard_join.one_of_each(three).count() == 3 and jaccard_join.one_of_each(empty).count() == 0
+
+
 def test_chains_of_near_copies_across_tiles(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "TILE", 5)
     r = random.Random(8)

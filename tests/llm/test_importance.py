@@ -80,8 +80,9 @@ def test_payloads_come_in_order_for_any_dictionary():
 
 def test_the_dictionary_holds_the_most_frequent_words(spark, odd, plain):
     counts = collections.Counter(w for r in plain for w in plain_features(r[1])[0])
-    best = sorted(counts, key=lambda w: (-counts[w], w))[:40]
-    assert importance.dictionary(odd, 40) == best
+    for size in (0, 1, 40, 300, 1 << 16):
+        least = min(n for n in range(2, max(counts.values()) + 2) if sum(c >= n for c in counts.values()) <= size)
+        assert importance.dictionary(odd, size) == sorted(w for w, n in counts.items() if n >= least and len(w) <= importance.LONGEST)
 
 
 def test_gains_are_floored():
