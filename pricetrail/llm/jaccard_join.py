@@ -46,7 +46,7 @@ LONG, LONG_BITS = 1500, 1 << 14
 #: How often sets are linked with their nearest ones before the join; it has less to do after each.
 NEAR_ROUNDS = 2
 #: Runs of so many units are compared together with others; so many pairs at a time.
-SHORT_RUN, PAIRS_AT_ONCE = 64, 1 << 18
+SHORT_RUN, PAIRS_AT_ONCE = 64, 1 << 15
 #: Stands for a null doc_id, which pandas would turn all ids into floats for.
 NO_ID = -(1 << 63)
 
