@@ -362,26 +362,54 @@ def test_rules_and_link_graph(spark):
     assert url_filter.judge(spark.createDataFrame([], schema)).count() == 0
 
 
-def test_pagerank_agrees_with_a_plain_one(spark):
+def plain_ranks(edges, seeds):
+    """The stationary ranks of a walk, by solving its equations."""
+    hosts = sorted({h for e in edges for h in e} | set(seeds))
+    at = {h: i for i, h in enumerate(hosts)}
+    move, start = np.zeros((len(hosts), len(hosts))), np.zeros(len(hosts))
+    for (a, b), w in edges.items():
+        move[at[b], at[a]] = w / sum(x for (c, _), x in edges.items() if c == a)
+    for h, w in seeds.items():
+        start[at[h]] = w / sum(seeds.values())
+    for i in np.flatnonzero(move.sum(axis=0) == 0):
+        move[:, i] = start
+    return dict(zip(hosts, np.linalg.solve(np.eye(len(hosts)) - 0.85 * move, 0.15 * start)))
+
+
+def test_pagerank_is_the_stationary_one(spark):
     r = random.Random(2)
     edges = {(f"h{r.randint(0, 9)}", f"h{r.randint(0, 9)}"): float(r.randint(1, 3)) for _ in range(30)}
-    seeds = {"h0": 2.0, "h3": 1.0}
+    edges |= {(f"c{i}", f"c{i + 1}"): 1.0 for i in range(30)} | {("h0", "c0"): 1.0}  # a chain of 30 links
+    walks = {"allow": {"h0": 2.0, "h3": 1.0, "alone": 1.0}, "block": {"c0": 1.0, "h3": 3.0}}
     ranked = url_filter.propagate(
-        spark.createDataFrame([(*e, w) for e, w in edges.items()], "src string, dst string, links double"),
-        spark.createDataFrame(list(seeds.items()), "host string, weight double"),
-    )
-    got = {x.host: x.rank for x in ranked.collect()}
-    start = {h: w / 3 for h, w in seeds.items()}
-    rank = dict(start)
-    for _ in range(url_filter.ROUNDS):
-        new = collections.Counter()
-        for (a, b), w in edges.items():
-            new[b] += 0.85 * rank.get(a, 0) * w / sum(x for (c, _), x in edges.items() if c == a)
-        kept = sum(new.values())
-        for h, w in start.items():
-            new[h] += (1 - kept) * w
-        rank = new
-    assert sum(got.values()) == pytest.approx(1) and all(got.get(h, 0) == pytest.approx(v) for h, v in rank.items())
+        spark.createDataFrame([(w, *e, n) for w in walks for e, n in edges.items()], "walk string, src string, dst string, links double"),
+        spark.createDataFrame([(w, h, n) for w, s in walks.items() for h, n in s.items()], "walk string, host string, weight double"),
+    ).collect()
+    for walk, seeds in walks.items():
+        got = {x.host: x.rank for x in ranked if x.walk == walk}
+        assert sum(got.values()) == pytest.approx(1)
+        assert all(got.get(h, 0) == pytest.approx(v, abs=url_filter.TOLERANCE) for h, v in plain_ranks(edges, seeds).items())
+    assert got["c30"] > 0
+
+
+def test_distrust_passes_between_subdomains_of_a_domain(spark):
+    urls = ["http://a.bad.test/spam/1"] * 8 + ["http://b.bad.test/x", "http://bad.test/", "http://c.d.bad.test/y", "http://a.good.test/",
+            "http://other.test/z", "http://10.0.0.1/q", "http://" + "x." * 3000 + "bad.test/"]
+    pages = spark.createDataFrame([(i, u, None) for i, u in enumerate(urls)], "page_id long, url string, html string")
+    got = {r.host: r for r in url_filter.judge(pages, [("a.bad.test/spam/", "block")]).collect()}
+    assert {h for h, r in got.items() if r.verdict == "block"} == {"a.bad.test", "b.bad.test", "bad.test", "c.d.bad.test"}
+    assert got["bad.test"].distrust > got["c.d.bad.test"].distrust > got["other.test"].distrust == 0
+    hosts = spark.createDataFrame([("w.x.y.test",), ("y.test",), ("10.0.0.1",), ("",), ("z",)], "host string")
+    assert {tuple(r) for r in url_filter.domain_pairs(hosts).collect()} == {
+        ("w.x.y.test", "x.y.test"), ("x.y.test", "w.x.y.test"), ("x.y.test", "y.test"), ("y.test", "x.y.test"),
+    }
+
+
+def test_very_long_html_is_read_whole(spark):
+    html = "<p>word</p>" * 300_000 + '<a href="http://far.test/">'
+    rows = [(1, "http://shop.example.com/de/1", None), (2, "http://near.test/", html + '<a href="http://shop.example.com/">'), (3, "http://far.test/", "")]
+    got = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[2].distrust > 0 and got[2].verdict == "block" and got[3].verdict == "allow"
 
 
 # 7 ------------------------------------------------------------------------------------------
