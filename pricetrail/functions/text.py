@@ -183,6 +183,16 @@ def series_key(drug: Column, form: Column, brand: Column, responsible: Column, p
     return F.array_join(canon_values(F.array(drug, form, brand, responsible, pack)), "|")
 
 
+def loose_key(*parts: Column) -> Column:
+    """A number that is the same for all parts that have one ``series_key``, and cheap: it only says which rows belong in one partition.
+
+    Left out is every character that the key changes, adds or may remove: marks and spaces, the plural ``s``, and
+    the letters of ``none``, ``nan`` and ``<na>``.
+    """
+    whole = F.concat_ws("", *[F.coalesce(p, F.lit("")) for p in parts])
+    return F.xxhash64(F.regexp_replace(F.lower(whole), "[^b-df-mp-rt-z0-9]+", ""))
+
+
 def search_tokens(text: Column) -> Column:
     """Item codes named by one search text, lower-cased, as an array.
 

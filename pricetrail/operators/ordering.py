@@ -25,6 +25,9 @@ SLICE_ROWS = 1_000_000
 # Intervals that a range of values is counted in at a time.
 FAN = 4096
 
+# Ranges whose counts, two each at most, are sent to all tasks.
+SENT_SLICES = 1 << 16
+
 _SLICE = "__slice"
 
 
@@ -117,6 +120,41 @@ def _across_slices(df, keys, order, row_number, group_size, previous, following,
     return joined.select(*df.columns, *[c.alias(n) for n, c in added.items()])
 
 
+def places(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], *, row_number: str, group_size: str, slices: int | None = None
+) -> DataFrame:
+    """Row number from 1 and size within ``keys``, for groups that nothing bounds: ``in_order`` without its first copy and its join.
+
+    Rows are dealt to ``slices`` ranges of keys and order (as many as there are shuffle partitions, if not given) and stored once.
+    Rows are counted per group and range; a range is in the middle of two groups at most, its first and its last, so the
+    groups that lie in several ranges have two counts per range at most, and those alone are sent to the rows.
+    """
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = store(
+        df.repartitionByRange(slices, *[F.col(k) for k in keys], *order).withColumn(_SLICE, F.spark_partition_id()), "slices"
+    )
+    counts = cut.groupBy(*keys, _SLICE).agg(F.count(F.lit(1)).alias("__n"))
+    group = Window.partitionBy(*keys)
+    before = group.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    torn = counts.select(
+        *[F.col(k).alias(f"__k_{i}") for i, k in enumerate(keys)], F.col(_SLICE).alias("__in"),
+        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"),
+        F.sum("__n").over(group).alias("__all"), F.count(F.lit(1)).over(group).alias("__ranges"),
+    ).where("__ranges > 1").drop("__ranges")
+    if slices <= SENT_SLICES:
+        torn = F.broadcast(torn)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k_{i}")) for i, k in enumerate(keys)])
+    here = Window.partitionBy(*keys, _SLICE)
+    local = cut.withColumns(
+        {"__at": F.row_number().over(here.orderBy(*order)).cast("bigint"), "__here": F.count(F.lit(1)).over(here)}
+    )
+    placed = local.join(torn, same & (F.col(_SLICE) == F.col("__in")), "left")
+    return placed.select(
+        *df.columns, (F.col("__at") + F.coalesce("__before", F.lit(0))).alias(row_number),
+        F.coalesce("__all", "__here").alias(group_size),
+    )
+
+
 def middle_values(counts: DataFrame, value: str, weight: str, fan: int = FAN) -> list[Decimal]:
     """The two middle values of a decimal column, the same twice where one is in the middle; none if there is no row.
 

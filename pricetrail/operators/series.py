@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pricetrail.functions import numbers, text
 from pricetrail.functions.months import four_month_bucket, month_name, month_start
-from pricetrail.operators.ordering import in_order
+from pricetrail.operators.ordering import in_order, places
 
 _SHOWN = ["item_code", "brand", "form", "formulary", "amt_pack", "responsible"]
 _KEYED = ["drug", "form", "brand", "responsible", "amt_pack"]
@@ -23,6 +23,23 @@ def price_series(prices: DataFrame, drugs: Sequence[str] | None = None) -> DataF
     apart. The drug filter sits below the aggregation. Names are made once per
     identity, whose months are gathered meanwhile: prices are read once.
     """
+    points, ids = _monthly_points(prices, drugs)
+    return _series_points(points, ids, drugs)
+
+
+def _series_points(points: DataFrame, ids: list[str], drugs: Sequence[str] | None, dealt_by: Sequence[str] = ()) -> DataFrame:
+    """Named points; rows dealt by the columns ``dealt_by``, which are kept, stay where they are."""
+    # An identity has a point per month at most: few enough to travel in one row while it is named.
+    identities = points.groupBy(*dealt_by, *ids).agg(F.collect_list(F.struct("month", "aemp")).alias("points"))
+    named = _named(identities, drugs)
+    return named.select(*[c for c in named.columns if c != "points"], F.inline("points")).select(
+        "month", "display_name", "aemp", "item_code", "form", "responsible", "amt_pack",
+        "series_id", "first_listed_date", F.col("selected").alias("drug"), *dealt_by,
+    )
+
+
+def _monthly_points(prices: DataFrame, drugs: Sequence[str] | None) -> tuple[DataFrame, list[str]]:
+    """Mean price per identity and month, and the columns that make an identity."""
     ids = [c for c in _IDS if c in prices.columns]
     if drugs is not None:
         prices = prices.where(F.lower("drug").isin([d.lower() for d in drugs]))
@@ -31,18 +48,12 @@ def price_series(prices: DataFrame, drugs: Sequence[str] | None = None) -> DataF
     points = usable.groupBy(*ids, month_start(F.col("snapshot_date")).alias("month")).agg(
         (F.sum("aemp").cast("double") / F.count("aemp")).alias("aemp")
     )
-    # An identity has a point per month at most: few enough to travel in one row while it is named.
-    identities = points.groupBy(*ids).agg(F.collect_list(F.struct("month", "aemp")).alias("points"))
-    named = _named(identities, drugs)
-    if "first_listed_date" not in ids:
-        named = named.withColumn("first_listed_date", F.lit(None).cast("string"))
-    return named.select(*[c for c in named.columns if c != "points"], F.inline("points")).select(
-        "month", "display_name", "aemp", "item_code", "form", "responsible", "amt_pack",
-        "series_id", "first_listed_date", F.col("selected").alias("drug"),
-    )
+    return points, ids
 
 
 def _named(identities: DataFrame, drugs: Sequence[str] | None) -> DataFrame:
+    if "first_listed_date" not in identities.columns:
+        identities = identities.withColumn("first_listed_date", F.lit(None).cast("string"))
     if drugs is None:
         tagged = identities.withColumn("selected", F.col("drug"))
     else:
@@ -116,18 +127,39 @@ def identifiers(series: DataFrame) -> DataFrame:
     return series.select("series_id", "display_name").distinct().orderBy("display_name", "series_id")
 
 
+_IN_SERIES = ("month", "display_name", "aemp", "item_code", "first_listed_date")
+
+
 def change_points(series: DataFrame, sliced: bool = False) -> DataFrame:
     """First and last point of each series and the points around each price change.
 
     All flags come from the neighbours in one sort order (month, name, price).
     A series is bounded by its months and names; ``sliced`` is for series that are not.
     """
-    order = [F.col(c) for c in ("month", "display_name", "aemp", "item_code", "first_listed_date")]
-    seen = in_order(
-        series, ["series_id"], order,
-        previous={"prev_aemp": "aemp"}, following={"next_aemp": "aemp"},
-        sliced=sliced,
+    return _at_changes(_with_neighbours(series, ["series_id"], sliced))
+
+
+def series_changes(prices: DataFrame, drugs: Sequence[str] | None = None) -> DataFrame:
+    """``change_points`` of ``price_series``, straight from the prices and with one shuffle less.
+
+    Points are dealt once, by a loose form of the series key. All points of an identity and all identities of a series
+    lie in one partition from there on, so that gathering, naming and looking at neighbours move no rows.
+    """
+    points, ids = _monthly_points(prices, drugs)
+    dealt = points.withColumn("__near", text.loose_key(*[F.col(c) for c in _KEYED])).repartition("__near")
+    named = _series_points(dealt, ids, drugs, ["__near"])
+    return _at_changes(_with_neighbours(named, ["__near", "series_id"])).drop("__near")
+
+
+def _with_neighbours(series: DataFrame, keys: Sequence[str], sliced: bool = False) -> DataFrame:
+    return in_order(
+        series, keys, [F.col(c) for c in _IN_SERIES],
+        previous={"prev_aemp": "aemp"}, following={"next_aemp": "aemp"}, sliced=sliced,
     )
+
+
+def _at_changes(seen: DataFrame) -> DataFrame:
+    """Rows that start or end a series or stand next to a change, from rows with prev_aemp and next_aemp."""
     flagged = seen.withColumns(
         {
             "is_first_point": F.col("prev_aemp").isNull(),
@@ -153,9 +185,9 @@ def price_crowding(points: DataFrame, sliced: bool = True) -> DataFrame:
         }
     )
     order = [F.col(c) for c in ("series_id", "month", "display_name", "aemp", "item_code", "first_listed_date")]
-    ranked = in_order(
-        placed, ["month_bucket", "price_band", "label_side"], order,
-        row_number="__rn", group_size="collision_size", sliced=sliced,
+    place = places if sliced else in_order
+    ranked = place(
+        placed, ["month_bucket", "price_band", "label_side"], order, row_number="__rn", group_size="collision_size"
     )
     return ranked.withColumn("collision_rank", F.col("__rn") - 1).drop("__rn")
 

@@ -157,6 +157,12 @@ def price_crowding(spark, folder):
     )
 
 
+@query(f"WITH {_CHANGES} SELECT * FROM points")
+def change_points_dealt(spark, folder):
+    """The same from the prices, dealt once for names and neighbours alike."""
+    return series.series_changes(coarse_snap(spark, folder))
+
+
 _FIRST_LAST = f"""{SERIES},
 ends AS (
   SELECT drug, form, series_id, first(aemp ORDER BY month, display_name, aemp) AS first_aemp,

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameReader
 
-from pricetrail.operators import archive, events, ordering, quality, sinks, star, wide, winners
+from pricetrail.operators import archive, events, ordering, quality, series, sinks, star, wide, winners
 from pricetrail.session import new_path
 from pricetrail.sources import archive_files, snapshots
 from pricetrail.sources.layouts import SINGLE_PRICE
@@ -300,3 +300,63 @@ def test_pickup_goes_on_from_its_checkpoint(spark, tmp_path):
     assert star.product_lines(rows, SINGLE_PRICE).count() == 3
     with pytest.raises(ValueError, match="aemp"):
         pick_up(spark, str(landing), HEADER.split(",")[:-1], SINGLE_PRICE, table, marks)
+
+
+# Series and places ---------------------------------------------------------------------------
+
+
+def odd_prices(spark, seed):
+    r = random.Random(seed)
+    spelt = ["Tablet film coated", "tablets, FILM  COATED", "tablet film-coated.", "none", "", None, "a|b", "Σας"]
+    rows = [
+        (r.choice(["1", "2", None]), r.choice(["Abc", "abc", "x|y", None]), r.choice(spelt), r.choice(["b", "NaN", "<NA>", "na", None]),
+         r.choice(["F1", None]), r.choice(["c", None]), r.choice(["p", "b|c", None]), date(2025, r.randint(1, 12), r.randint(1, 28)),
+         None if r.random() < 0.1 else Decimal(r.randint(1, 4)), r.choice(["2020-01-01", None]))
+        for _ in range(600)
+    ]
+    return spark.createDataFrame(
+        rows, "item_code string, drug string, form string, brand string, formulary string, responsible string, "
+        "amt_pack string, snapshot_date date, aemp decimal(18,6), first_listed_date string"
+    )
+
+
+@pytest.mark.parametrize("drugs", [None, ["ABC", "abc", "nothing"]])
+@pytest.mark.parametrize("seed", range(3))
+def test_points_dealt_once_have_the_same_neighbours(spark, seed, drugs):
+    df = odd_prices(spark, seed)
+    want = series.change_points(series.price_series(df, drugs))
+    got = series.series_changes(df, drugs)
+    assert sorted(got.columns) == sorted(want.columns)
+    assert plainly(got.select(want.columns).collect()) == plainly(want.collect())
+    assert want.count() > 20
+
+
+def test_points_dealt_once_cost_one_exchange_less(spark, no_broadcast):
+    df = odd_prices(spark, 1)
+    want, got = plan_of(series.change_points(series.price_series(df))), plan_of(series.series_changes(df))
+    assert (want.count("Exchange"), got.count("Exchange")) == (3, 2)
+    assert series.series_changes(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("slices", [1, 3, 40])
+def test_places_of_a_hot_group_are_counted_across_ranges(spark, slices):
+    r = random.Random(slices)
+    rows = [("hot", None, i) for i in range(500)] + [(r.choice(["a", None, "z"]), r.choice([1, None]), 1000 + i) for i in range(200)]
+    r.shuffle(rows)
+    df = spark.createDataFrame(rows, "k string, j int, pos int")
+    got = ordering.places(df, ["k", "j"], [F.col("pos").desc()], row_number="rn", group_size="n", slices=slices)
+    assert got.columns == ["k", "j", "pos", "rn", "n"]
+    groups = {}
+    for k, j, pos in rows:
+        groups.setdefault((k, j), []).append(pos)
+    want = {p: (i, len(g)) for g in groups.values() for i, p in enumerate(sorted(g, reverse=True), start=1)}
+    assert {x.pos: (x.rn, x.n) for x in got.collect()} == want
+    assert ordering.places(df.limit(0), ["k"], [F.col("pos")], row_number="rn", group_size="n").count() == 0
+
+
+def test_places_store_their_rows_once(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(ordering, "store", lambda df, name: stored.append(name) or df.sparkSession.createDataFrame(df.collect(), df.schema))
+    df = spark.createDataFrame([("a", 1), ("a", 2)], "k string, pos int")
+    assert ordering.places(df, ["k"], [F.col("pos")], row_number="rn", group_size="n").count() == 2
+    assert stored == ["slices"]
