@@ -402,22 +402,28 @@ def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 
 
 def _prepared(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Stored profiles of all rows; those that hold a set; heads of equal sets; prefix members of several groups;
-    the sets that may have links at all; their texts."""
-    rows = store(profiles(docs, size, percent, shingle_counters(docs, size)), "jaccard-profiles")
+    """Stored profiles of all rows, ``at`` numbering them; those that hold a set; heads of equal sets; prefix members of several
+    groups; the sets that may have links at all; their texts."""
+    found = profiles(docs, size, percent, shingle_counters(docs, size))
+    rows = store(found.withColumn("at", F.monotonically_increasing_id()), "jaccard-profiles")
     held = rows.where((F.col("n") > 0) & (F.col("doc") != NO_ID))
-    heads = held.groupBy("digest").agg(F.min("doc").alias("head"), F.min("group").alias("group"))
+    # The row that stands for all rows of an equal set: of the smallest doc, one, also where that one is repeated.
+    heads = held.groupBy("digest").agg(F.min(F.struct("doc", "at")).alias("first"), F.min("group").alias("group"))
+    heads = heads.select("digest", "group", F.col("first.doc").alias("head"), F.col("first.at").alias("head_at"))
     groups = heads.groupBy("group").agg(F.min("head").alias("gid"), F.count(F.lit(1)).alias("members"))
     heads = heads.join(groups.withColumnRenamed("group", "g"), F.col("group") == F.col("g"))
-    heads = store(heads.select(F.col("digest").alias("of"), "head", "gid", "members"), "jaccard-heads")
-    own = (F.col("digest") == F.col("of")) & (F.col("doc") == F.col("head"))
-    sets = held.join(heads, own).drop("of", "head").dropDuplicates(["doc", "digest"])
-    sets = store(sets, "jaccard-sets")
-    tokens = shared_tokens(sets.where(F.col("doc") == F.col("gid")).select("gid", "prefix"))
+    heads = store(heads.select(F.col("digest").alias("of"), "head", "head_at", "gid", "members"), "jaccard-heads")
+
+    def sets_of(wanted: DataFrame, *columns: str) -> DataFrame:
+        """The wanted sets with what their own rows hold; nothing wide moves but by this join."""
+        own = (F.col("digest") == F.col("of")) & (F.col("at") == F.col("head_at"))
+        return held.select("digest", "at", *columns).join(wanted.select("of", "head_at", "gid"), own).select("gid", *columns)
+
+    tokens = shared_tokens(sets_of(heads.where(F.col("head") == F.col("gid")), "prefix"))
     # Only sets of a group with company, or a shared prefix member, can be linked at all.
     met = tokens.select(F.col("gid").alias("g")).distinct()
-    alive = sets.join(met, F.col("gid") == F.col("g"), "left").where(F.col("g").isNotNull() | (F.col("members") > 1))
-    alive = store(alive.select("doc", "gid", "n", "parity", "wide", "mins"), "jaccard-alive")
+    living = heads.join(met, F.col("gid") == F.col("g"), "left").where(F.col("g").isNotNull() | (F.col("members") > 1))
+    alive = store(sets_of(living, "doc", "n", "parity", "wide", "mins"), "jaccard-alive")
     texts = packed_texts(docs, store(alive.select(F.col("doc").alias("w")).distinct(), "jaccard-wanted"))
     return rows, held, heads, tokens, alive, texts
 
