@@ -153,7 +153,12 @@ def compared(docs: DataFrame, candidates: DataFrame, items: DataFrame, slop: int
     per_doc = candidates.groupBy("doc", "version").agg(
         F.collect_set(F.struct("item", "from", "length", "start", "off")).alias("found")
     ).select(F.col("doc").alias("doc_f"), F.col("version").alias("version_f"), "found")
-    joined = keyed(docs).join(per_doc, (F.col("doc") == F.col("doc_f")) & (F.col("version") == F.col("version_f")))
+    # The texts of documents without a candidate stay where they are.
+    with_any = candidates.select(F.col("doc").alias("doc_c"), F.col("version").alias("version_c")).distinct()
+    asked = keyed(docs).join(
+        sent(with_any), (F.col("doc") == F.col("doc_c")) & (F.col("version") == F.col("version_c")), "left_semi"
+    )
+    joined = asked.join(per_doc, (F.col("doc") == F.col("doc_f")) & (F.col("version") == F.col("version_f")))
 
     def stretch(all_words: Column, c: Column) -> Column:
         first = F.greatest(c["start"] - slop, F.lit(0))
