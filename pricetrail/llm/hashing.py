@@ -70,12 +70,17 @@ def word_hashes(data: bytes, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
 
-def shingles(words: np.ndarray, size: int) -> np.ndarray:
-    """Sorted distinct hashes of ``size`` words in a row; of all words where they are fewer."""
+def runs(words: np.ndarray, size: int) -> np.ndarray:
+    """Hash of every ``size`` words in a row, in order; of all words where they are fewer."""
     if not len(words):
         return np.zeros(0, np.uint64)
     size = min(size, len(words))
-    runs = np.zeros(len(words) - size + 1, np.uint64)
+    found = np.zeros(len(words) - size + 1, np.uint64)
     for i in range(size):
-        runs = mix(runs * np.uint64(BASE) + words[i : i + len(runs)] + np.uint64(i))
-    return np.unique(mix(runs + np.uint64(size)))
+        found = mix(found * np.uint64(BASE) + words[i : i + len(found)] + np.uint64(i))
+    return mix(found + np.uint64(size))
+
+
+def shingles(words: np.ndarray, size: int) -> np.ndarray:
+    """Sorted distinct hashes of ``size`` words in a row; of all words where they are fewer."""
+    return np.unique(runs(words, size))

@@ -1,9 +1,11 @@
 """Documents joined by the Jaccard similarity of their word shingles: a grouped prefix join.
 
 Two sets with Jaccard of at least t share a member of their prefixes, the first n - ceil(t n) + 1
-members in any fixed order. The order here puts rare shingles first, by counters that all documents' shingles were
-added to (their number is fixed, so they can be sent everywhere), then by hash. A shingle that thousands
-of documents share thus stands in nobody's prefix unless the documents are made of such.
+members in any fixed order. The order here puts rare shingles first: by the least count among a shingle's own and its words',
+then by the rarity of all its words, then by hash. Words and shingles are counted in counters of a fixed number, so that
+these can be sent everywhere. A corpus has far more shingles than counters, so each of them is a crowd of
+strangers; its words are few enough to be told apart, and no shingle is more frequent than its rarest word. A shingle that thousands
+of documents share thus stands in nobody's prefix unless the documents are made of such, and unrelated documents seldom meet.
 
 Equal sets are one. Sets with the same prefix and size are one group, and only groups meet in the join on
 prefix members; pairs of groups go on if their sizes fit, and expand to their members. Members go on if
@@ -31,13 +33,14 @@ import pandas as pd
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pricetrail.llm.common import carried, sent, store
 from pricetrail.llm.components import components
-from pricetrail.llm.hashing import SPACED, mix, shingles, word_hashes
+from pricetrail.llm.hashing import SPACED, mix, runs, shingles, word_hashes
 
-#: Counters for the order of shingles, and how many travel in a row.
-COUNTERS, COUNTER_ROW = 1 << 22, 1 << 14
+#: Counters of words, and as many of shingles, for the order of shingles; how many travel in a row; steps to a doubled count.
+COUNTERS, COUNTER_ROW, LEVELS = 1 << 22, 1 << 14, 7
 #: Bits of a parity sketch; min-hashes of a set; sets compared with each other in one task at most.
 PARITY_BITS, MIN_HASHES, TILE = 1024, 3, 4096
 WORDS64 = PARITY_BITS // 64
@@ -51,45 +54,65 @@ SHORT_RUN, PAIRS_AT_ONCE = 64, 1 << 15
 NO_ID = -(1 << 63)
 
 
+def _words(text: str | None) -> np.ndarray:
+    return word_hashes((text or "").encode("utf-8", "replace"), SPACED)[0]
+
+
 def shingle_set(text: str | None, size: int) -> np.ndarray:
-    return shingles(word_hashes((text or "").encode("utf-8", "replace"), SPACED)[0], size)
+    return shingles(_words(text), size)
 
 
-def _slot(found: np.ndarray) -> np.ndarray:
-    return (found >> np.uint64(65 - COUNTERS.bit_length())).astype(np.int64)
+def _slot(hashes: np.ndarray, counters: int) -> np.ndarray:
+    return (hashes >> np.uint64(65 - counters.bit_length())).astype(np.int64)
 
 
-def shingle_counters(docs: DataFrame, size: int) -> np.ndarray:
-    """How many documents' shingles fell to each counter."""
+def rarity(docs: DataFrame, size: int) -> np.ndarray:
+    """Two rows of levels, of the counters that words and shingles fell to: LEVELS more for every doubled count."""
+    counted, per_row, steps = COUNTERS, min(COUNTERS, COUNTER_ROW), LEVELS
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counters = np.zeros(COUNTERS, np.uint32)
+        counters = np.zeros((2, counted), np.uint32)
         for frame in frames:
             for at in range(0, len(frame), 2048):
-                sets = [_slot(shingle_set(t, size)) for t in frame["text"].iloc[at : at + 2048]]
-                counters += np.bincount(np.concatenate(sets), minlength=COUNTERS).astype(np.uint32)
+                words = [_words(t) for t in frame["text"].iloc[at : at + 2048]]
+                for total, found in zip(counters, (words, [shingles(w, size) for w in words])):
+                    total += np.bincount(_slot(np.concatenate(found), counted), minlength=counted).astype(np.uint32)
         pack = zstandard.ZstdCompressor(level=1).compress
-        for row in range(0, COUNTERS, COUNTER_ROW):
-            part = counters[row : row + COUNTER_ROW]
+        for row, part in enumerate(counters.reshape(-1, per_row)):
             if part.any():
-                yield pd.DataFrame({"row": [row], "counts": [pack(part.astype("<u4").tobytes())]})
+                # Lowest bytes together, then the next: most counts have one.
+                planes = part.astype("<u4").view(np.uint8).reshape(-1, 4).T
+                yield pd.DataFrame({"row": [row], "counts": [pack(planes.tobytes())]})
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
         unpack = zstandard.ZstdDecompressor().decompress
-        total = np.zeros(COUNTER_ROW, np.uint64)
+        total = np.zeros(per_row, np.uint64)
         for counts in group["counts"]:
-            total += np.frombuffer(unpack(counts), "<u4")
-        packed = zstandard.ZstdCompressor(level=1).compress(np.minimum(total, (1 << 32) - 1).astype("<u4").tobytes())
+            planes = np.frombuffer(unpack(counts), np.uint8).reshape(4, -1)
+            total += np.ascontiguousarray(planes.T).view("<u4").ravel()
+        levels = np.minimum(steps * np.log2(total + 1.0), 255).astype(np.uint8)
+        packed = zstandard.ZstdCompressor(level=1).compress(levels.tobytes())
         return pd.DataFrame({"row": group["row"].iloc[:1], "counts": [packed]})
 
     schema = "row long, counts binary"
     summed = docs.select("text").mapInPandas(count, schema).groupBy("row").applyInPandas(add, schema)
-    out = np.zeros(COUNTERS, np.uint32)
-    for row, counts in summed.collect():
-        out[row : row + COUNTER_ROW] = np.frombuffer(zstandard.ZstdDecompressor().decompress(counts), "<u4")
+    out = np.zeros((2, counted), np.uint8)
+    rows = out.reshape(-1, per_row)
+    for row, levels in summed.collect():
+        rows[row] = np.frombuffer(zstandard.ZstdDecompressor().decompress(levels), np.uint8)
     return out
 
 
+def rare_first(words: np.ndarray, size: int, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A text's set and the places of its members in the order of rarity. Equal shingles have equal words, so the order is one for all."""
+    made = runs(words, size)
+    found, at = np.unique(made, return_index=True)
+    of_words = levels[0][_slot(words, levels.shape[1])].astype(np.int64)
+    beside = [of_words[i : i + len(made)] for i in range(min(size, len(words)))]
+    least = np.minimum(np.minimum.reduce(beside)[at], levels[1][_slot(found, levels.shape[1])])
+    return found, np.argsort(least * (256 * size) + np.sum(beside, axis=0)[at], kind="stable")
+
+
 def _parity(found: np.ndarray, bits: int) -> bytes:
     """For each of ``bits`` classes of hashes whether the set has an odd number of them."""
     of = (mix(found) >> np.uint64(65 - bits.bit_length())).astype(np.int64)
@@ -104,18 +127,18 @@ def least_overlap(total: np.ndarray | int, percent: int):
 PROFILE = "doc long, n long, digest binary, prefix array<long>, group binary, parity binary, wide binary, mins array<long>"
 
 
-def profiles(docs: DataFrame, size: int, percent: int, counters: np.ndarray) -> DataFrame:
+def profiles(docs: DataFrame, size: int, percent: int, levels: np.ndarray) -> DataFrame:
     """PROFILE of every row: its set's size and digest, prefix, group, sketch and min-hashes."""
-    sent = docs.sparkSession.sparkContext.broadcast(counters)  # COUNTERS numbers, whatever the input
+    sent = docs.sparkSession.sparkContext.broadcast(levels)  # 2 * COUNTERS bytes, whatever the input
 
     def one(text: str | None) -> tuple:
-        found = shingle_set(text, size)
-        n = len(found)
-        if not n:
+        words = _words(text)
+        if not len(words):
             return 0, None, None, None, None, None, None
-        order = np.lexsort((found, sent.value[_slot(found)]))
-        prefix = np.sort(found[order[: n - (percent * n + 99) // 100 + 1]])
-        tie = blake2b(prefix.tobytes() + n.to_bytes(8, "little"), digest_size=16).digest()
+        found, order = rare_first(words, size, sent.value)
+        n = len(found)
+        prefix = found[order[: n - (percent * n + 99) // 100 + 1]]
+        tie = blake2b(np.sort(prefix).tobytes() + n.to_bytes(8, "little"), digest_size=16).digest()
         parity = _parity(found, PARITY_BITS)
         wide = _parity(found, LONG_BITS) if n > LONG else None
         mins = [int(mix(found ^ np.uint64(i + 1)).min().view(np.int64)) for i in range(MIN_HASHES)]
@@ -229,15 +252,25 @@ def nearest(sets: DataFrame, percent: int) -> DataFrame:
     return sorted_runs.mapInPandas(link, "a long, b long").distinct()
 
 
-def shared_tokens(groups: DataFrame) -> DataFrame:
-    """Stored (token, gid): prefix members that more than one group has, from (gid, prefix).
+def shared_tokens(groups: DataFrame, percent: int) -> DataFrame:
+    """Stored (token, gid): prefix members that a group shares with one of a size it may be linked with, from (gid, n, prefix).
 
-    The count and the join back read one and the same shuffle of the entries.
+    The first member in order that two linked sets share is among the first n - o + 1 of the smaller one, o being the
+    overlap that two sets of its size n need; those members are its lead. Entries of a token follow each other by size, so an entry
+    has company if the last lead before it is large enough for it, or if it is a lead and the next one is small enough.
     """
-    entries = groups.select(F.explode("prefix").alias("token"), "gid").repartition("token")
-    shared = entries.groupBy("token").agg(F.min("gid").alias("low"), F.max("gid").alias("high"))
-    shared = shared.where(F.col("low") < F.col("high")).select(F.col("token").alias("t"))
-    return store(entries.join(shared, F.col("token") == F.col("t")).select("token", "gid"), "jaccard-tokens")
+    leads = F.col("n") - F.ceil(F.lit(2 * percent) * F.col("n") / F.lit(100 + percent)) + 1
+    entries = groups.select("gid", "n", leads.alias("leads"), F.posexplode("prefix").alias("at", "token"))
+    # One number for both, as all of these are shuffled: the size, below zero where the member is no lead.
+    entries = entries.select("token", "gid", F.when(F.col("at") < F.col("leads"), F.col("n")).otherwise(-F.col("n")).alias("size"))
+    n, lead = F.abs("size"), F.when(F.col("size") > 0, F.col("size"))
+    by_size = Window.partitionBy("token").orderBy(n, "gid")
+    before = F.max(lead).over(by_size.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.lead(n).over(by_size)
+    met = entries.withColumns({"before": before, "after": after}).where(
+        (F.col("before") * 100 >= n * percent) | (lead * 100 >= F.col("after") * percent)
+    )
+    return store(met.select("token", "gid"), "jaccard-tokens")
 
 
 def _differing_bits(a: str, b: str) -> Column:
@@ -404,17 +437,17 @@ def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 def _prepared(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
     """Stored profiles of all rows; those that hold a set; heads of equal sets; prefix members of several groups;
     the sets that may have links at all; their texts."""
-    rows = store(profiles(docs, size, percent, shingle_counters(docs, size)), "jaccard-profiles")
+    rows = store(profiles(docs, size, percent, rarity(docs, size)), "jaccard-profiles")
     held = rows.where((F.col("n") > 0) & (F.col("doc") != NO_ID))
     heads = held.groupBy("digest").agg(F.min("doc").alias("head"), F.min("group").alias("group"))
     groups = heads.groupBy("group").agg(F.min("head").alias("gid"), F.count(F.lit(1)).alias("members"))
     heads = heads.join(groups.withColumnRenamed("group", "g"), F.col("group") == F.col("g"))
     heads = store(heads.select(F.col("digest").alias("of"), "head", "gid", "members"), "jaccard-heads")
     own = (F.col("digest") == F.col("of")) & (F.col("doc") == F.col("head"))
-    sets = held.join(heads, own).drop("of", "head").dropDuplicates(["doc", "digest"])
-    sets = store(sets, "jaccard-sets")
-    tokens = shared_tokens(sets.where(F.col("doc") == F.col("gid")).select("gid", "prefix"))
-    # Only sets of a group with company, or a shared prefix member, can be linked at all.
+    sets = held.join(heads, own).dropDuplicates(["doc", "digest"])
+    sets = store(sets.select("doc", "gid", "members", "n", "prefix", "parity", "wide", "mins"), "jaccard-sets")
+    tokens = shared_tokens(sets.where(F.col("doc") == F.col("gid")).select("gid", "n", "prefix"), percent)
+    # Only sets of a group with company, or a prefix member shared with one of a fitting size, can be linked at all.
     met = tokens.select(F.col("gid").alias("g")).distinct()
     alive = sets.join(met, F.col("gid") == F.col("g"), "left").where(F.col("g").isNotNull() | (F.col("members") > 1))
     alive = store(alive.select("doc", "gid", "n", "parity", "wide", "mins"), "jaccard-alive")
