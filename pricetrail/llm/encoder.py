@@ -12,12 +12,14 @@ from __future__ import annotations
 from array import array
 from collections.abc import Callable, Iterable
 from functools import lru_cache
+from operator import attrgetter
 
 import numpy as np
 from tokenizers import Tokenizer
 
 #: Pieces held in memory: so many newer ones and those of one batch, and as many older ones, dropped when those are full.
 REMEMBERED = 600_000
+ID = attrgetter("id")
 HELD_MARKS = 20_000
 SEPARATOR = "\n"
 #: What may stand behind a word without changing its ids. An apostrophe is left out, as some letters join it.
@@ -67,7 +69,7 @@ class Encoder:
             spelt = self.gap + word if space else word
         else:
             spelt = (space + word).encode().decode("latin-1").translate(self.letters)
-        return array(self.code, [t.id for t in self.merges.tokenize(spelt)]).tobytes()
+        return array(self.code, list(map(ID, self.merges.tokenize(spelt)))).tobytes()
 
     def _tail(self, marks: str) -> bytes:
         """Ids of the marks behind a word, a unit of their own; the first HELD_MARKS short ones are held."""
