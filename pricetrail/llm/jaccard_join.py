@@ -274,12 +274,12 @@ def shared_tokens(groups: DataFrame, percent: int) -> DataFrame:
 
 
 def _differing_bits(a: str, b: str) -> Column:
-    """Differing bits of two binary columns, 48 at a time."""
-    def part(name: str, i: int) -> Column:
-        return F.conv(F.hex(F.substring(name, 1 + 6 * i, 6)), 16, 10).cast("long")
+    """Differing bits of two binary columns, 48 at a time: one short expression, which plans hold and rewrite many times."""
+    def part(name: str, i: Column) -> Column:
+        return F.conv(F.hex(F.substring(name, i, F.lit(6))), 16, 10).cast("long")
 
-    parts = [F.bit_count(part(a, i).bitwiseXOR(part(b, i))) for i in range(-(-PARITY_BITS // 48))]
-    return sum(parts[1:], parts[0])
+    places = F.sequence(F.lit(1), F.lit(PARITY_BITS // 8), F.lit(6))
+    return F.aggregate(places, F.lit(0), lambda bits, i: bits + F.bit_count(part(a, i).bitwiseXOR(part(b, i))))
 
 
 def group_pairs(sets: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
@@ -510,27 +510,26 @@ def classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """
     rows, held, heads, tokens, alive, texts = _prepared(docs, size, percent)
 
-    def labelled(found: DataFrame) -> DataFrame:
-        named = components(found)
+    def labelled(named: DataFrame) -> DataFrame:
         joined = alive.join(named, F.col("doc") == F.col("node"), "left").drop("node")
         return store(joined.withColumn("component", F.coalesce("component", "doc")), "jaccard-labelled")
 
     # The texts of one doc_id are one document: they join what each of them is linked with.
     parts = held.select("doc", "digest").join(heads, F.col("digest") == F.col("of"))
-    links = store(
+    of_one_id = store(
         parts.groupBy("doc").agg(F.min("head").alias("low"), F.max("head").alias("high")).where(F.col("low") < F.col("high"))
         .select(F.col("low").alias("a"), F.col("high").alias("b")),
         "jaccard-links",
     )
-    tried = links.select("a", "b").limit(0)
+    named = components(of_one_id)
+    tried = of_one_id.select("a", "b").limit(0)
     for _ in range(NEAR_ROUNDS):
-        near = nearest(labelled(links), percent)
+        near = nearest(labelled(named), percent)
         near = store(near.join(tried, ["a", "b"], "left_anti"), "jaccard-near")
-        links = links.unionByName(verified(texts, near, size, percent))
+        named = components(verified(texts, near, size, percent), named)
         tried = tried.unionByName(near)
-    rest = group_pairs(labelled(links), tokens, percent).join(tried, ["a", "b"], "left_anti")
-    links = links.unionByName(verified(texts, rest, size, percent))
-    named = components(links).select(F.col("node"), F.col("component"))
+    rest = group_pairs(labelled(named), tokens, percent).join(tried, ["a", "b"], "left_anti")
+    named = components(verified(texts, rest, size, percent), named)
     joined = (
         rows.select("doc", "n", "digest")
         .join(heads, F.col("digest") == F.col("of"), "left")
