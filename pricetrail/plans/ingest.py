@@ -8,7 +8,7 @@ from pricetrail.operators import sinks, star
 from pricetrail.plans import sqltext as q
 from pricetrail.plans.fixtures import SNAP, coarse_snap, coarse_sql, snap
 from pricetrail.plans.registry import query
-from pricetrail.session import new_path
+from pricetrail.session import keep, new_path
 from pricetrail.sources.layouts import MULTI_PRICE, SINGLE_PRICE
 from pricetrail.sources.snapshots import clean_snapshots, read_snapshots
 from pricetrail.sources.tables import load
@@ -230,14 +230,14 @@ _BATCHES = (date(1998, 6, 1), date(1998, 5, 1))
 
 def _two_batches(spark, folder):
     """A stored first batch and a second one that sends its last month again, changed."""
-    rows = coarse_snap(spark, folder, nulls=True)
+    rows = keep(coarse_snap(spark, folder, nulls=True), "rows")  # read for the lines and facts of either batch
     first = rows.where(F.col("snapshot_date") < F.lit(_BATCHES[0]))
     again = rows.where(F.col("snapshot_date") >= F.lit(_BATCHES[1])).withColumn(
         "source_file", F.concat(F.lit("resent-"), F.col("source_file"))
     )
     dim_path, fact_path = new_path(spark, "dim"), new_path(spark, "fact")
     sinks.append_lines(star.product_lines(first, SINGLE_PRICE), dim_path)
-    sinks.append_facts(star.monthly_facts(first, SINGLE_PRICE), fact_path)
+    sinks.append_facts(star.monthly_facts(first, SINGLE_PRICE, by_month=True), fact_path, dealt=True)
     dim, facts = spark.read.parquet(dim_path), spark.read.parquet(fact_path)
     dates = [r[0] for r in again.select("snapshot_date").distinct().collect()]
     sinks.append_lines(star.new_lines(again, dim, SINGLE_PRICE), dim_path)
