@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricetrail.session import store
+from pricetrail.session import keep, store
 
 # Rows of a slice, about.
 SLICE_ROWS = 1_000_000
@@ -51,9 +51,14 @@ def in_order(
     """
     previous, following = dict(previous or {}), dict(following or {})
     if sliced:
-        return _across_slices(
-            store(df, "ordered"), keys, order, row_number, group_size, previous, following, slice_rows
-        )
+        if previous or following or not keys:
+            return _across_slices(
+                store(df, "ordered"), keys, order, row_number, group_size, previous, following, slice_rows
+            )
+        # Without neighbours to fetch, only counts are sent across, as ``places`` does.
+        rows, number, size = keep(df, "ordered"), row_number or "__number", group_size or "__size"
+        placed = places(rows, keys, order, row_number=number, group_size=size, slices=_slices(rows, slice_rows))
+        return placed.select(*df.columns, *[c for c in (row_number, group_size) if c])
     grouped = Window.partitionBy(*keys)
     w = grouped.orderBy(*order)
     added = {new: F.lag(old).over(w) for new, old in previous.items()}
@@ -65,9 +70,12 @@ def in_order(
     return df.withColumns(added)
 
 
+def _slices(df, slice_rows):
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.count() // slice_rows + 1)
+
+
 def _across_slices(df, keys, order, row_number, group_size, previous, following, slice_rows):
-    total = df.count()
-    slices = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // slice_rows + 1)
+    slices = _slices(df, slice_rows)
     # Stored, so that the slice of a row cannot change if a task is run again.
     sliced = store(
         df.repartitionByRange(slices, *[F.col(k) for k in keys], *order).withColumn(
@@ -130,7 +138,7 @@ def places(
     groups that lie in several ranges have two counts per range at most, and those alone are sent to the rows.
     """
     slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = store(
+    cut = keep(
         df.repartitionByRange(slices, *[F.col(k) for k in keys], *order).withColumn(_SLICE, F.spark_partition_id()), "slices"
     )
     counts = cut.groupBy(*keys, _SLICE).agg(F.count(F.lit(1)).alias("__n"))
