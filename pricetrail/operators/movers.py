@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricetrail.functions import numbers
+from pricetrail.functions import numbers, text
 from pricetrail.functions.numbers import PRICE
 from pricetrail.operators.ordering import FAN, middle_values
 from pricetrail.session import store
@@ -26,14 +26,15 @@ def latest_months(prices: DataFrame, n: int = 2) -> DataFrame:
 def star_prices(dim: DataFrame, facts: DataFrame) -> DataFrame:
     """Prices of a stored star under the names of a flat price list.
 
-    Brand and responsible person are the fact's, else the line's, if it has any.
+    Brand and responsible person are the fact's, else the line's, if it has any. Lines grow with the data and are not sent to all tasks.
     """
     lines = {
         "item_code": ["item_code_b", "item_code"], "drug": ["name_a", "drug"], "form": ["attr_c", "form"],
         "brand": ["brand_name", "brand"], "responsible": ["responsible_person", "responsible"],
     }
-    prefixed = dim.select(F.col("product_line_id"), *[F.col(c).alias(f"line_{c}") for c in dim.columns if c != "product_line_id"])
-    joined = facts.join(prefixed, "product_line_id")
+    line = text.packed_id(F.col("product_line_id")).alias("__line")
+    prefixed = dim.select(line, *[F.col(c).alias(f"line_{c}") for c in dim.columns if c != "product_line_id"])
+    joined = facts.withColumn("__line", line).join(prefixed.hint("merge"), "__line")
     kept = [c for c in ("snapshot_month",) if c in facts.columns]
     return joined.select(
         *[

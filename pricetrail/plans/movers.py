@@ -7,7 +7,7 @@ from pricetrail.operators import sinks, star
 from pricetrail.plans import sqltext as q
 from pricetrail.plans.fixtures import END, SNAP, START, snap
 from pricetrail.plans.registry import query
-from pricetrail.session import new_path
+from pricetrail.session import keep, new_path
 from pricetrail.sources.layouts import SINGLE_PRICE
 
 _KEYS = ", ".join(op.KEYS)
@@ -72,11 +72,11 @@ stored AS (
 )
 def mom_increases_star(spark, folder):
     """Movers read off the stored star: lines, facts by month, and the attributes of either."""
-    rows = snap(spark, folder).withColumns(
+    rows = keep(snap(spark, folder).withColumns(
         {"source_file": F.lit("all"), "amt_pack_program": F.concat_ws("_", "amt_pack", "program")}
-    )
+    ), "rows")  # read for the lines and for the facts
     path = new_path(spark, "facts")
-    sinks.append_facts(star.monthly_facts(rows, SINGLE_PRICE), path)
+    sinks.append_facts(star.monthly_facts(rows, SINGLE_PRICE, by_month=True), path, dealt=True)
     prices = op.star_prices(star.product_lines(rows, SINGLE_PRICE), spark.read.parquet(path))
     return op.movers(prices, START, END)
 
