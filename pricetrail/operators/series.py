@@ -96,14 +96,14 @@ def monthly_mean(prices: DataFrame) -> DataFrame:
 
 
 def line_listing(dim: DataFrame, facts: DataFrame, drug: str | None = None) -> DataFrame:
-    """Prices per line in month order."""
+    """Prices per line in month order. Ids are packed while rows are joined and put in order."""
     if drug is not None:
         dim = dim.where(F.lower("name_a") == drug.lower())
-    return (
-        facts.join(dim.select("product_line_id", "item_code_b"), "product_line_id")
-        .select(F.col("snapshot_date").alias("month"), "product_line_id", F.col("item_code_b").alias("item_code"), "aemp")
-        .orderBy("month", "product_line_id", "item_code")
-    )
+    line = text.packed_id(F.col("product_line_id")).alias("__line")
+    whole = text.unpacked_id(F.col("__line")).cast(dict(facts.dtypes)["product_line_id"])
+    lines = dim.select(line, F.col("item_code_b").alias("item_code")).hint("merge")
+    listed = facts.select(line, F.col("snapshot_date").alias("month"), "aemp").join(lines, "__line")
+    return listed.orderBy("month", whole, "item_code").select("month", whole.alias("product_line_id"), "item_code", "aemp")
 
 
 def coverage(series: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pricetrail.plans import sqltext as q
 from pricetrail.plans.fixtures import SIX_MONTHS, SNAP, coarse_snap, coarse_sql, snap
 from pricetrail.plans.ingest import _LINE, _SIG
 from pricetrail.plans.registry import query
-from pricetrail.session import new_path
+from pricetrail.session import keep, new_path
 from pricetrail.sources.layouts import SINGLE_PRICE
 
 _SHOWN = q.shown("item_code", "brand", "form", "formulary", "amt_pack", "responsible")
@@ -86,9 +86,9 @@ def picked_series(spark, folder):
 SELECT DISTINCT snapshot_date AS month, {_LINE} AS product_line_id, item_code, aemp FROM g"""
 )
 def line_listing(spark, folder):
-    rows = coarse_snap(spark, folder)
-    dim = star.product_lines(rows, SINGLE_PRICE)
-    return series.line_listing(dim, star.monthly_facts(rows, SINGLE_PRICE))
+    rows = keep(coarse_snap(spark, folder), "rows")  # read for the lines and for the facts
+    dim = keep(star.product_lines(rows, SINGLE_PRICE).select("product_line_id", "item_code_b"), "lines")
+    return series.line_listing(dim, keep(star.monthly_facts(rows, SINGLE_PRICE), "facts"))
 
 
 @query(
