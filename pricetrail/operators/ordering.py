@@ -57,7 +57,7 @@ def in_order(
             )
         # Without neighbours to fetch, only counts are sent across, as ``places`` does.
         rows, number, size = keep(df, "ordered"), row_number or "__number", group_size or "__size"
-        placed = places(rows, keys, order, row_number=number, group_size=size, slices=_slices(rows, slice_rows))
+        placed = places(rows, keys, order, row_number=number, group_size=size, slices=_slices(rows, slice_rows), tight=True)
         return placed.select(*df.columns, *[c for c in (row_number, group_size) if c])
     grouped = Window.partitionBy(*keys)
     w = grouped.orderBy(*order)
@@ -129,16 +129,18 @@ def _across_slices(df, keys, order, row_number, group_size, previous, following,
 
 
 def places(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], *, row_number: str, group_size: str, slices: int | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], *, row_number: str, group_size: str, slices: int | None = None,
+    tight: bool = False,
 ) -> DataFrame:
     """Row number from 1 and size within ``keys``, for groups that nothing bounds: ``in_order`` without its first copy and its join.
 
-    Rows are dealt to ``slices`` ranges of keys and order (as many as there are shuffle partitions, if not given) and stored once.
+    Rows are dealt to ``slices`` ranges of keys and order (as many as there are shuffle partitions, if not given) and stored once,
+    by ``keep`` if ``tight``.
     Rows are counted per group and range; a range is in the middle of two groups at most, its first and its last, so the
     groups that lie in several ranges have two counts per range at most, and those alone are sent to the rows.
     """
     slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = keep(
+    cut = (keep if tight else store)(
         df.repartitionByRange(slices, *[F.col(k) for k in keys], *order).withColumn(_SLICE, F.spark_partition_id()), "slices"
     )
     counts = cut.groupBy(*keys, _SLICE).agg(F.count(F.lit(1)).alias("__n"))
